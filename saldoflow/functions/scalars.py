@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from saldoflow import constants as K
 
-AMOUNT = "decimal(28,10)"   # a money text read from a document
-RATE = "decimal(20,8)"      # an exchange rate read from a document
-POSTED = "decimal(30,9)"    # a journal figure before it is stored
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -21,13 +18,7 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     repeated at each use. The output of a generator is not substituted.
     """
     value = F.struct(*[c.alias(n) for n, c in columns.items()])
-    wide = df.select("*", F.explode_outer(F.array(value)).alias("_once"))
-    return wide.select(*df.columns, *[F.col(f"_once.{n}").alias(n) for n in columns])
-
-
-def decimal_lenient(text: Column, to: str = AMOUNT) -> Column:
-    """Exact decimal of a text; null, empty or not a number gives 0."""
-    return F.coalesce(text.try_cast(to), F.lit(0).cast(to))
+    return df.select("*", F.inline_outer(F.array(value)))
 
 
 def nonblank(text: Column) -> Column:
@@ -39,22 +30,6 @@ def first_nonblank(*texts: Column) -> Column:
     return F.coalesce(*[nonblank(t) for t in texts])
 
 
-def first_nonzero(*values: Column) -> Column:
-    """The first value that is neither null nor zero, else 0."""
-    return F.coalesce(*[F.when(v != 0, v) for v in values], F.lit(0).cast(AMOUNT))
-
-
-def rate_or(text: Column, present: Column, default: Column) -> Column:
-    """Exchange rate: an absent key takes the default, an explicit null is 0."""
-    return F.when(present, decimal_lenient(text, RATE)).otherwise(default)
-
-
-def signed_amount(code: Column, debit: Column, credit: Column) -> Column:
-    """Debit less credit, turned round for accounts of the credit groups."""
-    turned = F.coalesce(F.substring(code, 1, 1).isin(*K.CREDIT_GROUPS), F.lit(False))
-    return F.when(turned, credit - debit).otherwise(debit - credit)
-
-
 def to_wib(text: Column) -> Column:
     """ISO text to Jakarta wall-clock time; texts without offset are UTC.
 
@@ -73,37 +48,9 @@ def literal_lookup(key: Column, pairs: dict) -> Column:
     return chain
 
 
-def tax_account(code: Column, name: Column, side: str) -> tuple[Column, Column]:
-    """Account code and name a tax posts to, by tax code and else by tax name."""
-    at = 0 if side == "purchase" else 2
-    codes = {k: v[at] for k, v in K.TAX_ACCOUNTS.items()}
-    names = {k: v[at + 1] for k, v in K.TAX_ACCOUNTS.items()}
-    account = F.coalesce(literal_lookup(code, codes), literal_lookup(name, codes))
-    label = F.coalesce(literal_lookup(code, names), literal_lookup(name, names),
-                       nonblank(name), nonblank(code))
-    return account, label
-
-
-def discount_account(side: str) -> tuple[Column, Column]:
-    code, name = K.DISCOUNT_ACCOUNTS[side]
-    return F.lit(code), F.lit(name)
-
-
-def fx_settlement(currency: Column, rate: Column) -> Column:
-    """True when cash settles in a foreign currency or at a rate other than 1."""
-    foreign = ~F.upper(F.coalesce(currency, F.lit(""))).isin("", K.BASE_CURRENCY)
-    return foreign | ~F.coalesce(rate, F.lit(0).cast(RATE)).isin(0, 1)
-
-
-def forex_account(is_debit: Column) -> tuple[Column, Column]:
-    loss, gain = K.FOREX_LOSS, K.FOREX_GAIN
-    return (F.when(is_debit, loss[0]).otherwise(gain[0]),
-            F.when(is_debit, loss[1]).otherwise(gain[1]))
-
-
 def original_currency_amount(amount: Column, rate: Column) -> Column:
     """Amount in its own currency, two places, half to even; rate 0 keeps it."""
-    flat = F.coalesce(rate, F.lit(0).cast(RATE)) == 0
+    flat = F.coalesce(rate, F.lit(0).cast("decimal(20,8)")) == 0
     value = F.when(flat, amount.cast("decimal(38,9)")).otherwise(
         (amount.cast("decimal(28,9)") / rate.cast("decimal(18,8)")).cast("decimal(38,9)"))
     return F.bround(value, 2).cast("decimal(18,2)")

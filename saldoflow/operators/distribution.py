@@ -59,13 +59,14 @@ def pc_lookup(pc: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def coa_reporting_lookup(coa: DataFrame) -> DataFrame:
     """Account code -> reporting line, code and label; the last row wins."""
-    line, code = S.strip(F.col("reporting_line")), S.strip(F.col("reporting_code"))
-    label = F.when(F.col("_labelled"), S.strip(F.col("reporting_account"))).otherwise(
-        S.strip(F.concat(F.coalesce(code, F.lit("")), F.lit(" "), F.coalesce(line, F.lit("")))))
-    # The label column is a later addition: a chart without any label derives it.
-    labelled = coa.agg(F.coalesce(F.bool_or(F.col("reporting_account").isNotNull()), F.lit(False))
-                       .alias("_labelled"))
-    rows = coa.crossJoin(F.broadcast(labelled)).select(
+    line = S.strip(F.col("reporting_line"))
+    code = S.strip(F.col("reporting_code")) if "reporting_code" in coa.columns \
+        else F.lit(None).cast("string")
+    # Label and code are later additions to the chart: an older layout without
+    # the label column derives it.
+    label = S.strip(F.col("reporting_account")) if "reporting_account" in coa.columns else S.strip(
+        F.concat(F.coalesce(code, F.lit("")), F.lit(" "), F.coalesce(line, F.lit(""))))
+    rows = coa.select(
         S.strip(F.col("code")).alias("coa_key"),
         F.struct(line.alias("reporting_account_name"), code.alias("reporting_code"),
                  label.alias("reporting_account")).alias("e"), "seq")
@@ -295,6 +296,12 @@ def overhead_sweep(base: DataFrame, weights: DataFrame, swept: DataFrame, by_nam
 
 # --- reconciliation --------------------------------------------------------
 
+def _side_by_side(*single_rows: DataFrame) -> DataFrame:
+    """Columns of several one-row frames in one row."""
+    stacked = union_all(*single_rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def recon_summary(resolved: DataFrame, charged: DataFrame, overhead: DataFrame | None = None) -> DataFrame:
     """One row of totals and counts; every input is read once."""
     source = resolved.agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("source_total"),
@@ -320,8 +327,7 @@ def recon_summary(resolved: DataFrame, charged: DataFrame, overhead: DataFrame |
             F.count("*").alias("n_overhead"),
             F.coalesce(-F.sum(F.when(F.col("allocation") < 0, F.col("allocation"))), F.lit(0.0))
             .alias("overhead_pool"))
-    # Three single rows side by side.
-    one = source.join(out, F.lit(True)).join(swept, F.lit(True))
+    one = _side_by_side(source, out, swept)
     total = F.col("base_total") + F.col("overhead_net")
     limit = F.greatest(F.lit(K.TOLERANCE), F.abs("source_total") * K.RELATIVE_TOLERANCE)
     return one.select(
@@ -451,7 +457,7 @@ def distribution_run_row(recon: DataFrame, stored: DataFrame, run_id, period: st
     """Run log row; without a period, the one month the output covers, if one."""
     months = stored.agg(F.min("period").alias("a"), F.max("period").alias("b"))
     single = F.when(F.col("a") == F.col("b"), F.col("a"))
-    return recon.join(months, F.lit(True)).select(
+    return _side_by_side(recon, months).select(
         F.lit(run_id).cast("bigint").alias("run_id"),
         F.coalesce(F.lit(period).cast("date"), single).alias("period"),
         F.col("source_total").cast("decimal(20,2)").alias("source_total"),

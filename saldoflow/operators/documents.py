@@ -7,85 +7,86 @@ folds over the array, and nothing is shuffled until rows leave the document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from saldoflow import constants as K
-from saldoflow.functions import scalars as S
+from saldoflow.functions import scalars as S, text as X
 from saldoflow.operators import journals as J
 from saldoflow.sources import callbacks as C
 
 
+_OWN_BOOKS = X.in_list(["manual_journal", "cash_in", "cash_out"])
+_SALES = X.in_list(["sales_invoice", "sales_return", "receivable_payment"])
+_PURCHASES = X.in_list(["purchase_invoice", "purchase_return", "payable_payment"])
+_CASH = X.in_list(["cash_in", "cash_out"])
+
+
+def once(df: DataFrame, **texts: str) -> DataFrame:
+    return S.once(df, **{name: F.expr(text) for name, text in texts.items()})
+
+
 def with_typed_parts(docs: DataFrame) -> DataFrame:
-    """Add base fields and typed arrays that every journal kind reads."""
-    d = F.col("data")
-    own_books = F.col("module").isin("manual_journal", "cash_in", "cash_out")
-    party = S.first_nonblank(d.vendor["name"], d.supplier["name"], d.contact["name"])
-    docs = S.once(docs, **{
-        "base_currency": F.when(own_books, K.BASE_CURRENCY).otherwise(
-            F.coalesce(S.nonblank(d.currency.code), F.lit(K.BASE_CURRENCY))),
-        "base_rate": F.when(own_books, F.lit(1).cast(S.RATE)).otherwise(
-            S.rate_or(J.variant_text(d.exchange_rate), d.exchange_rate.isNotNull(),
-                      F.lit(1).cast(S.RATE))),
-        "party": F.when(F.col("module").isin("sales_invoice", "sales_return", "receivable_payment"),
-                        d.customer["name"])
-        .when(F.col("module").isin("purchase_invoice", "purchase_return", "payable_payment"), party)
-        .when(F.col("module").isin("cash_in", "cash_out"), d.contact["name"]),
-    })
-    return S.once(docs, **{
-        "lines": J.typed_lines(),
-        "payments": J.typed_money(d.payments),
-        "others": J.typed_money(d.others),
-        "cash": J.typed_cash(),
-    })
-
-
-def missing_fields() -> Column:
+    """Add base fields and typed arrays that every journal kind reads.
+
+    Cash and manual documents are kept in base currency whatever they say.
+    """
+    vendor = X.first_nonblank("data.vendor.name", "data.supplier.name", "data.contact.name")
+    base = once(
+        docs,
+        base_currency=(f"IF(module IN {_OWN_BOOKS}, '{K.BASE_CURRENCY}', "
+                       f"coalesce(nullif(data.currency.code, ''), '{K.BASE_CURRENCY}'))"),
+        base_rate=(f"IF(module IN {_OWN_BOOKS}, CAST(1 AS {X.RATE}), "
+                   f"{X.rate_or('data.exchange_rate', '1')})"),
+        party=(f"CASE WHEN module IN {_SALES} THEN data.customer.name "
+               f"WHEN module IN {_PURCHASES} THEN {vendor} "
+               f"WHEN module IN {_CASH} THEN data.contact.name END"))
+    payment = f"module IN {X.in_list(J.PAYMENT_KINDS)}"
+    return once(
+        base, lines=f"IF({payment}, NULL, {J.lines()})", claims=f"IF({payment}, {J.claims()}, NULL)",
+        payments=J.money_items("data.payments"), others=J.money_items("data.others"), cash=J.cash())
+
+
+def missing_fields() -> str:
     """Names of the required fields a document leaves null or empty."""
-    d = F.col("data")
-    vendor_side = F.col("module").isin("purchase_invoice", "purchase_return", "payable_payment")
-    no_party = F.col("module").isin("manual_journal", "cash_in", "cash_out")
-    checks = [
-        F.when(S.nonblank(d.id).isNull(), "data.id"),
-        F.when(S.nonblank(d.number).isNull(), "data.number"),
-        F.when(S.nonblank(d.date).isNull(), "data.date"),
-        F.when(~no_party & S.nonblank(F.col("party")).isNull(),
-               F.when(vendor_side, "data.vendor.name").otherwise("data.customer.name")),
-    ]
-    return F.concat_ws(", ", *checks)
-
-
-def payload_validate() -> Column:
+    def gap(value, name):
+        return f"IF(coalesce({value}, '') = '', {name}, NULL)"
+    party = (f"CASE WHEN module IN {_PURCHASES} THEN 'data.vendor.name' "
+             f"WHEN module IN {_SALES} THEN 'data.customer.name' END")
+    return "concat_ws(', ', " + ", ".join([
+        gap("data.id", "'data.id'"), gap("data.number", "'data.number'"),
+        gap("data.date", "'data.date'"), gap("party", party)]) + ")"
+
+
+def payload_validate() -> str:
     """Why a document cannot be posted, or null."""
-    allowed = F.lit(False)
+    allowed = []
     for module, end_point in K.MODULE_ENDPOINTS.items():
-        spellings = {end_point, K.OLD_PURCHASE_ENDPOINTS.get(module, end_point)}
-        allowed = allowed | ((F.col("module") == module)
-                             & F.coalesce(F.col("end_point").isin(*sorted(spellings)), F.lit(False)))
-    missing = missing_fields()
-    return (F.when(~allowed, F.concat(F.lit("unexpected end_point: "),
-                                      F.coalesce(F.col("end_point"), F.lit("None"))))
-            .when(F.col("data").isNull(), "payload.data must be a dict")
-            .when(missing != "", F.concat(F.lit("missing required fields: "), missing)))
+        spellings = sorted({end_point, K.OLD_PURCHASE_ENDPOINTS.get(module, end_point)})
+        allowed.append(f"WHEN '{module}' THEN end_point IN {X.in_list(spellings)}")
+    return (f"CASE WHEN NOT coalesce(CASE module {' '.join(allowed)} END, false) "
+            f"THEN concat('unexpected end_point: ', coalesce(end_point, 'None')) "
+            f"WHEN data IS NULL THEN 'payload.data must be a dict' "
+            f"WHEN {missing_fields()} <> '' "
+            f"THEN concat('missing required fields: ', {missing_fields()}) END")
 
 
-def _plain(value: Column) -> Column:
-    text = value.cast("decimal(38,4)").cast("string")
-    return F.regexp_replace(F.regexp_replace(text, "0+$", ""), r"\.$", "")
+def _plain(value: str) -> str:
+    text = f"CAST(CAST({value} AS DECIMAL(38,4)) AS STRING)"
+    return f"regexp_replace(regexp_replace({text}, '0+$', ''), '[.]$', '')"
 
 
-def gates(debit: Column, credit: Column, rows: Column) -> Column:
+def gates() -> str:
     """Empty and balance gates of one document, as an error text or null."""
-    module, source = F.col("module"), F.coalesce(F.col("data.id"), F.lit("None"))
-    slack = F.when(module == "manual_journal", F.lit(K.MANUAL_BALANCE_TOLERANCE)).otherwise(
-        F.lit(K.BALANCE_TOLERANCE)).cast("decimal(4,2)")
-    kind = F.when(module == "sales_invoice", "unbalanced transform").otherwise(
-        F.concat(F.lit("unbalanced "), module, F.lit(" transform")))
-    text = F.concat(kind, F.lit(" for source_id="), source, F.lit(": total_debit="), _plain(debit),
-                    F.lit(", total_credit="), _plain(credit), F.lit(", diff="),
-                    _plain(debit - credit))
-    return (F.when(F.size(rows) == 0,
-                   F.concat(F.lit("no rows generated for "), module, F.lit(" source_id="), source))
-            .when(F.abs(debit - credit) > slack, text))
+    debit, credit, diff = "total_debit", "total_credit", "(total_debit - total_credit)"
+    source = "coalesce(data.id, 'None')"
+    slack = (f"CAST(IF(module = 'manual_journal', {K.MANUAL_BALANCE_TOLERANCE}, "
+             f"{K.BALANCE_TOLERANCE}) AS DECIMAL(4,2))")
+    kind = "IF(module = 'sales_invoice', 'unbalanced', concat('unbalanced ', module))"
+    return (f"CASE WHEN draft.n = 0 "
+            f"THEN concat('no rows generated for ', module, ' source_id=', {source}) "
+            f"WHEN abs({diff}) > {slack} "
+            f"THEN concat({kind}, ' transform for source_id=', {source}, ': total_debit=', "
+            f"{_plain(debit)}, ', total_credit=', {_plain(credit)}, ', diff=', {_plain(diff)}) END")
 
 
 def transform_documents(docs: DataFrame, modules=None) -> DataFrame:
@@ -93,15 +94,17 @@ def transform_documents(docs: DataFrame, modules=None) -> DataFrame:
 
     Failures stay on their document; the run goes on.
     """
-    typed = with_typed_parts(docs)
-    built = S.once(typed, draft_rows=J.rows_by_module(modules))
-    built = J.with_residual(built)
-    built = S.once(built, error=F.coalesce(
-        payload_validate(), gates(F.col("total_debit"), F.col("total_credit"), F.col("rows"))))
-    return built.select("callback_id", F.col("created_at").alias("raw_created_at"), "module",
-                        "end_point", "method", "source_id", "status", "data", "party",
-                        "base_currency", "base_rate", "lines", "rows", "total_debit",
-                        "total_credit", "error")
+    df = once(with_typed_parts(docs), draft_rows=J.rows_by_module(modules))
+    df = once(df, draft=J.totals())
+    df = once(df, residual=J.residual())
+    df = once(df, rows=J.rows_with_residual(),
+              total_debit=f"CAST(draft.debit + greatest(residual, 0) AS {X.TOTAL})",
+              total_credit=f"CAST(draft.credit + greatest(-residual, 0) AS {X.TOTAL})")
+    df = once(df, error=f"coalesce({payload_validate()}, {gates()})")
+    return df.select("callback_id", F.col("created_at").alias("raw_created_at"), "module",
+                     "end_point", "method", "source_id", "status", "data", "party",
+                     "base_currency", "base_rate", "lines", "claims", "rows", "total_debit",
+                     "total_credit", "error")
 
 
 def documents_of(callbacks: DataFrame, module: str) -> DataFrame:
@@ -118,8 +121,8 @@ def documents_of(callbacks: DataFrame, module: str) -> DataFrame:
 def journal_lines(transformed: DataFrame) -> DataFrame:
     """One row per accounting line of the documents that passed every gate."""
     d = F.col("data")
-    ok = transformed.filter(F.col("error").isNull())
-    flat = ok.select(
+    # Texts are converted once per document, before its rows multiply them.
+    heads = transformed.filter(F.col("error").isNull()).select(
         d.date.try_cast("date").alias("date"),
         S.literal_lookup(F.col("module"), K.DOCUMENT_TYPES).alias("type"),
         d.number.alias("ref_no"),
@@ -129,8 +132,13 @@ def journal_lines(transformed: DataFrame) -> DataFrame:
         S.to_wib(d.created.time).alias("created_at"),
         d.created.user["name"].alias("created_by"),
         "module", F.col("callback_id").cast("string").alias("raw_callback_id"), "raw_created_at",
-        F.posexplode("rows").alias("row_no", "row"))
-    plain = flat.select("*", "row.*").drop("row")
+        "rows")
+    flat = heads.select(*[c for c in heads.columns if c != "rows"],
+                        F.posexplode("rows").alias("row_no", "row"))
+    valued = flat.filter((F.col("row.debit") != 0) | (F.col("row.credit") != 0))
+    plain = valued.select("*", "row.*").drop("row").withColumns({
+        "doc_ref_date": F.col("doc_ref_date").try_cast("date"),
+        "amount": F.expr(X.signed_amount("sign_code", "debit", "credit"))}).drop("sign_code")
     return plain.withColumn("original_currency",
                             S.original_currency_amount(F.col("amount"), F.col("exchange_rate")))
 

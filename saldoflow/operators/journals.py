@@ -1,328 +1,253 @@
-"""Journal rows of the nine document kinds, as array expressions."""
+"""Journal rows of the nine document kinds, as array expressions.
 
-from __future__ import annotations
+Every kind is a list of array expressions over a document's typed parts (see
+``operators.documents``). Rows keep both sides; those without a value are
+dropped when rows leave the document.
+"""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from __future__ import annotations
 
 from saldoflow import constants as K
-from saldoflow.functions import scalars as S
-
-_EMPTY_TEXTS = ("", "{}", "null", "[]", "0", "false")
-
-
-def variant_text(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "string")
-
-
-def _object_given(v: Column) -> Column:
-    """True when a variant holds something other than an empty value."""
-    return F.coalesce(~variant_text(v).isin(*_EMPTY_TEXTS), F.lit(False))
-
-
-def _dec(text: Column) -> Column:
-    return S.decimal_lenient(text)
+from saldoflow.functions import text as X
 
+PAYMENT_KINDS = ("receivable_payment", "payable_payment")
+ROW_FIELDS = ("note STRING, debit {m}, credit {m}, account_code STRING, sign_code STRING, "
+              "coa_name STRING, source_line_id STRING, dept_code STRING, department STRING, "
+              "project STRING, currency STRING, exchange_rate {r}, doc_ref_no STRING, "
+              "doc_ref_date STRING, doc_ref_id STRING").format(m=X.MONEY, r=X.RATE)
+ROW_TYPE = "ARRAY<STRUCT<" + ROW_FIELDS.replace(" STRING", ": STRING").replace(
+    f" {X.MONEY}", f": {X.MONEY}").replace(f" {X.RATE}", f": {X.RATE}") + ">>"
 
-def _currency(item: Column) -> Column:
-    return F.coalesce(S.nonblank(item.currency.code), F.col("base_currency"))
 
+# --- typed parts -----------------------------------------------------------
 
-def _rate(item: Column) -> Column:
-    return S.rate_or(variant_text(item.exchange_rate), item.exchange_rate.isNotNull(),
-                     F.col("base_rate"))
-
-
-def _no_items(element: str) -> Column:
-    return F.array().cast(f"array<{element}>")
-
-
-def typed_money(items: Column) -> Column:
+def money_items(items: str) -> str:
     """Payments or other charges with exact amounts and resolved rates."""
-    typed = F.transform(items, lambda p: F.struct(
-        p.id.alias("id"), _dec(p.amount).alias("amount"), _currency(p).alias("currency"),
-        _rate(p).alias("rate"), p.account.id.alias("account_id"), p.account.code.alias("code"),
-        p.account["name"].alias("name")))
-    return F.coalesce(typed, F.array().cast(
-        f"array<struct<id:string,amount:{S.AMOUNT},currency:string,rate:{S.RATE},"
-        "account_id:string,code:string,name:string>>"))
-
-
-def typed_cash() -> Column:
-    c = F.col("data.cash")
-    return F.struct(
-        _dec(c.amount).alias("amount"), _currency(c).alias("currency"), _rate(c).alias("rate"),
-        c.account.id.alias("account_id"), c.account.code.alias("code"),
-        c.account["name"].alias("name"),
-        S.fx_settlement(c.currency.code, _dec_rate(variant_text(c.exchange_rate))).alias("fx"))
-
-
-def _dec_rate(text: Column) -> Column:
-    return S.decimal_lenient(text, S.RATE)
+    return f"transform({items}, p -> " + X.struct(
+        id="p.id", amount=X.decimal_lenient("p.amount"),
+        currency="coalesce(nullif(p.currency.code, ''), base_currency)",
+        rate=X.rate_or("p.exchange_rate", "base_rate"), code="p.account.code",
+        name="p.account.name") + ")"
 
 
-def _reference(line: Column) -> Column:
-    """The document a payment line settles, first one given."""
-    kinds = [line.invoice, line.purchase_invoice, line.purchase, line.bill]
+def cash() -> str:
+    c = "data.cash"
+    return X.struct(
+        amount=X.decimal_lenient(f"{c}.amount"),
+        currency=f"coalesce(nullif({c}.currency.code, ''), base_currency)",
+        rate=X.rate_or(f"{c}.exchange_rate", "base_rate"), account_id=f"{c}.account.id",
+        code=f"{c}.account.code", name=f"{c}.account.name",
+        fx=X.fx_settlement(f"{c}.currency.code", X.variant_text(f"{c}.exchange_rate")))
 
-    def given(r):
-        return r.id.isNotNull() | r.number.isNotNull() | r.date.isNotNull() \
-            | r.account.code.isNotNull() | r.account["name"].isNotNull()
-    return F.coalesce(*[F.when(given(r), r) for r in kinds])
 
+def _place() -> dict:
+    """Department and project of a line; one it does not name is the document's.
 
-def settlement_split(net: Column, discount: Column, payable: Column, payment: Column):
-    """Settled amount and withheld tax of one payment line.
-
-    Without a net amount the line settles its gross and nothing is withheld.
-    With one, a payment that differs from the payable is the tax withheld.
+    All or nothing: a line that names a department without a code has no code.
     """
-    withheld = F.when((net != 0) & (payment != 0) & (payment != payable), payment).otherwise(
-        F.lit(0).cast(S.AMOUNT))
-    settled = F.when(net == 0, S.first_nonzero(payable, payment)).otherwise(
-        net + discount + withheld)
-    return settled.cast(S.AMOUNT), withheld
-
-
-def typed_lines() -> Column:
-    d = F.col("data")
-
-    def part(line, key, field, fallback):
-        own = F.try_variant_get(line[key], f"$.{field}", "string")
-        return F.when(_object_given(line[key]), own).otherwise(fallback)
-
-    def one(x: Column) -> Column:
-        discount = _dec(x.discount.amount)
-        settled, withheld = settlement_split(
-            _dec(x.amount), discount, _dec(x.payable.amount), _dec(x.payment.amount))
-        sales_side = F.col("module") == "receivable_payment"
-        ref = F.when(sales_side, x.invoice).otherwise(_reference(x))
-        own_account = ~sales_side & (x.payable.account.code.isNotNull()
-                                     | x.payable.account["name"].isNotNull()
-                                     | x.payable.account.id.isNotNull())
-        return F.struct(
-            x.id.alias("id"), x.description.alias("description"), x.note.alias("note"),
-            _dec(x.amount).alias("amount"), _dec(x.debit).alias("debit"),
-            _dec(x.credit).alias("credit"),
-            _dec(x.subtotal_before_discount).alias("before"),
-            _dec(F.coalesce(x.subtotal_after_discount, x.subtotal_before_discount)).alias("after"),
-            _rate(x).alias("rate"), _currency(x).alias("currency"),
-            x.account.code.alias("code"), x.account["name"].alias("name"),
-            part(x, "department", "code", d.department.code).alias("dept_code"),
-            part(x, "department", "name", d.department["name"]).alias("department"),
-            part(x, "project", "name", d.project["name"]).alias("project"),
-            discount.alias("discount"), settled.alias("settled"), withheld.alias("withheld"),
-            ref.number.alias("ref_no"), ref.date.alias("ref_date"), ref.id.alias("ref_id"),
-            F.when(own_account, x.payable.account.code).otherwise(ref.account.code).alias("claim_code"),
-            F.when(own_account, x.payable.account["name"]).otherwise(ref.account["name"]).alias("claim_name"),
-            x.taxes.alias("taxes"))
-    return F.transform(d.line_items, one)
-
-
-def _posted(value: Column) -> Column:
-    return F.coalesce(value.try_cast(S.POSTED), F.lit(0).cast(S.POSTED))
-
-
-def _times(amount: Column, rate: Column) -> Column:
-    return F.try_multiply(amount.try_cast("decimal(26,10)"), rate)
+    def part(key, field):
+        return (f"IF({X.object_given(f'x.{key}')}, {X.variant_text(f'x.{key}', f'$.{field}')}, "
+                f"data.{key}.{field})")
+    return {"dept_code": part("department", "code"), "department": part("department", "name"),
+            "project": part("project", "name"),
+            "currency": "coalesce(nullif(x.currency.code, ''), base_currency)",
+            "rate": X.rate_or("x.exchange_rate", "base_rate")}
+
+
+def lines() -> str:
+    """Lines of trade, cash and manual documents."""
+    return "transform(data.line_items, x -> " + X.struct(
+        id="x.id", description="x.description", note="x.note",
+        amount=X.decimal_lenient("x.amount"), debit=X.decimal_lenient("x.debit"),
+        credit=X.decimal_lenient("x.credit"),
+        before=X.decimal_lenient("x.subtotal_before_discount"),
+        after=X.decimal_lenient("coalesce(x.subtotal_after_discount, x.subtotal_before_discount)"),
+        code="x.account.code", name="x.account.name", taxes="x.taxes", **_place()) + ")"
+
+
+def _purchase_reference() -> str:
+    """The purchase a payment line settles: the first kind of reference given."""
+    kinds = [f"x.{k}" for k in ("invoice", "purchase_invoice", "purchase", "bill")]
+    given = [f"IF(coalesce({r}.id, {r}.number, {r}.date, {r}.account.code, {r}.account.name) "
+             f"IS NULL, NULL, {r})" for r in kinds]
+    return f"coalesce({', '.join(given)})"
+
+
+def claims() -> str:
+    """Lines of payment documents, with settled and withheld amounts."""
+    raw = "transform(data.line_items, x -> " + X.struct(
+        id="x.id", net=X.decimal_lenient("x.amount"), discount=X.decimal_lenient("x.discount.amount"),
+        payable=X.decimal_lenient("x.payable.amount"),
+        payment=X.decimal_lenient("x.payment.amount"),
+        ref=f"IF(module = 'receivable_payment', x.invoice, {_purchase_reference()})",
+        own=("IF(module = 'payable_payment' AND coalesce(x.payable.account.id, "
+             "x.payable.account.code, x.payable.account.name) IS NOT NULL, "
+             "x.payable.account, NULL)"), **_place()) + ")"
+    return f"transform({raw}, x -> " + X.struct(
+        id="x.id", discount="x.discount",
+        settled=X.settled_amount("x.net", "x.discount", "x.payable", "x.payment"),
+        withheld=X.withheld_amount("x.net", "x.payable", "x.payment"),
+        ref_no="x.ref.number", ref_date="x.ref.date", ref_id="x.ref.id",
+        code="IF(x.own IS NULL, x.ref.account.code, x.own.code)",
+        name="IF(x.own IS NULL, x.ref.account.name, x.own.name)",
+        dept_code="x.dept_code", department="x.department", project="x.project",
+        currency="x.currency", rate="x.rate") + ")"
+
+
+# --- rows ------------------------------------------------------------------
+
+_DOCUMENT_PLACE = ("data.department.code", "data.department.name", "data.project.name")
+_LINE_PLACE = ("x.dept_code", "x.department", "x.project")
+_NO_REF = ("CAST(NULL AS STRING)",) * 3
+_MEMO_REF = ("data.parent_memo.number", "data.parent_memo.date", "data.parent_memo.id")
+_FIRST_REF = tuple(f"try_element_at(claims, 1).{c}" for c in ("ref_no", "ref_date", "ref_id"))
+_LINE_REF = ("x.ref_no", "x.ref_date", "x.ref_id")
 
 
 def _row(note, debit, credit, code, name, line_id, place, currency, rate, ref, sign_code=None):
-    debit, credit = _posted(debit), _posted(credit)
-    dept_code, department, project = place
-    number, day, ident = ref
-    return F.struct(
-        note.cast("string").alias("note"), debit.alias("debit"), credit.alias("credit"),
-        S.signed_amount(code if sign_code is None else sign_code, debit, credit)
-        .cast(S.POSTED).alias("amount"),
-        code.cast("string").alias("account_code"), name.cast("string").alias("coa_name"),
-        line_id.cast("string").alias("source_line_id"),
-        dept_code.alias("dept_code"), department.alias("department"), project.alias("project"),
-        currency.alias("currency"), rate.cast(S.RATE).alias("exchange_rate"),
-        number.alias("doc_ref_no"), day.try_cast("date").alias("doc_ref_date"),
-        ident.alias("doc_ref_id"))
-
-
-def _document_place():
-    d = F.col("data")
-    return d.department.code, d.department["name"], d.project["name"]
-
-
-def _line_place(x):
-    return x.dept_code, x.department, x.project
-
-
-def _no_reference():
-    none = F.lit(None).cast("string")
-    return none, none, none
-
-
-def _memo_reference():
-    memo = F.col("data.parent_memo")
-    return memo.number, memo.date, memo.id
+    return X.struct(
+        note=note, debit=f"CAST({debit} AS {X.MONEY})", credit=f"CAST({credit} AS {X.MONEY})",
+        account_code=code, sign_code=sign_code or code, coa_name=name, source_line_id=line_id,
+        dept_code=place[0], department=place[1], project=place[2], currency=currency,
+        exchange_rate=rate, doc_ref_no=ref[0], doc_ref_date=ref[1], doc_ref_id=ref[2])
 
 
-def _first_line_reference():
-    first = F.try_element_at(F.col("lines"), F.lit(1))
-    return first.ref_no, first.ref_date, first.ref_id
-
-
-def _line_reference(x):
-    return x.ref_no, x.ref_date, x.ref_id
+def _sides(value: str, on_debit: bool) -> tuple[str, str]:
+    """(debit, credit) with the value on one of them."""
+    return (value, "0") if on_debit else ("0", value)
 
 
-def _suffixed(ident: Column, *tail) -> Column:
-    texts = [t if isinstance(t, Column) else F.lit(t) for t in tail]
-    return F.concat(F.coalesce(ident, F.lit("None")), *texts)
+def _suffixed(ident: str, *tail: str) -> str:
+    return f"concat(coalesce({ident}, 'None'), {', '.join(tail)})"
 
 
-def _sides(value, on_debit: bool):
-    """(debit, credit) with the value on one of them."""
-    return (value, F.lit(0)) if on_debit else (F.lit(0), value)
+def _converted(amount: str, rate: str) -> str:
+    """Amount times rate; a product out of range unbalances its document."""
+    return (f"coalesce(try_cast(try_multiply(CAST({amount} AS DECIMAL(28,9)), {rate}) "
+            f"AS {X.MONEY}), 0)")
 
 
-def _payment_rows(note, on_debit, ref, suffix=None):
-    return F.transform(F.col("payments"), lambda p: _row(
-        F.lit(note), *_sides(p.amount, on_debit), p.code, p["name"],
-        p.id if suffix is None else _suffixed(p.id, suffix), _document_place(), p.currency,
-        p.rate, ref))
+def _payments(note: str, on_debit: bool, ref, suffix: str | None = None) -> str:
+    line_id = "p.id" if suffix is None else _suffixed("p.id", X.lit(suffix))
+    return "transform(payments, p -> " + _row(
+        X.lit(note), *_sides("p.amount", on_debit), "p.code", "p.name", line_id, _DOCUMENT_PLACE,
+        "p.currency", "p.rate", ref) + ")"
 
 
-def _trade_rows(lines, side, on_debit, note, tax_note, converted, ref, gross_suffix=None):
+def _trade(side, on_debit, note, tax_note, ref, rate=None, currency="x.currency", suffix=None):
     """Gross, discount and tax rows of every trade line.
 
     Gross and taxes go to one side, the line discount to the other, so a zero
-    discount leaves a plain net posting. ``converted`` lines are multiplied by
-    their rate.
+    discount leaves a plain net posting. ``rate`` converts the amounts.
     """
-    off_code, off_name = S.discount_account(side)
-
-    def value(amount, x):
-        return _times(amount, x.rate) if converted else amount
-
-    def one(x):
-        where = (_line_place(x), x.currency, x.rate, ref)
-        gross = _row(S.first_nonblank(x.description, F.lit(note)),
-                     *_sides(value(x.before, x), on_debit), x.code, x["name"],
-                     x.id if gross_suffix is None else _suffixed(x.id, gross_suffix), *where)
-        off = _row(F.lit("Discount"), *_sides(value(x.before - x.after, x), not on_debit),
-                   off_code, off_name, _suffixed(x.id, "_disc"), *where)
-
-        def tax(t):
-            code, name = S.tax_account(t.code, t["name"], side)
-            return _row(S.first_nonblank(t["name"], t.code, F.lit(tax_note)),
-                        *_sides(value(_dec(t.amount), x), on_debit), code, name,
-                        _suffixed(x.id, "_", F.coalesce(t.id, F.lit("None")), "_tax"), *where)
-        pair = F.array(gross, off)
-        return F.when(x.taxes.isNull(), pair).otherwise(F.concat(pair, F.transform(x.taxes, tax)))
-    return F.flatten(F.transform(lines, one))
-
-
-def _cash_row(note, on_debit, ref):
-    c = F.col("cash")
-    return F.array(_row(
-        note, *_sides(c.amount, on_debit),
-        F.coalesce(S.nonblank(c.code), F.lit(K.CASH_CLEARING[0])),
-        F.coalesce(S.nonblank(c["name"]), F.lit(K.CASH_CLEARING[1])),
-        F.coalesce(S.nonblank(c.account_id), F.lit("cash")), _document_place(), c.currency,
-        c.rate, ref, sign_code=c.code))
-
-
-def sales_invoice() -> list[Column]:
-    ref = _no_reference()
-    return [_payment_rows("Accounts Receivable", True, ref),
-            _trade_rows(F.col("lines"), "sales", False, "Revenue", "Tax", False, ref)]
-
-
-def sales_return() -> list[Column]:
-    ref = _memo_reference()
+    off_code, off_name = X.discount_account(side)
+    tax_code, tax_name = X.tax_account("t.code", "t.name", side)
+
+    def value(amount):
+        return amount if rate is None else _converted(amount, rate)
+    where = (_LINE_PLACE, currency, rate or "x.rate", ref)
+    gross = _row(X.first_nonblank("x.description", X.lit(note)), *_sides(value("x.before"), on_debit),
+                 "x.code", "x.name", "x.id" if suffix is None else _suffixed("x.id", X.lit(suffix)),
+                 *where)
+    off = _row("'Discount'", *_sides(value("(x.before - x.after)"), not on_debit), off_code, off_name,
+               _suffixed("x.id", "'_disc'"), *where)
+    tax = _row(X.first_nonblank("t.name", "t.code", X.lit(tax_note)),
+               *_sides(value(X.decimal_lenient("t.amount")), on_debit), tax_code, tax_name,
+               _suffixed("x.id", "'_'", "coalesce(t.id, 'None')", "'_tax'"), *where)
+    taxes = f"transform(coalesce(x.taxes, array()), t -> {tax})"
+    return f"flatten(transform(lines, x -> concat(array({gross}, {off}), {taxes})))"
+
+
+def _cash(note: str, on_debit: bool, ref) -> str:
+    clearing, clearing_name = K.CASH_CLEARING
+    return "array(" + _row(
+        note, *_sides("cash.amount", on_debit),
+        f"coalesce(nullif(cash.code, ''), {X.lit(clearing)})",
+        f"coalesce(nullif(cash.name, ''), {X.lit(clearing_name)})",
+        "coalesce(nullif(cash.account_id, ''), 'cash')", _DOCUMENT_PLACE, "cash.currency",
+        "cash.rate", ref, sign_code="cash.code") + ")"
+
+
+def sales_invoice() -> list[str]:
+    return [_payments("Accounts Receivable", True, _NO_REF),
+            _trade("sales", False, "Revenue", "Tax", _NO_REF)]
+
+
+def sales_return() -> list[str]:
     # A return is converted as a whole: its lines take the document's rate.
-    lines = F.transform(F.col("lines"), lambda x: x.withField("rate", F.col("base_rate"))
-                        .withField("currency", F.col("base_currency")))
-    return [_trade_rows(lines, "sales", True, "Sales Return", "Tax Reversal", True, ref, "_rev"),
-            _payment_rows("Accounts Receivable Reversal", False, ref, "_ar")]
+    return [_trade("sales", True, "Sales Return", "Tax Reversal", _MEMO_REF, "base_rate",
+                   "base_currency", "_rev"),
+            _payments("Accounts Receivable Reversal", False, _MEMO_REF, "_ar")]
 
 
-def purchase_invoice() -> list[Column]:
-    ref = _no_reference()
-    others = F.transform(F.col("others"), lambda p: _row(
-        F.coalesce(S.nonblank(p["name"]), F.lit("Other Charge")), *_sides(p.amount, True), p.code,
-        p["name"], _suffixed(p.id, "_other"), _document_place(), p.currency, p.rate, ref))
-    return [_trade_rows(F.col("lines"), "purchase", True, "Purchase", "Input Tax", True, ref),
-            others, _payment_rows("Accounts Payable", False, ref)]
+def purchase_invoice() -> list[str]:
+    other = _row("coalesce(nullif(p.name, ''), 'Other Charge')", *_sides("p.amount", True), "p.code",
+                 "p.name", _suffixed("p.id", "'_other'"), _DOCUMENT_PLACE, "p.currency", "p.rate",
+                 _NO_REF)
+    return [_trade("purchase", True, "Purchase", "Input Tax", _NO_REF, "x.rate"),
+            f"transform(others, p -> {other})", _payments("Accounts Payable", False, _NO_REF)]
 
 
-def purchase_return() -> list[Column]:
-    ref = _memo_reference()
-    return [_payment_rows("Accounts Payable Reversal", True, ref),
-            _trade_rows(F.col("lines"), "purchase", False, "Purchase Return",
-                        "Input Tax Reversal", False, ref)]
+def purchase_return() -> list[str]:
+    return [_payments("Accounts Payable Reversal", True, _MEMO_REF),
+            _trade("purchase", False, "Purchase Return", "Input Tax Reversal", _MEMO_REF)]
 
 
-def _settlement(cash_note, cash_on_debit, discount_note, claim_note, side) -> list[Column]:
+def _settlement(cash_note, cash_on_debit, discount_note, claim_note, side) -> list[str]:
     """Cash, other amounts and the claim lines of a payment document.
 
     Money received and money paid mirror each other: every row of one sits on
     the opposite side in the other.
     """
-    ref = _first_line_reference()
-    fx = F.col("cash.fx")
-    off_code, off_name = S.discount_account(side)
-
-    def other(p):
-        # Below zero is a charge when money comes in and an adjustment when it goes out.
-        debit = F.when((p.amount < 0) == F.lit(cash_on_debit), F.abs(p.amount)).otherwise(0)
-        credit = F.abs(p.amount) - debit
-        note = F.when(debit > 0, "Other Charge").otherwise("Other Adjustment")
-        moved = fx & F.coalesce(p.code == K.BANK_CHARGE[0], F.lit(False))
-        fx_code, fx_name = S.forex_account(debit > 0)
-        code = F.when(moved, fx_code).otherwise(p.code)
-        name = F.when(moved, fx_name).otherwise(p["name"])
-        return _row(F.when(moved, fx_name).otherwise(note), debit, credit, code, name, p.id,
-                    _document_place(), p.currency, p.rate, ref)
-
-    def claim(x):
-        where = (_line_place(x), x.currency, x.rate, _line_reference(x))
-        account = (x.claim_code, x.claim_name)
-        return F.array(
-            _row(F.lit(discount_note), *_sides(x.discount, cash_on_debit), off_code, off_name,
-                 _suffixed(x.id, "_discount"), *where),
-            _row(F.lit(claim_note), *_sides(x.settled, not cash_on_debit), *account, x.id, *where),
-            _row(F.lit("Withholding Tax (PPh 23)"), *_sides(x.withheld, cash_on_debit), off_code,
-                 off_name, _suffixed(x.id, "_wht"), *where))
-
-    return [_cash_row(F.lit(cash_note), cash_on_debit, ref),
-            F.transform(F.col("others"), other),
-            F.flatten(F.transform(F.col("lines"), claim))]
-
-
-def receivable_payment() -> list[Column]:
+    off_code, off_name = X.discount_account(side)
+    # Below zero is a charge when money comes in and an adjustment when it goes out.
+    on_debit = f"(p.amount < 0) = {str(cash_on_debit).lower()}"
+    moved = f"(cash.fx AND coalesce(p.code = {X.lit(K.BANK_CHARGE[0])}, false))"
+    fx_code, fx_name = X.forex_account(f"({on_debit})")
+    other = _row(f"IF({moved}, {fx_name}, IF({on_debit}, 'Other Charge', 'Other Adjustment'))",
+                 f"IF({on_debit}, abs(p.amount), 0)", f"IF({on_debit}, 0, abs(p.amount))",
+                 f"IF({moved}, {fx_code}, p.code)", f"IF({moved}, {fx_name}, p.name)", "p.id",
+                 _DOCUMENT_PLACE, "p.currency", "p.rate", _FIRST_REF)
+    where = (_LINE_PLACE, "x.currency", "x.rate", _LINE_REF)
+    rows = [
+        _row(X.lit(discount_note), *_sides("x.discount", cash_on_debit), off_code, off_name,
+             _suffixed("x.id", "'_discount'"), *where),
+        _row(X.lit(claim_note), *_sides("x.settled", not cash_on_debit), "x.code", "x.name", "x.id",
+             *where),
+        _row("'Withholding Tax (PPh 23)'", *_sides("x.withheld", cash_on_debit), off_code, off_name,
+             _suffixed("x.id", "'_wht'"), *where)]
+    return [_cash(X.lit(cash_note), cash_on_debit, _FIRST_REF), f"transform(others, p -> {other})",
+            f"flatten(transform(claims, x -> array({', '.join(rows)})))"]
+
+
+def receivable_payment() -> list[str]:
     return _settlement("Cash Receipt", True, "Sales Discount", "Accounts Receivable (Payment)",
                        "sales")
 
 
-def payable_payment() -> list[Column]:
+def payable_payment() -> list[str]:
     return _settlement("Cash Payment", False, "Purchase Discount", "Accounts Payable (Payment)",
                        "purchase")
 
 
-def _fund_rows(on_debit):
-    return F.transform(F.col("lines"), lambda x: _row(
-        x.note, *_sides(x.amount, on_debit), x.code, x["name"], x.id, _line_place(x), x.currency,
-        x.rate, _no_reference()))
+def _funds(on_debit: bool) -> str:
+    return "transform(lines, x -> " + _row(
+        "x.note", *_sides("x.amount", on_debit), "x.code", "x.name", "x.id", _LINE_PLACE,
+        "x.currency", "x.rate", _NO_REF) + ")"
 
 
-def cash_in() -> list[Column]:
-    return [_cash_row(F.lit(None), True, _no_reference()), _fund_rows(False)]
+def cash_in() -> list[str]:
+    return [_cash(X.lit(None), True, _NO_REF), _funds(False)]
 
 
-def cash_out() -> list[Column]:
-    return [_fund_rows(True), _cash_row(F.lit(None), False, _no_reference())]
+def cash_out() -> list[str]:
+    return [_funds(True), _cash(X.lit(None), False, _NO_REF)]
 
 
-def manual_journal() -> list[Column]:
-    return [F.transform(F.col("lines"), lambda x: _row(
-        F.coalesce(S.nonblank(x["name"]), F.lit("Manual Journal")), x.debit, x.credit, x.code,
-        x["name"], x.id, _line_place(x), x.currency, x.rate, _no_reference()))]
+def manual_journal() -> list[str]:
+    return ["transform(lines, x -> " + _row(
+        "coalesce(nullif(x.name, ''), 'Manual Journal')", "x.debit", "x.credit", "x.code", "x.name",
+        "x.id", _LINE_PLACE, "x.currency", "x.rate", _NO_REF) + ")"]
 
 
 KINDS = {
@@ -336,55 +261,50 @@ KINDS = {
     "cash_in": cash_in,
     "cash_out": cash_out,
 }
-ROW_TYPE = (f"array<struct<note:string,debit:{S.POSTED},credit:{S.POSTED},amount:{S.POSTED},"
-            f"account_code:string,coa_name:string,source_line_id:string,dept_code:string,"
-            f"department:string,project:string,currency:string,exchange_rate:{S.RATE},"
-            f"doc_ref_no:string,doc_ref_date:date,doc_ref_id:string>>")
 
 
-def rows_by_module(modules=None) -> Column:
-    """All rows of a document whose value is not zero, by its kind."""
-    chosen = None
+def rows_by_module(modules=None) -> str:
+    """All rows of a document by its kind."""
+    whens = []
     for module in (K.MODULES if modules is None else modules):
-        parts = [F.coalesce(p.cast(ROW_TYPE), F.array().cast(ROW_TYPE)) for p in KINDS[module]()]
-        rows = F.filter(F.concat(*parts), lambda r: (r.debit != 0) | (r.credit != 0))
-        is_kind = F.col("module") == module
-        chosen = F.when(is_kind, rows) if chosen is None else chosen.when(is_kind, rows)
-    return chosen.otherwise(F.array().cast(ROW_TYPE))
+        parts = [f"coalesce(CAST({p} AS {ROW_TYPE}), CAST(array() AS {ROW_TYPE}))"
+                 for p in KINDS[module]()]
+        whens.append(f"WHEN {X.lit(module)} THEN concat({', '.join(parts)})")
+    return f"CASE module {' '.join(whens)} ELSE CAST(array() AS {ROW_TYPE}) END"
 
 
-def _total(rows: Column, side: str) -> Column:
-    return F.aggregate(rows, F.lit(0).cast("decimal(38,9)"),
-                       lambda acc, r: (acc + r[side]).cast("decimal(38,9)"))
+def totals() -> str:
+    """Debit, credit and number of rows with a value, in one fold."""
+    zero = f"CAST(0 AS {X.TOTAL})"
+    return (f"aggregate(draft_rows, named_struct('debit', {zero}, 'credit', {zero}, 'n', 0), "
+            f"(a, r) -> named_struct('debit', CAST(a.debit + r.debit AS {X.TOTAL}), "
+            f"'credit', CAST(a.credit + r.credit AS {X.TOTAL}), "
+            f"'n', a.n + IF(r.debit <> 0 OR r.credit <> 0, 1, 0)))")
+
+
+def residual() -> str:
+    """The gap of a payment document that is small enough to absorb, else 0.
+
+    Credit less debit. An empty document has no such row; larger gaps stay and
+    fail the balance gate.
+    """
+    gap = f"CAST(draft.credit - draft.debit AS {X.MONEY})"
+    return (f"IF(module IN {X.in_list(PAYMENT_KINDS)} AND draft.n > 0 "
+            f"AND abs({gap}) <= {K.RESIDUAL_CAP}, {gap}, CAST(0 AS {X.MONEY}))")
 
 
-def with_residual(docs: DataFrame) -> DataFrame:
-    """Add ``rows`` and totals, absorbing a small gap of a payment document.
+def rows_with_residual() -> str:
+    """Rows, and one more that absorbs the residual.
 
-    A gap of at most the cap is a realised exchange difference when the cash
-    settles in foreign currency, else a bank charge. Larger gaps stay and fail
-    the balance gate. An empty document gets no such row.
+    It is a realised exchange difference when the cash settles in foreign
+    currency, else a bank charge.
     """
-    docs = S.once(docs, **{"draft_debit": _total(F.col("draft_rows"), "debit"),
-                             "draft_credit": _total(F.col("draft_rows"), "credit")})
-    gap = (F.col("draft_credit") - F.col("draft_debit")).cast("decimal(38,9)")
-    payment = F.col("module").isin("receivable_payment", "payable_payment")
-    absorbs = payment & (F.size("draft_rows") > 0) & (gap != 0) & (F.abs(gap) <= K.RESIDUAL_CAP)
-    debit = F.when(gap > 0, gap).otherwise(0)
-    credit = F.when(gap < 0, -gap).otherwise(0)
-    fx = F.col("cash.fx")
-    fx_code, fx_name = S.forex_account(gap > 0)
-    code = F.when(fx, fx_code).otherwise(K.BANK_CHARGE[0])
-    name = F.when(fx, fx_name).otherwise(K.BANK_CHARGE[1])
-    line_id = F.when(fx, "forex_diff").otherwise("bank_charge")
-    extra = F.array(_row(name, debit, credit, code, name, line_id, _document_place(),
-                         F.col("base_currency"), F.col("base_rate"), _first_line_reference()))
-    zero = F.lit(0).cast("decimal(38,9)")
-    return S.once(docs, **{
-        "rows": F.when(absorbs, F.concat(F.col("draft_rows"), extra.cast(ROW_TYPE)))
-        .otherwise(F.col("draft_rows")),
-        "total_debit": (F.col("draft_debit") + F.when(absorbs, debit).otherwise(zero))
-        .cast("decimal(38,9)"),
-        "total_credit": (F.col("draft_credit") + F.when(absorbs, credit).otherwise(zero))
-        .cast("decimal(38,9)"),
-    })
+    fx_code, fx_name = X.forex_account("residual > 0")
+    code, name = K.BANK_CHARGE
+    label = f"IF(cash.fx, {fx_name}, {X.lit(name)})"
+    extra = _row(label, "greatest(residual, 0)", "greatest(-residual, 0)",
+                 f"IF(cash.fx, {fx_code}, {X.lit(code)})", label,
+                 "IF(cash.fx, 'forex_diff', 'bank_charge')", _DOCUMENT_PLACE, "base_currency",
+                 "base_rate", _FIRST_REF)
+    return (f"IF(residual <> 0, concat(draft_rows, CAST(array({extra}) AS {ROW_TYPE})), "
+            f"draft_rows)")

@@ -54,8 +54,8 @@ _STRICT = {"allowSingleQuotes": "false"}
 def _decode(text: Column) -> Column:
     """The text inside a JSON string; other texts as they are."""
     plain = F.ltrim(text, F.lit(_JSON_BLANKS))
-    return F.when(plain.startswith('"'),
-                  F.try_variant_get(F.try_parse_json(plain), "$", "string")).otherwise(text)
+    one = F.from_json(F.concat(F.lit("["), plain, F.lit("]")), "array<string>", _STRICT)
+    return F.when(plain.startswith('"'), F.when(F.size(one) == 1, one[0])).otherwise(text)
 
 
 def _object_text(text: Column) -> Column:
@@ -65,12 +65,12 @@ def _object_text(text: Column) -> Column:
 
 def _decode_rounds(df: DataFrame, source: str, target: str, rounds: int) -> DataFrame:
     """Add ``target``: ``source`` decoded up to ``rounds`` times, if an object."""
-    keep = df.columns
     step = F.col(source)
     for n in range(rounds - 1):
         df = S.once(df, **{f"_text_{n}": _decode(step)})
         step = F.col(f"_text_{n}")
-    return S.once(df, **{target: _object_text(step)}).select(*keep, target)
+    helpers = [f"_text_{n}" for n in range(rounds - 1)]
+    return S.once(df, **{target: _object_text(step)}).drop(*helpers)
 
 
 def parse_bodies(callbacks: DataFrame, schema: str = FULL_SCHEMA, rounds: int = 2) -> DataFrame:

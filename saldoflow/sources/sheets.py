@@ -49,11 +49,12 @@ OPTIONAL_SHEETS = ("RL",)
 def from_headers(raw: DataFrame, sheet: str) -> DataFrame:
     """Sheet columns by trimmed header; a header an older layout lacks is null.
 
+    The chart's label column is left out instead, so that it gets derived.
     Codes stay text; a measure that is not a number fails the read.
     """
     have = {c.strip(): F.col(f"`{c}`") for c in raw.columns}
     out = [(have[h] if h in have else F.lit(None)).cast(t).alias(n)
-           for h, (n, t) in SHEETS[sheet].items()]
+           for h, (n, t) in SHEETS[sheet].items() if h in have or h != "Reporting Account"]
     if "seq" in have:
         out.append(have["seq"].cast("bigint").alias("seq"))
     else:

@@ -72,12 +72,12 @@ def replace_seen_periods(stored: DataFrame, new: DataFrame) -> DataFrame:
 
     A batch without any dated row replaces the undated rows instead.
     """
-    # One row per month.
-    months = new.select("period").filter(F.col("period").isNotNull()).distinct()
-    dated = stored.join(F.broadcast(months), "period", "left_anti")
-    has_dated = months.agg((F.count("*") > 0).alias("has_dated"))
-    kept = dated.join(F.broadcast(has_dated), F.col("period").isNull() & ~F.col("has_dated"),
-                      "left_anti")
+    # An array of months, so its size is that of the calendar.
+    months = new.agg(F.collect_set("period").alias("m"))
+    touched = months.select(F.explode(F.when(F.size("m") > 0, F.col("m")).otherwise(
+        F.array(F.lit(None).cast("date")))).alias("_touched"))
+    kept = stored.join(F.broadcast(touched), F.col("period").eqNullSafe(F.col("_touched")),
+                       "left_anti")
     return kept.select(*stored.columns).unionByName(new.select(*stored.columns))
 
 
