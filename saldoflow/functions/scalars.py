@@ -101,7 +101,8 @@ def period_previous(text: Column) -> Column:
 
 def period_month_name_id(text: Column) -> Column:
     names = F.array(*[F.lit(m) for m in K.MONTHS_ID])
-    return F.element_at(names, F.month(period_date(text)))
+    day = period_date(text)
+    return F.when(day.isNotNull(), F.get(names, F.month(day) - 1))
 
 
 def receivable_account(currency: Column) -> Column:

@@ -270,8 +270,8 @@ def overhead_sweep(base: DataFrame, weights: DataFrame, swept: DataFrame, by_nam
                        F.col("weight").alias("percentage"),
                        (F.col("pool") * F.col("weight")).alias("allocation")))
     code, name = K.OVERHEAD_ACCOUNT
-    month = F.element_at(F.array(*[F.lit(m) for m in K.MONTHS_ID]),
-                         F.month(F.add_months("period", -1)))
+    month = F.get(F.array(*[F.lit(m) for m in K.MONTHS_ID]),
+                  F.month(F.add_months("period", -1)) - 1)
     label = F.concat(F.lit("FTE : PC "), month)
     n = by_name.select(F.col("name_key").alias("_nk"), F.col("dept_code").alias("_code"),
                        F.col("div").alias("_n_div"), F.col("pc").alias("_n_pc"))
