@@ -47,7 +47,7 @@ alloc AS (
   FROM hc JOIN pc USING (dept) UNION ALL
   SELECT 'Revenue', NULL, rv.div, p, 100 + pc.seq FROM rv JOIN pc ON pc.dept = rv.div UNION ALL
   SELECT 'Lab Distribution', 'LAB supplies', n_name, 0.2::DOUBLE, 200 + n_nationkey FROM nation WHERE n_regionkey = 1 UNION ALL
-  SELECT 'Corporate Services', NULL, n_name, CASE n_nationkey WHEN 4 THEN 0.5::DOUBLE ELSE 0.25::DOUBLE END, 300 + n_nationkey
+  SELECT 'Corporate Services', NULL, n_name, CASE n_nationkey WHEN 4 THEN 0.2::DOUBLE ELSE 0.4::DOUBLE END, 300 + n_nationkey
   FROM nation WHERE n_nationkey IN (4, 9, 14))
 """
 GL_SQL = f"""
@@ -146,7 +146,7 @@ def _allocation(nation, fte, rev):
         "0.2D AS percentage", "200 + nk AS seq")
     fixed = key.filter("nk IN (4, 9, 14)").selectExpr(
         "'Corporate Services' AS distribution", "CAST(NULL AS STRING) AS account_name", "n_name AS new_dept",
-        "IF(nk = 4, 0.5D, 0.25D) AS percentage", "300 + nk AS seq")
+        "IF(nk = 4, 0.2D, 0.4D) AS percentage", "300 + nk AS seq")
     return head.unionByName(revenue).unionByName(lab).unionByName(fixed)
 
 
@@ -191,14 +191,24 @@ def run(spark, sf, **options):
     return R.distribute(numbered(spark, sf), sheets(spark, sf), **options)
 
 
+def cent(value):
+    """Rounded to cents; a value on the half goes up in both engines, whatever
+    the last bits of the double are."""
+    return F.floor(value * 100 + 0.500001) / 100
+
+
 def cents(df, *columns):
-    return df.select(*[F.col(c).cast("decimal(20,2)").alias(c)
+    return df.select(*[cent(F.col(c)).alias(c)
                        if c in ("amount", "allocation", "debit", "credit", "net", "total") else F.col(c)
                        for c in columns])
 
 
+def _c(value, name):
+    return f"floor(({value}) * 100 + 0.500001) / 100 AS {name}"
+
+
 def _m(c):
-    return f"CAST({c} AS DECIMAL(20,2)) AS {c}"
+    return _c(c, c)
 
 
 @query("gl_period_filter", f"""WITH {ALL_SQL} SELECT seq, date, {_m('debit')}, {_m('credit')} FROM gl
@@ -320,7 +330,7 @@ _MONTH_ID = ("CASE month(period - INTERVAL 1 MONTH) " + " ".join(
 @query("overhead_sweep", f"""WITH {ALL_SQL} SELECT period, new_dept, new_dept_code, div, pc, {_m('amount')}, {_m('allocation')},
   ROUND(percentage, 6) AS percentage, 'Allocation Overhead ' || strftime(period, '%m%y') AS description,
   '7501-00-000' AS account_code, 'FTE : PC ' || {_MONTH_ID} AS method, '360' AS reporting_code,
-  CAST(GREATEST(amount, 0) AS DECIMAL(20,2)) AS debit, CAST(GREATEST(-amount, 0) AS DECIMAL(20,2)) AS credit FROM sweep""")
+  floor((GREATEST(amount, 0)) * 100 + 0.500001) / 100 AS debit, floor((GREATEST(-amount, 0)) * 100 + 0.500001) / 100 AS credit FROM sweep""")
 def overhead_sweep(spark, sf):
     rows = run(spark, sf).overhead.withColumn("percentage", F.round("percentage", 6))
     return cents(rows, "period", "new_dept", "new_dept_code", "div", "pc", "amount", "allocation", "percentage",
@@ -395,37 +405,37 @@ def check_referential(spark, sf):
 _PROJ = """SELECT date, type AS "Type", ref_no AS "Ref No.", NULL::VARCHAR AS "Contact", NULL::VARCHAR AS "Description",
   NULL::VARCHAR AS "Note", account_code AS "Code", account_name AS "Account Name", account AS "Account",
   reporting_code AS "Reporting Code", reporting_account_name AS "Reporting Account Name", reporting_account AS "Reporting Account",
-  dept AS "Dept", new_dept AS "New Dept", div AS "Dept_div", pc AS "PC", CAST(debit AS DECIMAL(20,2)) AS "Debit",
-  CAST(credit AS DECIMAL(20,2)) AS "Credit", CAST(amount AS DECIMAL(20,2)) AS "Amount", ROUND(percentage, 9) AS "Percentage",
-  CAST(allocation AS DECIMAL(20,2)) AS "Allocation", label AS "Distribution And Allocation" FROM base"""
+  dept AS "Dept", new_dept AS "New Dept", div AS "Dept_div", pc AS "PC", floor((debit) * 100 + 0.500001) / 100 AS "Debit",
+  floor((credit) * 100 + 0.500001) / 100 AS "Credit", floor((amount) * 100 + 0.500001) / 100 AS "Amount", ROUND(percentage, 9) AS "Percentage",
+  floor((allocation) * 100 + 0.500001) / 100 AS "Allocation", label AS "Distribution And Allocation" FROM base"""
 
 
 @query("distribution_project", f"WITH {ALL_SQL} {_PROJ}")
 def distribution_project(spark, sf):
     out = D.distribution_project(run(spark, sf, overhead=False).out)
-    money = {c: F.col(c).cast("decimal(20,2)") for c in ("Debit", "Credit", "Amount", "Allocation")}
+    money = {c: cent(F.col(c)) for c in ("Debit", "Credit", "Amount", "Allocation")}
     return out.withColumns({**money, "Percentage": F.round("Percentage", 9)})
 
 
 @query("distribution_run", f"""WITH {ALL_SQL},
 o AS (SELECT period, new_dept, pc, kind, allocation FROM base UNION ALL SELECT period, new_dept, pc, 'overhead', allocation FROM sweep)
-SELECT period, new_dept, pc, kind, COUNT(*) AS n, CAST(SUM(allocation) AS DECIMAL(20,2)) AS total FROM o GROUP BY 1, 2, 3, 4""")
+SELECT period, new_dept, pc, kind, COUNT(*) AS n, floor((SUM(allocation)) * 100 + 0.500001) / 100 AS total FROM o GROUP BY 1, 2, 3, 4""")
 def distribution_run(spark, sf):
     """The gated run, summed by month and receiving department."""
     r = run(spark, sf)
     R.validate(r)
     return (r.out.groupBy("period", "new_dept", "pc", "kind")
-            .agg(F.count("*").alias("n"), F.sum("allocation").cast("decimal(20,2)").alias("total")))
+            .agg(F.count("*").alias("n"), cent(F.sum("allocation")).alias("total")))
 
 
 @query("distribution_compare", f"""WITH {ALL_SQL}, t AS (SELECT new_dept, SUM(allocation) AS a FROM base GROUP BY 1),
 s AS (SELECT new_dept, SUM(allocation) AS b FROM sweep GROUP BY 1)
-SELECT new_dept, CAST(a AS DECIMAL(20,2)) AS left_total, CAST(a + COALESCE(b, 0) AS DECIMAL(20,2)) AS right_total,
-  CAST(ABS(COALESCE(b, 0)) AS DECIMAL(20,2)) AS difference FROM t LEFT JOIN s USING (new_dept)""")
+SELECT new_dept, floor((a) * 100 + 0.500001) / 100 AS left_total, floor((a + COALESCE(b, 0)) * 100 + 0.500001) / 100 AS right_total,
+  floor((ABS(COALESCE(b, 0))) * 100 + 0.500001) / 100 AS difference FROM t LEFT JOIN s USING (new_dept)""")
 def distribution_compare(spark, sf):
     r = run(spark, sf)
     rows = D.distribution_compare(r.base, r.out)
-    return rows.select("new_dept", *[F.col(c).cast("decimal(20,2)").alias(c)
+    return rows.select("new_dept", *[cent(F.col(c)).alias(c)
                                      for c in ("left_total", "right_total", "difference")])
 
 

@@ -1,8 +1,9 @@
 """Cost distribution: rules, charges, receivers, overhead sweep, gates.
 
 Ledger lines pass through narrow lookups into the sheets; only the gates and
-the sweep aggregate. Sheets are dimensions and are broadcast after their row
-count is checked, else Spark joins them by shuffle.
+the sweep aggregate. No join is told to broadcast: a run stores its lookups, so
+Spark knows their size and broadcasts those below its threshold, and joins
+larger ones by shuffle.
 """
 
 from __future__ import annotations
@@ -14,14 +15,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from saldoflow import constants as K
 from saldoflow.functions import scalars as S
 
-SMALL_ROWS = 50_000
-
-
-def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast a lookup when it has at most ``rows`` rows, else leave it be."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 # --- lookups ---------------------------------------------------------------
 
 def in_period(gl: DataFrame, period: str) -> DataFrame:
@@ -259,7 +252,7 @@ def overhead_sweep(base: DataFrame, weights: DataFrame, swept: DataFrame, by_nam
     own = (base.filter(F.col("period").isNotNull())
            .withColumn("_net", net)
            .groupBy("period", "new_dept").agg(F.sum("_net").alias("net"))
-           .join(small(swept), S.name_key(F.col("new_dept")) == F.col("swept_key"), "left_semi")
+           .join(swept, S.name_key(F.col("new_dept")) == F.col("swept_key"), "left_semi")
            .filter("net <> 0"))
     reversal = own.select("period", "new_dept", (-F.col("net")).alias("amount"),
                           F.lit(1.0).alias("percentage"), (-F.col("net")).alias("allocation"))

@@ -23,15 +23,21 @@ class Lookups:
 
 
 def build_lookups(sheets: dict) -> Lookups:
-    """Sheet lookups; an ambiguous rule key is refused."""
+    """Sheet lookups, stored once; an ambiguous rule key is refused.
+
+    Every join of the run reads them, and a stored table has a known size, which
+    is what decides whether it is broadcast.
+    """
     doubled = D.logic_duplicates(sheets["LOGIC"]).limit(10).collect()
     if doubled:
         raise ValueError(f"ambiguous rule keys (account code, account name, bucket): {doubled}")
     by_name, by_code = D.pc_lookup(sheets["PC"])
-    return Lookups(D.small(by_name), D.small(by_code), D.small(D.coa_reporting_lookup(sheets["COA"])),
-                   D.small(D.logic_rules(sheets["LOGIC"])),
-                   D.small(D.allocation_split(sheets["ALLOCATION"])),
-                   D.swept_departments(sheets["PC"]))
+    lookups = {"by_name": by_name, "by_code": by_code,
+               "reporting": D.coa_reporting_lookup(sheets["COA"]),
+               "rules": D.logic_rules(sheets["LOGIC"]),
+               "split": D.allocation_split(sheets["ALLOCATION"]),
+               "swept": D.swept_departments(sheets["PC"])}
+    return Lookups(**{name: settle(df, name) for name, df in lookups.items()})
 
 
 def resolve(gl: DataFrame, lk: Lookups) -> DataFrame:
@@ -51,7 +57,7 @@ def checked_weights(lk: Lookups) -> DataFrame:
     total = weights.agg({"weight": "sum"}).head()[0]
     if not total or total <= 0:
         raise ValueError("the overhead sweep has no receiving department with a share")
-    return D.small(weights)
+    return weights
 
 
 @dataclass
@@ -66,8 +72,12 @@ class Run:
 
 
 def distribute(gl: DataFrame, sheets: dict, period: str | None = None, overhead: bool = True,
-               recompute_basis: bool = False) -> Run:
-    """The whole chain as DataFrames. ``gl`` has ``gl_line_id`` (see number_lines)."""
+               recompute_basis: bool = False, keep: bool = True) -> Run:
+    """The whole chain as DataFrames. ``gl`` has ``gl_line_id`` (see number_lines).
+
+    The charged rows feed the output, the sweep, the totals and the line gate;
+    with ``keep`` they are stored once instead of being joined anew for each.
+    """
     if period is not None:
         gl = D.gl_period_filter(gl, period)
     if recompute_basis:
@@ -76,6 +86,7 @@ def distribute(gl: DataFrame, sheets: dict, period: str | None = None, overhead:
     lk = build_lookups(sheets)
     resolved = resolve(gl, lk)
     charged = D.charge(resolved, lk.split)
+    charged = settle(charged, "charged") if keep else charged
     rejects = D.charge_rejects(charged)
     base = D.receiver_enrich(charged.filter("kind <> 'reject'"), lk.by_name, lk.by_code)
     swept = None
