@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from saldoflow.functions import scalars as S
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -218,14 +220,14 @@ _MANUAL = ("array<struct<id:string,debit:decimal(22,2),credit:decimal(22,2),"
            "account:struct<code:string,name:string>,department:struct<code:string,name:string>>>")
 
 
-def bodies(orders: DataFrame, module: str, method="POST", status: Column | None = None) -> Column:
-    """The callback body of an order as a document of one kind."""
+def bodies(orders: DataFrame, module: str) -> DataFrame:
+    """Orders with ``body``, the callback of each as a document of one kind."""
     k = F.col("k")
     prefix = PREFIX[module]
     common = {
         "id": _text(f"{prefix}-", k.cast("string")), "number": _text(f"{prefix}/", k.cast("string")),
         "date": F.col("d").cast("string"), "description": _text("Order ", k.cast("string")),
-        "status": F.when(F.col("st") == "P", "draft").otherwise("approved") if status is None else status,
+        "status": F.when(F.col("st") == "P", "draft").otherwise("approved"),
         "department": _obj(code=_text("N", F.col("nk").cast("string")), name=F.col("nname")),
         "project": _obj(name=F.col("prio")),
         "currency": F.when(F.col("nk") % 5 == 0, _obj(code="USD")),
@@ -233,19 +235,18 @@ def bodies(orders: DataFrame, module: str, method="POST", status: Column | None
                         user=_obj(name=_text("clerk-", (k % 10).cast("string")),
                                   email=_text("clerk", (k % 10).cast("string"), "@example.org"))),
     }
-    data = F.to_json(_obj(**common, **document_data(module)))
-    body = F.concat(F.lit('{"end_point":"' + END_POINT[module] + '","method":"'),
-                    method if isinstance(method, Column) else F.lit(method),
-                    F.lit('","data":{'), _rate_fragment(), F.substring(data, 2, 2_000_000_000), F.lit("}"))
+    orders = S.once(orders, data_json=F.to_json(_obj(**common, **document_data(module))))
+    body = F.concat(F.lit('{"end_point":"' + END_POINT[module] + '","method":"POST","data":{'), _rate_fragment(), F.substring("data_json", 2, 2_000_000_000), F.lit("}"))
+    orders = S.once(orders, plain_body=body)
+    body = F.col("plain_body")
     encoded = F.concat(F.lit('"'), F.replace(F.replace(body, F.lit("\\"), F.lit("\\\\")),
                                              F.lit('"'), F.lit('\\"')), F.lit('"'))
-    return F.when(k % 3 == 0, encoded).otherwise(body)
+    return S.once(orders, body=F.when(k % 3 == 0, encoded).otherwise(body))
 
 
 def callbacks(spark, sf, module: str) -> DataFrame:
     """One callback per order for one kind."""
-    orders = orders_with_lines(spark, sf)
-    return orders.select(F.col("k").alias("callback_id"), F.lit("POST").alias("method"),
-                         bodies(orders, module).alias("body"),
+    orders = bodies(orders_with_lines(spark, sf), module)
+    return orders.select(F.col("k").alias("callback_id"), F.lit("POST").alias("method"), "body",
                          F.col("d").cast("timestamp_ntz").alias("created_at"),
                          F.lit(None).cast("timestamp_ntz").alias("deleted_at"))

@@ -101,8 +101,8 @@ def transform_documents(docs: DataFrame, modules=None) -> DataFrame:
               total_debit=f"CAST(draft.debit + greatest(residual, 0) AS {X.TOTAL})",
               total_credit=f"CAST(draft.credit + greatest(-residual, 0) AS {X.TOTAL})")
     df = once(df, error=f"coalesce({payload_validate()}, {gates()})")
-    return df.select("callback_id", F.col("created_at").alias("raw_created_at"), "module",
-                     "end_point", "method", "source_id", "status", "data", "party",
+    return with_head(df).select("callback_id", F.col("created_at").alias("raw_created_at"), "module",
+                     "end_point", "method", "source_id", "status", "data", "head", "party",
                      "base_currency", "base_rate", "lines", "claims", "rows", "total_debit",
                      "total_credit", "error")
 
@@ -118,21 +118,25 @@ def documents_of(callbacks: DataFrame, module: str) -> DataFrame:
                          F.col("payload.data").alias("data"))
 
 
+def with_head(docs: DataFrame) -> DataFrame:
+    """Add ``head``, the fields every row of a document repeats.
+
+    Texts are converted here, once per document, before its rows multiply them.
+    """
+    d = F.col("data")
+    return S.once(docs, head=F.struct(
+        d.date.try_cast("date").alias("date"), d.number.alias("ref_no"),
+        F.when(F.col("module") != "manual_journal", F.col("party")).alias("contact"),
+        d.description.alias("description"), S.to_wib(d.created.time).alias("created_at"),
+        d.created.user["name"].alias("created_by")))
+
+
 def journal_lines(transformed: DataFrame) -> DataFrame:
     """One row per accounting line of the documents that passed every gate."""
-    d = F.col("data")
-    # Texts are converted once per document, before its rows multiply them.
     heads = transformed.filter(F.col("error").isNull()).select(
-        d.date.try_cast("date").alias("date"),
-        S.literal_lookup(F.col("module"), K.DOCUMENT_TYPES).alias("type"),
-        d.number.alias("ref_no"),
-        F.when(F.col("module") != "manual_journal", F.col("party")).alias("contact"),
-        d.description.alias("description"),
-        F.col("source_id"), F.col("status"),
-        S.to_wib(d.created.time).alias("created_at"),
-        d.created.user["name"].alias("created_by"),
-        "module", F.col("callback_id").cast("string").alias("raw_callback_id"), "raw_created_at",
-        "rows")
+        "head.*", S.literal_lookup(F.col("module"), K.DOCUMENT_TYPES).alias("type"),
+        "source_id", "status", "module", F.col("callback_id").cast("string").alias("raw_callback_id"),
+        "raw_created_at", "rows")
     flat = heads.select(*[c for c in heads.columns if c != "rows"],
                         F.posexplode("rows").alias("row_no", "row"))
     valued = flat.filter((F.col("row.debit") != 0) | (F.col("row.credit") != 0))

@@ -23,19 +23,20 @@ class ModuleLoad:
 
 
 def module_process(docs: DataFrame, modules=None, keep: bool = True) -> ModuleLoad:
-    """State, skip, transform, newest version, for all modules in one pass.
+    """Transform, state, skip, newest version, for all modules in one pass.
 
-    The transformed documents are read by three outputs; with ``keep`` they are
-    written to the shared folder once instead of being parsed again for each.
+    Bodies are parsed once: the transformed documents are written to the shared
+    folder, and state, failures, counts and lines each read the columns they
+    need. Without ``keep`` they would be parsed again for each.
     """
     keys = ["module", "source_id"]
-    state = L.latest_document_state(docs, keys)
-    skipped = L.delete_or_draft_set(state)
-    transformed = D.transform_documents(docs, modules)
+    transformed = D.transform_documents(docs, modules).select(
+        "callback_id", "raw_created_at", *keys, "method", "status", "head", "rows", "error")
     if keep:
-        transformed = settle(transformed.select(
-            "callback_id", "raw_created_at", "module", "source_id", "status", "data",
-            "party", "rows", "error"), "transformed")
+        transformed = settle(transformed, "transformed")
+    received = transformed.select("callback_id", F.col("raw_created_at").alias("created_at"),
+                                  *keys, "method", "status")
+    skipped = L.delete_or_draft_set(L.latest_document_state(received, keys))
     # Small rows decide which versions load; wide rows are joined on the unique
     # callback_id afterwards, so a document with many versions is no hot key.
     versions = transformed.select("callback_id", "raw_created_at", "module", "source_id", "error")
@@ -44,7 +45,7 @@ def module_process(docs: DataFrame, modules=None, keep: bool = True) -> ModuleLo
     winners = L.latest_version_rows(wanted.filter(F.col("error").isNull()), keys)
     chosen = transformed.join(winners.select("callback_id"), "callback_id", "left_semi")
     lines = D.journal_lines(chosen)
-    summary = L.module_run_summary(docs.select("module"), failed, lines.select("module"), skipped)
+    summary = L.module_run_summary(received, failed, lines.select("module"), skipped)
     return ModuleLoad(lines, skipped, failed, summary)
 
 
