@@ -29,10 +29,14 @@ def _orders(spark, sf):
 
 
 def _on_orders(name, columns, sql):
-    """A query of expressions over order texts; ``sql`` is the same select list."""
+    """A query of expressions over order texts; ``sql`` is the same select list.
+
+    An expression is a text, or a function that makes the column: without a
+    session no column can be made.
+    """
     @query(name, f"WITH {_ORDERS_SQL} SELECT k, {sql} FROM t")
     def run(spark, sf):
-        made = {n: F.expr(c) if isinstance(c, str) else c for n, c in columns.items()}
+        made = {n: F.expr(c) if isinstance(c, str) else c() for n, c in columns.items()}
         return _orders(spark, sf).select("k", *[c.alias(n) for n, c in made.items()])
 
 
@@ -77,64 +81,64 @@ _FX = X.forex_account("k % 2 = 0")
 _on_orders("forex_account_pick", {"account_code": _FX[0], "coa_name": _FX[1]},
            """CASE WHEN k % 2 = 0 THEN '9104' ELSE '8104' END AS account_code,
            CASE WHEN k % 2 = 0 THEN 'Realize Forex Loss' ELSE 'Realize Forex Gain' END AS coa_name""")
-_on_orders("original_currency_amount", {"value": S.original_currency_amount(
+_on_orders("original_currency_amount", {"value": lambda: S.original_currency_amount(
     F.expr("CAST(k AS DECIMAL(18,3)) + CAST(0.125 AS DECIMAL(4,3))"),
     F.expr("CASE k % 3 WHEN 0 THEN CAST(0 AS DECIMAL(20,8)) WHEN 1 THEN CAST(1 AS DECIMAL(20,8)) "
            "ELSE CAST(0.5 AS DECIMAL(20,8)) END"))},
     "CAST(CASE WHEN k % 3 = 2 THEN k * 2 + 0.25 ELSE k + 0.12 END AS DECIMAL(18,2)) AS value")
 _on_orders("account_code_normalise", {
-    "python_form": S.account_code_normalise(F.col("code")), "sql_form": S.account_key(F.col("code"))},
+    "python_form": lambda: S.account_code_normalise(F.col("code")), "sql_form": lambda: S.account_key(F.col("code"))},
     """NULLIF(rtrim(regexp_replace(code, '[^0-9]', '', 'g'), '0'), '') AS python_form,
     rtrim(replace(code, '-', ''), '0') AS sql_form""")
-_on_orders("name_key_normalise", {"name_key": S.name_key(
+_on_orders("name_key_normalise", {"name_key": lambda: S.name_key(
     F.expr("concat('  Head \\t QUARTER ', st, '  ', k, ' ')"))},
     "'head quarter ' || lower(st) || ' ' || k AS name_key")
 _MON = "CASE month(d) " + " ".join(
     f"WHEN {i + 1} THEN '{m}'" for i, m in enumerate(
         ["JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC"])) + " END"
-_on_orders("period_label", {"period": S.period_label(F.expr("IF(k % 11 = 0, NULL, d)"))},
+_on_orders("period_label", {"period": lambda: S.period_label(F.expr("IF(k % 11 = 0, NULL, d)"))},
            f"CASE WHEN k % 11 <> 0 THEN {_MON} || '-' || year(d) END AS period")
-_PERIOD_TEXT = F.expr("""CASE k % 4 WHEN 0 THEN date_format(d, 'MMM-yyyy') WHEN 1 THEN date_format(d, 'yyyy-MM')
-    WHEN 2 THEN concat(' ', lower(date_format(d, 'MMM-yyyy')), ' ') ELSE '2026-13' END""")
-_on_orders("period_date", {"period": S.period_date(_PERIOD_TEXT)},
+_PERIOD_TEXT = """CASE k % 4 WHEN 0 THEN date_format(d, 'MMM-yyyy') WHEN 1 THEN date_format(d, 'yyyy-MM')
+    WHEN 2 THEN concat(' ', lower(date_format(d, 'MMM-yyyy')), ' ') ELSE '2026-13' END"""
+_on_orders("period_date", {"period": lambda: S.period_date(F.expr(_PERIOD_TEXT))},
            "CASE WHEN k % 4 <> 3 THEN CAST(date_trunc('month', d) AS DATE) END AS period")
-_on_orders("period_normalise", {"period": S.period_normalise(_PERIOD_TEXT)},
+_on_orders("period_normalise", {"period": lambda: S.period_normalise(F.expr(_PERIOD_TEXT))},
            f"CASE WHEN k % 4 <> 3 THEN {_MON} || '-' || year(d) END AS period")
 _PREV = _MON.replace("month(d)", "month(d - INTERVAL 1 MONTH)")
-_on_orders("period_previous", {"period": S.period_previous(_PERIOD_TEXT)},
+_on_orders("period_previous", {"period": lambda: S.period_previous(F.expr(_PERIOD_TEXT))},
            f"CASE WHEN k % 4 <> 3 THEN {_PREV} || '-' || year(date_trunc('month', d) - INTERVAL 1 MONTH) END AS period")
 _ID = "CASE month(d) " + " ".join(f"WHEN {i + 1} THEN '{m}'" for i, m in enumerate(
     ["Januari", "Februari", "Maret", "April", "Mei", "Juni", "Juli", "Agustus", "September",
      "Oktober", "November", "Desember"])) + " END"
-_on_orders("period_month_name_id", {"month_name": S.period_month_name_id(_PERIOD_TEXT)},
+_on_orders("period_month_name_id", {"month_name": lambda: S.period_month_name_id(F.expr(_PERIOD_TEXT))},
            f"CASE WHEN k % 4 <> 3 THEN {_ID} END AS month_name")
-_on_orders("receivable_account", {"account": S.receivable_account(F.expr(
+_on_orders("receivable_account", {"account": lambda: S.receivable_account(F.expr(
     "CASE k % 4 WHEN 0 THEN ' idr ' WHEN 1 THEN 'USD' WHEN 2 THEN NULL ELSE '' END"))},
     "CASE WHEN k % 4 = 1 THEN '1121-12-000' ELSE '1121-11-000' END AS account")
-_on_orders("credit_balance_flag", {"credit_balance": S.credit_balance(F.col("code"))},
+_on_orders("credit_balance_flag", {"credit_balance": lambda: S.credit_balance(F.col("code"))},
            "COALESCE(code LIKE '4%', false) AS credit_balance")
 _METHOD = ("CASE k % 6 WHEN 0 THEN 'FTE - All' WHEN 1 THEN ' Revenue HO' WHEN 2 THEN 'Lab Distribution' "
            "WHEN 3 THEN 'Head Office : Tower B' WHEN 4 THEN 'Revenue' END")
-_on_orders("basis_label", {"basis": S.basis_label(F.expr(_METHOD))},
+_on_orders("basis_label", {"basis": lambda: S.basis_label(F.expr(_METHOD))},
            "CASE WHEN k % 6 IN (0, 3) THEN 'basis_fte' WHEN k % 6 IN (1, 4) THEN 'basis_rev' ELSE 'Fixed' END AS basis")
 _on_orders("activity_type", {
-    "action": S.activity_action(F.expr("CASE k % 6 WHEN 0 THEN 'post' WHEN 1 THEN 'PUT' WHEN 2 THEN 'patch' "
+    "action": lambda: S.activity_action(F.expr("CASE k % 6 WHEN 0 THEN 'post' WHEN 1 THEN 'PUT' WHEN 2 THEN 'patch' "
                                        "WHEN 3 THEN 'DELETE' WHEN 4 THEN 'HEAD' END")),
-    "activity_type": S.activity_type(F.expr("CASE k % 6 WHEN 0 THEN 'post' WHEN 1 THEN 'PUT' "
+    "activity_type": lambda: S.activity_type(F.expr("CASE k % 6 WHEN 0 THEN 'post' WHEN 1 THEN 'PUT' "
                                             "WHEN 2 THEN 'patch' WHEN 3 THEN 'DELETE' WHEN 4 THEN 'HEAD' END"))},
     """CASE k % 6 WHEN 1 THEN 'PUT' WHEN 2 THEN 'PATCH' WHEN 3 THEN 'DELETE' WHEN 4 THEN 'HEAD' ELSE 'POST' END AS action,
     CASE k % 6 WHEN 0 THEN 'create' WHEN 5 THEN 'create' WHEN 3 THEN 'delete' ELSE 'update' END AS activity_type""")
 _DEPT = ("CASE k % 4 WHEN 0 THEN ' CERTIFICATION SERVICES ' WHEN 1 THEN "
          "'Automotive (System Certification Services Technical Ops)' WHEN 2 THEN 'Automotive' END")
-_on_orders("alias_replace", {"dept": S.alias(F.expr(_DEPT), {
+_on_orders("alias_replace", {"dept": lambda: S.alias(F.expr(_DEPT), {
     "Automotive (System Certification Services Technical Ops)": "Automotive",
     "CERTIFICATION SERVICES": "System Certification Services"})},
     "CASE k % 4 WHEN 0 THEN 'System Certification Services' WHEN 1 THEN 'Automotive' WHEN 2 THEN 'Automotive' END AS dept")
-_on_orders("endpoint_to_module", {"module": S.endpoint_to_module(F.expr(
+_on_orders("endpoint_to_module", {"module": lambda: S.endpoint_to_module(F.expr(
     "CASE k % 5 WHEN 0 THEN 'purchases_invoices' WHEN 1 THEN 'purchase_invoices' WHEN 2 THEN 'cash_ins' "
     "WHEN 3 THEN 'manual_journals' END"))},
     "CASE k % 5 WHEN 0 THEN 'purchase_invoice' WHEN 2 THEN 'cash_in' WHEN 3 THEN 'manual_journal' END AS module")
-_on_orders("to_wib", {"wib": S.to_wib(F.expr(
+_on_orders("to_wib", {"wib": lambda: S.to_wib(F.expr(
     """CASE k % 6 WHEN 0 THEN concat(d, 'T03:26:40+00:00') WHEN 1 THEN concat(d, ' 20:00:00')
        WHEN 2 THEN concat(d, 'T03:00:00+07:00') WHEN 3 THEN '' WHEN 4 THEN '2026'
        ELSE CAST(d AS STRING) END"""))},
