@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldoflow.llm import bpe
+from saldoflow.llm import bpe, simhash
 from saldoflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn):
     return fn
 
 
+@query
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
+
+
 @query
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
