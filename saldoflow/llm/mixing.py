@@ -74,7 +74,7 @@ def allocate(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, limit: int = 3
     columns are not read.
     """
     narrow = settle(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
-    spread = narrow.groupBy("source").agg(F.sum(F.sqrt("size") * F.col("size")).alias("spread"))
+    spread = narrow.groupBy("source").agg(F.sum((F.sqrt("size") * F.col("size")).cast("long")).alias("spread"))
     goals = targets(narrow, weights, limit)
     whole = F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(limit)).cast("long")
     goals = goals.join(spread, goals.source.eqNullSafe(spread.source)).drop(spread.source)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldoflow.llm import bpe, simhash
+from saldoflow.llm import bpe, mixing, simhash
+from saldoflow.llm import oracles
 from saldoflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,8 +24,16 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
 
 
+@query
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.allocate(table(spark, folder, "documents"))
+
+
 @query
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
     return bpe.digests(table(spark, folder, "documents"),
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+ORACLES["op9_mixing"] = oracles.MIXING
