@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldoflow.llm import bpe, mixing, simhash
-from saldoflow.llm import oracles
+from saldoflow.llm import bpe, mixing, oracles, rules, sharding, simhash
 from saldoflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +23,18 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
 
 
+@query
+def op4_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+@query
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.digest(table(spark, folder, "documents"))
+
+
 @query
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.allocate(table(spark, folder, "documents"))
