@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saldoflow.llm import bpe, mixing, oracles, rules, sharding, simhash
+from saldoflow.llm import bpe, mixing, oracles, pii, rules, sharding, simhash
 from saldoflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,12 @@ def op4_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept")
 
 
+@query
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs).select("doc_id", "n_replaced", "text")
+
+
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.digest(table(spark, folder, "documents"))
