@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saldoflow.llm import bpe, mixing, oracles, pii, rules, sharding, simhash
-from saldoflow.llm.common import table
+from saldoflow.llm import bpe, mixing, oracles, pii, preference, rules, sharding, simhash, toxicity
+from saldoflow.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,16 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
 
 
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    model = preference.learn(docs, preference.training(labels))
+    return preference.score(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op4_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(table(spark, folder, "documents")).select(
@@ -36,6 +46,16 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pseudonymise(docs).select("doc_id", "n_replaced", "text")
 
 
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    model = toxicity.learn(toxicity.training(docs), toxicity.training(labels))
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.digest(table(spark, folder, "documents"))
