@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saldoflow.llm import bpe, mixing, oracles, pii, preference, rules, sharding, simhash, toxicity
+from saldoflow.llm import bpe, language, mixing, oracles, pii, preference, rules, sharding, simhash, toxicity
 from saldoflow.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,16 @@ def op4_rules(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept")
 
 
+@query
+def op5_brown(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 10) == 0
+    model = language.Model(docs.filter(~held_out))
+    return language.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 @query
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
