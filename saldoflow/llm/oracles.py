@@ -63,3 +63,21 @@ counted AS (
 SELECT doc_id, source, size, source_size, target, copies::BIGINT AS copies, (copies * size)::BIGINT AS taken
 FROM counted
 """
+
+COVER_TREE = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id != b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = r.vec_id)::BIGINT AS n_links,
+       min(other) AS component_id, min(other) = vec_id AS kept
+FROM reach r GROUP BY vec_id
+"""

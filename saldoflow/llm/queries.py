@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saldoflow.llm import bpe, language, mixing, oracles, pii, preference, rules, sharding, simhash, toxicity
+from saldoflow.llm import bpe, covertree, language, mixing, oracles, pii, preference, rules, sharding, simhash, toxicity
 from saldoflow.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, folder, "embeddings"), cosine=0.98)
+
+
 @query
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
@@ -83,4 +88,5 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+ORACLES["op1_cover_tree"] = oracles.COVER_TREE
 ORACLES["op9_mixing"] = oracles.MIXING
