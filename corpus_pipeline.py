@@ -12,7 +12,7 @@ STAGES = [
     ("quality classifier", stages.quality),
     ("simhash near-dedup", stages.near_dedup),
     ("private data", stages.private),
-    ("mixing", stages.mixing),
+    ("mixing", stages.mixing_),
     ("byte-level bpe", stages.tokens),
 ]
 

@@ -1,21 +1,48 @@
-"""Stages of the corpus pipeline: (spark, docs, sf_dir) to documents."""
+"""Stages of the corpus pipeline: (spark, docs, sf_dir) to documents.
+
+Each works on all documents that its predecessor kept, and its decisions take effect. All
+but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saldoflow.llm import bpe
+from saldoflow.llm import bpe, mixing, pii, preference, simhash
+from saldoflow.llm.common import table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that the classifier accepts; it learns from the labels of the folder."""
+    labels = preference.training(table(spark, sf_dir, "labels"))
+    model = preference.learn(docs.select("doc_id", "text"), labels)
+    return preference.score(docs, model, "_score").filter("_score >= 0.5").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest id. Rows that
+    repeat a doc_id stay or go together."""
+    gone = simhash.near_duplicates(docs, shingle=4, radius=4).filter("NOT kept").select(
+        F.col("doc_id").alias("_gone"))
+    return docs.join(gone, docs.doc_id.eqNullSafe(gone._gone), "left_anti")
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with private values replaced and, with them, their length in characters."""
+    out = pii.pseudonymise(docs).select(*docs.columns)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
-near_dedup = private = mixing = quality
+def mixing_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents, each as often as the mix takes it."""
+    return mixing.mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their texts."""
+    """Documents with the ids of their texts, and whether the ids give the text again."""
     import public_tokenizers
-    return bpe.encode_column(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                             public_tokenizers.PATTERN)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.encode_column(docs, path, public_tokenizers.PATTERN)
+    decoded = bpe.decode_column(coded, path, to="_decoded")
+    same = F.col("_decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return decoded.withColumn("round_trip", same).drop("_decoded")
