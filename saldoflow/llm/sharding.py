@@ -8,7 +8,7 @@ of all records; shards are equal cuts of it, so their row counts differ by one a
 The number of buckets follows the data, not the cluster, and a bucket's place in the
 second pass depends on its number only, so a rerun or a recomputed task shuffles alike.
 Records that a hash cannot tell apart, such as many equal rows, can overfill a bucket;
-such a bucket is scattered again by the row's place in its input.
+such a bucket is scattered again over all buckets, by its rows' places in the input.
 """
 
 from __future__ import annotations
@@ -43,12 +43,11 @@ def external_shuffle(df: DataFrame, size: Column, keys: list[str], seed: int = 7
     placed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
                        scatter.alias("bucket"), size.alias("bytes"))
     over = (placed.groupBy("bucket").agg(F.sum("bytes").alias("held"), F.count("*").alias("n"))
-            .filter((F.col("held") > 4 * bucket_bytes) & (F.col("n") > 1))
-            .select("bucket", F.ceil(F.col("held") / bucket_bytes).alias("into")))
+            .filter((F.col("held") > 4 * bucket_bytes) & (F.col("n") > 1)).select("bucket"))
     if not over.isEmpty():
-        again = F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.col("into"))
-        placed = placed.join(settle(over, "over"), "bucket", "left").select(
-            "row", (F.col("bucket") + buckets * F.coalesce(again, F.lit(0))).alias("bucket"))
+        again = F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(buckets)).cast("long")
+        placed = placed.join(settle(over.withColumn("full", F.lit(True)), "over"), "bucket", "left").select(
+            "row", F.when(F.col("full"), again).otherwise(F.col("bucket")).alias("bucket"))
     order = F.xxhash64(F.lit(seed + 1), *[F.col(f"row.`{k}`") for k in keys])
     arrays = (placed.select("bucket", F.struct(order.alias("order"), "row").alias("r"))
               .repartition(int(min(buckets, PARTITIONS)), "bucket")
