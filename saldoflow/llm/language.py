@@ -154,7 +154,8 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
             table[own] -= right
             table[:, own] -= left
             table[own, own] -= self_
-            rows, columns = table.sum(1), table.sum(0)
+            # What stands before and after the unit counts in its neighbours' sums wherever it goes.
+            rows, columns = table.sum(1) + left, table.sum(0) + right
             base = _g(table)
             by_row, by_column = _g(table + right) - base, _g(table.T + left) - base.T
             gain = (by_row.sum(1) - by_row[diagonal, diagonal] + by_column.sum(1) - by_column[diagonal, diagonal]
