@@ -204,15 +204,22 @@ def test_classes_beat_single_words(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
-def test_exchange_finds_alternating_classes():
-    draw = np.random.default_rng(0)
-    pairs = np.zeros((41, 41))
-    for a in range(1, 21):
-        for b in range(21, 41):
-            pairs[a, b], pairs[b, a] = draw.poisson(3, 2)
-    pairs[0, 1] = pairs[40, 0] = 1
-    cls = language.exchange(pairs, 3)
-    assert len(set(cls[1:21])) == 1 and len(set(cls[21:])) == 1 and cls[1] != cls[21] and 0 not in cls[1:]
+def test_exchange_ends_where_no_move_gains():
+    pairs = np.random.default_rng(0).poisson(2, (30, 30)).astype(float)
+
+    def likelihood(cls, classes):
+        member = np.eye(classes)[cls]
+        table = member.T @ pairs @ member
+        g = lambda x: (x * np.log(np.maximum(x, 1e-300))).sum()
+        return g(table) - g(table.sum(0)) - g(table.sum(1))
+
+    for classes in (3, 5):
+        cls = language.exchange(pairs, classes)
+        found = likelihood(cls, classes)
+        moves = [likelihood(np.where(np.arange(30) == u, b, cls), classes) for u in range(1, 30) for b in range(1, classes)]
+        assert max(moves) <= found + 1e-6
+        assert found > likelihood(np.r_[0, 1 + np.arange(29) % (classes - 1)], classes)
+        assert cls[0] == 0 and 0 not in cls[1:]
 
 
 def test_unit_of_group_is_the_same_in_sql(spark):
