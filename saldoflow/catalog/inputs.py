@@ -236,7 +236,7 @@ def bodies(orders: DataFrame, module: str) -> DataFrame:
                                   email=_text("clerk", (k % 10).cast("string"), "@example.org"))),
     }
     orders = S.once(orders, data_json=F.to_json(_obj(**common, **document_data(module))))
-    body = F.concat(F.lit('{"end_point":"' + END_POINT[module] + '","method":"POST","data":{'), _rate_fragment(), F.substring("data_json", 2, 2_000_000_000), F.lit("}"))
+    body = F.concat(F.lit('{"end_point":"' + END_POINT[module] + '","method":"POST","data":{'), _rate_fragment(), F.expr("substring(data_json, 2)"), F.lit("}"))
     orders = S.once(orders, plain_body=body)
     body = F.col("plain_body")
     encoded = F.concat(F.lit('"'), F.replace(F.replace(body, F.lit("\\"), F.lit("\\\\")),

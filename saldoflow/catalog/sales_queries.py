@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from saldoflow import constants as K
 from saldoflow.catalog import inputs as I, query
-from saldoflow.operators import daily_vat as V, departments as D, sales_detail as P
+from saldoflow.operators import ledger as L, daily_vat as V, departments as D, sales_detail as P
 from saldoflow.plans import sales_posting as SP
 
 # --- sales detail -----------------------------------------------------------
@@ -163,7 +165,7 @@ _POSTED = """p AS (SELECT * REPLACE (CAST(CASE WHEN CAST(substr(ref_no, 4) AS BI
 
 
 def _posted(journal):
-    n = F.substring("ref_no", 4, 100).cast("bigint") % 8
+    n = F.expr("substring(ref_no, 4)").cast("bigint") % 8
     stale = (n == 1) & F.col("source_line_id").endswith("#AR")
     kept = journal.filter(n != 2).withColumn(
         "debit", F.when(stale, F.col("debit") + 1).otherwise(F.col("debit")).cast("decimal(28,2)"))
@@ -215,28 +217,34 @@ def sales_detail_repost(spark, sf):
 @query("sales_detail_import", f"""WITH {SALES_SQL}, {_POSTED},
 x AS (SELECT * FROM journal WHERE CAST(substr(ref_no, 4) AS BIGINT) % 8 < 4 UNION ALL
       SELECT * FROM p WHERE ref_no LIKE 'X%' OR CAST(substr(ref_no, 4) AS BIGINT) % 8 >= 4)
-{_WITH_COA.format('x')}""")
+{_WITH_COA.format('x')}
+UNION ALL SELECT 'stored line', ref_no, service_code, NULL, NULL,
+  subtotal + CASE WHEN k % 8 >= 4 THEN 1 ELSE 0 END, NULL, NULL, NULL FROM sd""")
 def sales_detail_import(spark, sf):
-    """A sheet with half of the invoices, imported over a ledger that has drifted."""
-    lines = sales_detail(spark, sf)
-    ledger = _posted(P.sales_invoice_journal(lines, resolver(spark, sf)))
+    """A sheet with half of the invoices, imported over a ledger that has drifted and
+    over stored lines that are older versions of some of them."""
+    lines, chart = sales_detail(spark, sf), coa(spark, sf)
+    ledger = L.gl_reporting_enrich(_posted(P.sales_invoice_journal(lines, resolver(spark, sf))), chart)
     half = lines.filter("k % 8 < 4").drop("k", "n")
-    stored = half.limit(0)
-    _, after = SP.sales_detail_import(stored, ledger, half, coa(spark, sf))
-    return after.select(*_KEEP)
+    older = P.sales_sheet_normalise(lines.filter("k % 8 >= 2").drop("k", "n"), resolver(spark, sf))
+    older = older.withColumn("subtotal", (F.col("subtotal") + 1).cast("decimal(18,2)"))
+    stored, after = SP.sales_detail_import(older, ledger, half, chart, _NOW)
+    rows = stored.select(F.lit("stored line").alias("type"), F.col("ref_no").alias("source_id"),
+                         F.col("service_code").alias("source_line_id"), F.col("subtotal").cast("decimal(28,2)").alias("amount"))
+    return after.select(*_KEEP).unionByName(rows, allowMissingColumns=True)
 
 
 @query("sales_detail_autopost", f"""WITH {SALES_SQL}, {_POSTED},
 x AS (SELECT * FROM journal WHERE CAST(substr(ref_no, 4) AS BIGINT) % 4 = 1 UNION ALL
   SELECT * FROM p WHERE ref_no LIKE 'X%' OR CAST(substr(ref_no, 4) AS BIGINT) % 4 <> 1)
-SELECT type, source_id, source_line_id, debit, credit, amount, account_code FROM x""")
+{_WITH_COA.format('x')}""")
 def sales_detail_autopost(spark, sf):
-    lines, r = sales_detail(spark, sf), resolver(spark, sf)
-    ledger = _posted(P.sales_invoice_journal(lines, r))
+    """Some invoices posted again on a ledger that carries the chart's codes."""
+    lines, chart = sales_detail(spark, sf), coa(spark, sf)
+    ledger = L.gl_reporting_enrich(_posted(P.sales_invoice_journal(lines, resolver(spark, sf))), chart)
     changed = I.table(spark, sf, "orders").filter("o_orderkey % 4 = 1").selectExpr(
         "concat('INV', o_orderkey) AS ref_no")
-    after = P.sales_detail_autopost(ledger, lines, changed, r)
-    return after.select("type", "source_id", "source_line_id", "debit", "credit", "amount", "account_code")
+    return P.sales_detail_autopost(ledger, lines, changed, chart).select(*_KEEP)
 
 
 # --- daily VAT --------------------------------------------------------------
@@ -343,9 +351,11 @@ def department_unexplained(spark, sf):
 
 
 @query("department_canonicalise", f"""WITH {_DEPT_SQL}, {_LEDGERS}
-SELECT id, dept_code, COALESCE(m.dept_name, department) AS department FROM ledgers LEFT JOIN m USING (dept_code) WHERE table_name = 'gl'""")
+SELECT table_name, id, dept_code, COALESCE(m.dept_name, department) AS department FROM ledgers LEFT JOIN m USING (dept_code)""")
 def department_canonicalise(spark, sf):
-    return D.department_canonicalise(ledgers(spark, sf)["gl"], master(spark, sf)).select("id", "dept_code", "department")
+    done = [D.department_canonicalise(t, master(spark, sf)).select("table_name", "id", "dept_code", "department")
+            for t in ledgers(spark, sf).values()]
+    return reduce(lambda a, b: a.unionByName(b), done)
 
 
 @query("department_stale_count", f"""WITH {_DEPT_SQL}, {_LEDGERS}

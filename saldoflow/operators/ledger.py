@@ -122,10 +122,18 @@ LEDGER_KEY = ["type", "source_id", "source_line_id", "ref_key"]
 LEDGER_SCOPE = ["type", "source_id"]
 
 
+def with_codes(rows: DataFrame) -> DataFrame:
+    """Ledger rows with the chart's columns, null where they had none."""
+    missing = [c for c in ("coa_code", "reporting") if c not in rows.columns]
+    return rows.withColumns({c: F.lit(None).cast("string") for c in missing})
+
+
 def gl_post(ledger: DataFrame, lines: DataFrame) -> DataFrame:
     """Ledger after posting journal lines, replaced per (type, document)."""
     rows = row_contract(gl_rows(lines), LEDGER_COLUMNS, K.LEDGER_REQUIRED)
     rows = require_complete(rows, "gl")
+    if "coa_code" in ledger.columns:
+        rows = with_codes(rows)
     return replace_by_document(ledger, rows, LEDGER_SCOPE, LEDGER_KEY,
                                ["raw_created_at", "raw_callback_id", "row_no"])
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from saldoflow import constants as K
 from saldoflow.functions import scalars as S
+from saldoflow.operators import ledger as L
+from saldoflow.session import settle
 
 REQUIRED_ACCOUNTS = [K.RECEIVABLE_DOMESTIC, K.RECEIVABLE_FOREIGN, K.SALES_VAT]
 MONEY = "decimal(18,2)"
@@ -39,20 +41,21 @@ def missing_required_accounts(resolver: DataFrame) -> DataFrame:
 
 
 def sales_sheet_normalise(sheet: DataFrame, resolver: DataFrame | None = None) -> DataFrame:
-    """Known columns only, money and dates typed, currency defaults, account code."""
+    """Known columns only, money and dates typed, currency defaults, account code.
+
+    A column that the sheet lacks is there as null.
+    """
     have = {c.strip(): F.col(f"`{c}`") for c in sheet.columns}
     out = []
+    absent = F.lit(None).cast("string")
     for c in TEXT_COLUMNS:
-        if c in have:
-            out.append(have[c].cast("string").alias(c))
+        out.append(have.get(c, absent).cast("string").alias(c))
     for c in ("subtotal", "tax", "total"):
         value = have[c].cast("string").try_cast("double") if c in have else F.lit(None)
         out.append(F.coalesce(value, F.lit(0.0)).cast(MONEY).alias(c))
     for c in ("date", "period"):
-        if c in have:
-            out.append(have[c].cast("string").try_cast("date").alias(c))
-    if "created_at" in have:
-        out.append(have["created_at"].cast("string").try_cast("timestamp_ntz").alias("created_at"))
+        out.append(have.get(c, absent).cast("string").try_cast("date").alias(c))
+    out.append(have.get("created_at", absent).cast("string").try_cast("timestamp_ntz").alias("created_at"))
     currency = have.get("currency", F.lit(None).cast("string"))
     out.append(F.upper(S.strip(F.coalesce(currency, F.lit(K.BASE_CURRENCY)))).alias("currency"))
     rate = have["exchange_rate"].cast("string").try_cast("decimal(18,6)") \
@@ -230,11 +233,36 @@ def replace_posted(ledger: DataFrame, gl: DataFrame, refs: DataFrame,
             .unionByName(gl.select(*columns)))
 
 
+def _stop_if_any(rows: DataFrame, text: str, column: str) -> None:
+    found = [str(r[0]) for r in rows.select(column).limit(10).collect()]
+    if found:
+        raise ValueError(f"{text}: {found}")
+
+
+def guarded_journal(lines: DataFrame, resolver: DataFrame) -> DataFrame:
+    """The journal of the lines, after the tests that must pass before it is posted.
+
+    It is stored once, as the balance test and the caller both read it.
+    """
+    _stop_if_any(missing_required_accounts(resolver),
+                 "the chart of accounts lacks account(s) the sales journal needs", "account_key")
+    _stop_if_any(unmapped_accounts(lines, resolver),
+                 "line(s) name a revenue account that is not in the chart", "account")
+    journal = settle(sales_invoice_journal(lines, resolver), "sales-journal")
+    _stop_if_any(journal_unbalanced(journal), "journal does not balance for invoice(s)", "ref_no")
+    return journal
+
+
 def sales_detail_autopost(ledger: DataFrame, lines: DataFrame, changed: DataFrame,
-                          resolver: DataFrame) -> DataFrame:
+                          coa: DataFrame) -> DataFrame:
     """Ledger after re-posting only the invoices named in ``changed``.
 
-    An invoice whose lines are all gone loses its entry.
+    An invoice whose lines are all gone loses its entry. An unmapped account or an
+    entry that does not balance stops it before anything is replaced. New entries
+    carry the chart's code and reporting group when the ledger has these columns.
     """
     touched = lines.join(changed.select("ref_no").distinct(), "ref_no", "left_semi")
-    return replace_posted(ledger, sales_invoice_journal(touched, resolver), changed)
+    journal = guarded_journal(touched, coa_resolver(coa))
+    if "coa_code" in ledger.columns:
+        journal = L.gl_reporting_enrich(journal, coa)
+    return replace_posted(ledger, journal, changed)

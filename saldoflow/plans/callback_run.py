@@ -62,9 +62,11 @@ def load_subledger(table: DataFrame, load: ModuleLoad, module: str) -> DataFrame
 
 
 def load_ledger(ledger: DataFrame, load: ModuleLoad, coa: DataFrame) -> DataFrame:
-    """General ledger after the batch, removal last, enriched from the chart."""
-    columns = [c for c in ledger.columns if c not in ("coa_code", "reporting")]
-    posted = L.gl_post(ledger.select(*columns), load.lines)
+    """General ledger after the batch, removal last, enriched from the chart.
+
+    Rows without an account keep the code and reporting group that they had.
+    """
+    posted = L.gl_post(L.with_codes(ledger), load.lines)
     return L.gl_reporting_enrich(L.document_remove(posted, load.skipped), coa)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,14 +28,15 @@ def build(app: str = "saldoflow", **conf) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder; on a cluster a
-    machine-local folder would be lost with its machine, so that is an error.
+    A session in one process without the setting gets a temporary folder; on a cluster
+    (also a local one) a machine-local folder would be lost with its machine, so that is
+    an error.
     """
     conf = spark.sparkContext.getConf()
     folder = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="saldoflow-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -133,13 +133,13 @@ def sales(spark, *lines):
 
 def test_sales_invoice_entry(spark):
     lines, coa = sales(spark, ("I1", "S1", "Testing", "2178000", "239580", "IDR"), ("C1", "S1", "Testing", "-9018500", "-992035", "USD"))
-    j = SP.guard(lines, P.coa_resolver(coa))
+    j = P.guarded_journal(lines, P.coa_resolver(coa))
     got = {(r.source_line_id, r.account_code): (r.debit, r.credit) for r in j.collect()}
     assert got[("I1#AR", "112111")] == (2417580, 0) and got[("I1#S1", "41251")] == (0, 2178000)
     assert got[("I1#VAT", "212411")] == (0, 239580) and got[("C1#AR", "112112")] == (-10010535, 0)
     bad, _ = sales(spark, ("I2", "S", "Nowhere", "1", "0", "IDR"))
     with pytest.raises(ValueError, match="Nowhere"):
-        SP.guard(bad, P.coa_resolver(coa))
+        P.guarded_journal(bad, P.coa_resolver(coa))
 
 
 def test_department_merge(spark):
