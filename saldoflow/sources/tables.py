@@ -6,8 +6,12 @@ new content of the partitions it touches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from saldoflow.session import settle
+
 BUCKET = "doc_bucket"
 
 
@@ -46,18 +50,43 @@ def touched(spark: SparkSession, path: str, schema, values: list, by: str = BUCK
     return table.filter(F.col(by).isin(*values)) if values else table.filter(F.lit(False))
 
 
-def upsert_buckets(spark: SparkSession, path: str, new: DataFrame, keys: list[str],
-                   buckets: int, key: str = "source_id") -> None:
-    """Upsert into a table partitioned by document bucket.
+def create_buckets(spark: SparkSession, path: str, schema) -> None:
+    """An empty table by document bucket, unless there is one at the path."""
+    empty = spark.createDataFrame([], schema).withColumn(BUCKET, F.lit(0))
+    empty.write.mode("ignore").partitionBy(BUCKET).parquet(path)
+
 
-    Only the buckets that hold documents of the batch are read and rewritten, so
-    a small batch does not rewrite a large table. The number of buckets bounds
-    what the driver sees.
+def read_buckets(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Rows of a table by document bucket."""
+    typed = spark.createDataFrame([], schema).withColumn(BUCKET, F.lit(0)).schema
+    return spark.read.schema(typed).parquet(path).drop(BUCKET)
+
+
+def merge_buckets(spark: SparkSession, path: str, new: DataFrame, merge: Callable[[DataFrame], DataFrame],
+                  buckets: int, key: str, schema) -> None:
+    """Replace the stored rows of the buckets that hold keys of ``new`` by ``merge`` of them.
+
+    Only these buckets are read and rewritten, so a small batch does not rewrite a large
+    table. The merged rows are stored first, as a plan cannot overwrite what it reads. A
+    bucket that is empty afterwards is emptied. ``buckets`` bounds what the driver sees.
     """
-    rows = bucketed(new, buckets, key)
-    hit = [r[0] for r in rows.select(BUCKET).distinct().limit(buckets).collect()]
-    stored = touched(spark, path, rows.schema, hit)
-    replace_partitions(keyed_upsert(stored, rows, keys), path, [BUCKET])
+    hit = [r[0] for r in bucketed(new, buckets, key).select(BUCKET).distinct().collect()]
+    if not hit:
+        return
+    typed = spark.createDataFrame([], schema).withColumn(BUCKET, F.lit(0)).schema
+    columns = [c for c in typed.names if c != BUCKET]
+    stored = touched(spark, path, typed, hit).drop(BUCKET)
+    after = settle(bucketed(merge(stored).select(*columns), buckets, key), "buckets")
+    replace_partitions(after, path, [BUCKET])
+    left = {r[0] for r in after.select(BUCKET).distinct().collect()}
+    for bucket in sorted(set(hit) - left):
+        after.filter(F.lit(False)).drop(BUCKET).write.mode("overwrite").parquet(f"{path}/{BUCKET}={bucket}")
+
+
+def upsert_buckets(spark: SparkSession, path: str, new: DataFrame, keys: list[str],
+                   buckets: int, key: str = "source_id") -> None:
+    """Upsert into a table partitioned by document bucket."""
+    merge_buckets(spark, path, new, lambda stored: keyed_upsert(stored, new, keys), buckets, key, new.schema)
 
 
 def replace_period(stored: DataFrame, new: DataFrame, period: str) -> DataFrame:
@@ -79,34 +108,3 @@ def replace_seen_periods(stored: DataFrame, new: DataFrame) -> DataFrame:
     kept = stored.join(F.broadcast(touched), F.col("period").eqNullSafe(F.col("_touched")),
                        "left_anti")
     return kept.select(*stored.columns).unionByName(new.select(*stored.columns))
-
-
-class VersionedTable:
-    """A small table kept as numbered versions of a folder.
-
-    A version is written whole under its own number, and a reader takes the
-    newest one below its own, so a repeated batch writes the same version again
-    and a plan never overwrites what it reads.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema):
-        self.spark, self.path, self.schema = spark, path, schema
-
-    def _numbers(self) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(hadoop):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(hadoop)]
-        done = self.spark._jvm.org.apache.hadoop.fs.Path
-        return sorted(int(n[2:]) for n in names
-                      if n.startswith("v=") and fs.exists(done(f"{self.path}/{n}/_SUCCESS")))
-
-    def read(self, before: int | None = None) -> DataFrame:
-        older = [n for n in self._numbers() if before is None or n < before]
-        if not older:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={older[-1]}")
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
