@@ -540,6 +540,8 @@ def fte_factors(fte: DataFrame, allocation: DataFrame) -> DataFrame:
             inside.append(F.when(F.contains(where, F.lit(token.lower())), F.lit(method)))
     counted = fte.select(S.strip(F.col("dept")).alias("new_dept"), F.col("hc").cast("double").alias("hc"),
                          F.explode(F.array_compact(F.array(*inside))).alias("distribution"))
+    # Staff without a department is in no department's share, nor in the total.
+    counted = counted.filter(F.col("new_dept").isNotNull())
     by_dept = counted.groupBy("distribution", "new_dept").agg(F.sum("hc").alias("hc"))
     total = by_dept.groupBy("distribution").agg(F.sum("hc").alias("total"))
     share = by_dept.join(total, "distribution").select(
@@ -549,10 +551,9 @@ def fte_factors(fte: DataFrame, allocation: DataFrame) -> DataFrame:
 
 
 def _on_roster(roster: DataFrame, share: DataFrame) -> DataFrame:
-    """Roster rows with their share; a method without roster keeps its own list."""
-    listed = roster.join(share, ["distribution", "new_dept"], "left").select(
+    """Roster rows with their share, 0 for those that have none."""
+    return roster.join(share, ["distribution", "new_dept"], "left").select(
         "distribution", "new_dept", F.coalesce("p", F.lit(0.0)).alias("percentage"), "seq")
-    return listed
 
 
 def revenue_factors(rev: DataFrame, allocation: DataFrame) -> DataFrame:

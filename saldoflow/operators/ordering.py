@@ -30,21 +30,31 @@ def global_position(df: DataFrame, order: list, name: str) -> DataFrame:
 
 
 def exact_quantiles(values: DataFrame, quantiles=(0.25, 0.5, 0.75)) -> DataFrame:
-    """Interpolated quantiles of ``value`` per ``field``: (field, q, quantile)."""
+    """Interpolated quantiles of ``value`` per ``field``: (field, q, quantile).
+
+    Equal values are counted first, which combines before the shuffle, so a value that
+    fills a column is one row. The distinct values are range partitioned and sorted; each
+    covers a stretch of positions, from running counts within its partition and one sum
+    per partition and field before it.
+    """
     given = values.filter(F.col("value").isNotNull())
-    placed = global_position(given, ["field", "value"], "pos")
-    # One row per field.
-    span = placed.groupBy("field").agg(F.min("pos").alias("first"), F.count("*").alias("n"))
-    wanted = span.select("field", F.explode(F.array(*[F.struct(
-        F.lit(q).alias("q"), (F.col("first") + F.floor((F.col("n") - 1) * q)).alias("low"),
-        ((F.col("n") - 1) * q - F.floor((F.col("n") - 1) * q)).alias("part"),
-        (F.col("first") + F.ceil((F.col("n") - 1) * q)).alias("high"))
-        for q in quantiles])).alias("w")).select("field", "w.*")
-    ranks = wanted.select("field", "q", "part", F.explode(F.array(
-        F.struct(F.col("low").alias("pos"), F.lit("low").alias("end")),
-        F.struct(F.col("high").alias("pos"), F.lit("high").alias("end")))).alias("r")).select(
-        "field", "q", "part", "r.*")
-    hits = placed.join(F.broadcast(ranks), ["field", "pos"])
-    low = F.max(F.when(F.col("end") == "low", F.col("value")))
-    high = F.max(F.when(F.col("end") == "high", F.col("value")))
+    counted = given.groupBy("field", "value").agg(F.count("*").alias("n"))
+    kept = settle(counted.orderBy("field", "value").withColumn(
+        "_part", F.shiftright(F.monotonically_increasing_id(), 33)), "distinct")
+    # One row per field and partition of the sort.
+    sizes = kept.groupBy("field", "_part").agg(F.sum("n").alias("_n"))
+    before = Window.partitionBy("field").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = settle(sizes.select(
+        "field", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy("field")).alias("total")), "offsets")
+    within = F.sum("n").over(Window.partitionBy("_part", "field").orderBy("value"))
+    placed = kept.withColumn("_upto", within).join(offsets, ["field", "_part"]).withColumn(
+        "last", F.col("_offset") + F.col("_upto"))
+    ranks = F.inline(F.array(*[F.struct(
+        F.lit(q).alias("q"), F.floor((F.col("total") - 1) * q).alias("low"),
+        ((F.col("total") - 1) * q - F.floor((F.col("total") - 1) * q)).alias("part"),
+        F.ceil((F.col("total") - 1) * q).alias("high")) for q in quantiles]))
+    holds = lambda at: (F.col(at) < F.col("last")) & (F.col(at) >= F.col("last") - F.col("n"))
+    hits = placed.select("field", "value", "n", "last", ranks).filter(holds("low") | holds("high"))
+    low, high = F.max(F.when(holds("low"), F.col("value"))), F.max(F.when(holds("high"), F.col("value")))
     return hits.groupBy("field", "q").agg((low + (high - low) * F.max("part")).alias("quantile"))

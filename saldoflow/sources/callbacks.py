@@ -59,8 +59,17 @@ def _decode(text: Column) -> Column:
 
 
 def _object_text(text: Column) -> Column:
+    """The text when the whole of it is one JSON object.
+
+    A parser may stop after the first object. As the only item of an array and as the
+    value of a field at once, nothing but blanks can follow it unnoticed: what closes the
+    one is an error in the other.
+    """
     trimmed = F.trim(text, F.lit(_JSON_BLANKS))
-    return F.when(trimmed.startswith("{") & trimmed.endswith("}"), trimmed)
+    items = F.from_json(F.concat(F.lit("["), trimmed, F.lit("]")), "array<string>", _STRICT)
+    field = F.from_json(F.concat(F.lit('{"x":'), trimmed, F.lit("}")), "x string", _STRICT)
+    return F.when(trimmed.startswith("{") & trimmed.endswith("}") & (F.size(items) == 1)
+                  & field.x.isNotNull(), trimmed)
 
 
 def _decode_rounds(df: DataFrame, source: str, target: str, rounds: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saldoflow import constants as K
@@ -63,22 +64,31 @@ def from_headers(raw: DataFrame, sheet: str) -> DataFrame:
 
 
 def to_headers(sheet: DataFrame, name: str) -> DataFrame:
-    return sheet.select(*[F.col(n).alias(h) for h, (n, _) in SHEETS[name].items()
-                          if n in sheet.columns])
+    """Columns under their headers, and ``seq``, the order of the rows, where there is one."""
+    columns = [F.col(n).alias(h) for h, (n, _) in SHEETS[name].items() if n in sheet.columns]
+    return sheet.select(*columns, *(["seq"] if "seq" in sheet.columns else []))
 
 
 def sheet_tables_read(spark: SparkSession, folder: str, names=None, fmt: str = "csv") -> dict:
-    """Read one folder of sheet files; RL may be absent."""
+    """Read one folder of sheet files; RL may be absent.
+
+    The order of rows matters: a sheet in several files needs a stored ``seq``.
+    """
     out = {}
     for name in (SHEETS if names is None else names):
         path = f"{folder}/{name}"
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+        try:
+            raw = reader.format(fmt).load(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             if name in OPTIONAL_SHEETS:
                 continue
-            raise ValueError(f"{folder} has no sheet {name!r}")
-        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-        out[name] = from_headers(reader.format(fmt).load(path), name)
+            raise ValueError(f"{folder} has no sheet {name!r}") from e
+        if "seq" not in [c.strip() for c in raw.columns] and len(raw.inputFiles()) > 1:
+            raise ValueError(f"sheet {name!r} of {folder} has several files and no seq that orders its rows")
+        out[name] = from_headers(raw, name)
     return out
 
 

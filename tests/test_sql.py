@@ -1,7 +1,4 @@
-"""Queries against the same question in SQL, on the smallest given tables.
-
-By default a cross-section; SALDOFLOW_ALL=1 runs every query that has SQL.
-"""
+"""All queries against the same question in SQL, on the smallest given tables."""
 
 import decimal
 import os
@@ -14,10 +11,7 @@ from saldoflow import catalog
 
 FOLDER = os.environ.get("SALDOFLOW_SF_DIR", "/root/testdata/sf0.001")
 catalog.load_all()
-SOME = ["decimal_lenient", "to_wib", "period_date", "json_body_parse", "callback_newest_n",
-        "journal_receivable_payment", "ledger_by_reporting", "sales_invoice_journal",
-        "daily_summary", "overhead_sweep", "stream_document_state", "keyed_upsert_stored"]
-NAMES = sorted(catalog.ORACLES) if os.environ.get("SALDOFLOW_ALL") else SOME
+NAMES = sorted(catalog.ORACLES)
 
 
 @pytest.fixture(scope="module")
