@@ -22,8 +22,11 @@ def vat_columns(completed: DataFrame) -> DataFrame:
             .withColumn("gross_amount", S.round_half_even(F.col("total_amount") + F.col("tax_amount"))))
 
 
-def daily_summary(taxed: DataFrame) -> DataFrame:
-    """Three ledger rows per day: receivable debit, revenue and tax credit."""
+def daily_summary(taxed: DataFrame, loaded_at: str | None = None) -> DataFrame:
+    """Three ledger rows per day: receivable debit, revenue and tax credit.
+
+    ``etl_loaded_at`` is the given time or else the clock's.
+    """
     daily = taxed.groupBy("summary_date").agg(
         F.sum("gross_amount").alias("g"), F.sum("net_amount").alias("n"),
         F.sum("tax_amount").alias("t"), F.count("transaction_id").alias("transaction_count"))
@@ -38,8 +41,9 @@ def daily_summary(taxed: DataFrame) -> DataFrame:
     rows = F.array(entry(K.SUMMARY_RECEIVABLE, F.col("g"), True),
                    entry(K.SUMMARY_REVENUE, F.col("n"), False),
                    entry(K.SUMMARY_TAX, F.col("t"), False))
-    return daily.select("summary_date", F.inline(rows), "transaction_count")
+    stamp = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+    return daily.select("summary_date", F.inline(rows), "transaction_count", stamp.alias("etl_loaded_at"))
 
 
-def transform(transactions: DataFrame) -> DataFrame:
-    return daily_summary(vat_columns(filter_completed(transactions)))
+def transform(transactions: DataFrame, loaded_at: str | None = None) -> DataFrame:
+    return daily_summary(vat_columns(filter_completed(transactions)), loaded_at)

@@ -502,6 +502,19 @@ def gl_import_from_ledger(ledger: DataFrame, master: DataFrame, period: str) ->
         F.lit(None).cast("string").alias("note2"), F.lit(period).cast("date").alias("period"))
 
 
+def gl_import_report(ledger: DataFrame, master: DataFrame, period: str) -> DataFrame:
+    """One row: ledger rows of the month, rows imported, and of these how many go by
+    another department or account name than the ledger has."""
+    names = master.select("dept_code", "dept_name")
+    rows = _ledger_month(ledger, period).withColumn("_taken", _ledger_reason().isNull()).join(names, "dept_code", "left")
+    dept = S.alias(F.coalesce("dept_name", "department"), K.DEPARTMENT_ALIASES)
+    account = S.alias(F.col("coa_name"), K.ACCOUNT_ALIASES)
+    return rows.agg(
+        F.count("*").alias("source_rows"), F.count_if("_taken").alias("imported"),
+        F.count_if(F.col("_taken") & ~dept.eqNullSafe(F.col("department"))).alias("departments_renamed"),
+        F.count_if(F.col("_taken") & ~account.eqNullSafe(F.col("coa_name"))).alias("accounts_renamed"))
+
+
 def gl_import_exclusions(ledger: DataFrame, period: str) -> DataFrame:
     """Rows and net per outcome: kept cost, kept revenue, or why left out."""
     net = F.coalesce(F.col("debit"), F.lit(0)) - F.coalesce(F.col("credit"), F.lit(0))
@@ -635,6 +648,14 @@ def period_guard(locks: DataFrame, written: DataFrame) -> DataFrame:
     return closed.join(months, "period", "left_semi")
 
 
+def refuse_closed_month(locks: DataFrame | None, period: str, action: str) -> None:
+    """Stop a writer of one month (its first day) when the month is closed."""
+    if locks is None:
+        return
+    written = locks.sparkSession.range(1).select(F.lit(period).cast("date").alias("period"))
+    refuse_closed(locks, written, action)
+
+
 def refuse_closed(locks: DataFrame, written: DataFrame, action: str) -> None:
     closed = [str(r.period) for r in period_guard(locks, written).orderBy("period").collect()]
     if closed:

@@ -80,6 +80,8 @@ def distribute(gl: DataFrame, sheets: dict, period: str | None = None, overhead:
     """
     if period is not None:
         gl = D.gl_period_filter(gl, period)
+        if gl.isEmpty():
+            raise ValueError(f"no ledger lines dated in the month of {period}")
     if recompute_basis:
         sheets = {**sheets, "ALLOCATION": settle(D.allocation_recompute(
             sheets["ALLOCATION"], sheets["FTE"], sheets["REV"]), "allocation")}
@@ -129,3 +131,17 @@ def snapshot_replace(stored: DataFrame, run: Run, recon: DataFrame, locks: DataF
     D.refuse_closed(locks, rows, "write the distribution")
     row = D.distribution_run_row(recon, rows, run_id, period, recompute_basis)
     return TB.replace_seen_periods(stored, rows), row
+
+
+def import_month(ledger: DataFrame, master: DataFrame, stored: DataFrame, period: str,
+                 locks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(distribution lines with the month replaced from the ledger, report row).
+
+    A closed month and a month without any row to import are refused before anything is
+    replaced.
+    """
+    D.refuse_closed_month(locks, period, "import ledger lines")
+    rows = settle(D.gl_import_from_ledger(ledger, master, period), "import")
+    if rows.isEmpty():
+        raise ValueError(f"the ledger has no row to import in the month of {period}")
+    return TB.replace_period(stored, rows, period), D.gl_import_report(ledger, master, period)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saldoflow import constants as K
 from saldoflow.functions import scalars as S
+from saldoflow.operators import distribution as D
 from saldoflow.sources import tables as TB
 
 # Sheet header -> column, with the stored type.
@@ -94,11 +95,11 @@ def sheet_tables_read(spark: SparkSession, folder: str, names=None, fmt: str = "
 
 def department_listing_read(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated department listing; a repeated code or name is an error."""
-    from saldoflow.operators import departments as D
+    from saldoflow.operators import departments
 
     raw = spark.read.option("header", True).option("sep", "\t").csv(path)
-    listing = D.department_listing_clean(raw)
-    bad = D.department_duplicates(listing).limit(10).collect()
+    listing = departments.department_listing_clean(raw)
+    bad = departments.department_duplicates(listing).limit(10).collect()
     if bad:
         raise ValueError(f"duplicate department(s): {[(r['kind'], r['value']) for r in bad]}")
     return listing
@@ -113,12 +114,14 @@ def basis_stored_form(sheet: DataFrame, name: str) -> DataFrame:
     return sheet
 
 
-def basis_seed(sheets: dict, stored: dict, period: str, refresh_global: bool = False) -> tuple:
+def basis_seed(sheets: dict, stored: dict, period: str, refresh_global: bool = False,
+               locks: DataFrame | None = None) -> tuple:
     """(tables after seeding, sheets written).
 
     Monthly tables replace the period's rows; policy tables are only filled when
-    empty unless forced.
+    empty unless forced. A closed month is refused.
     """
+    D.refuse_closed_month(locks, period, "seed the basis")
     tables, written = dict(stored), []
     for name in SHEETS:
         if name == "GL":
@@ -155,20 +158,32 @@ def require_rows(table: DataFrame, name: str, where: str) -> DataFrame:
     return table
 
 
-def allocation_persist(stored: DataFrame, refreshed: DataFrame, period: str) -> DataFrame:
-    """Split table with one period's rows replaced by a refreshed split."""
+def allocation_persist(stored: DataFrame, refreshed: DataFrame, period: str,
+                       locks: DataFrame | None = None) -> DataFrame:
+    """Split table with one period's rows replaced by a refreshed split, unless it is closed."""
+    D.refuse_closed_month(locks, period, "persist the split")
     return TB.replace_period(stored, basis_stored_form(refreshed, "ALLOCATION"), period)
 
 
-def gl_entry_seed_sheet(gl: DataFrame, stored: DataFrame, period: str) -> DataFrame:
-    """Ledger lines of the period from the sheet, under current names."""
-    from saldoflow.operators.distribution import in_period
+def gl_entry_seed_sheet(gl: DataFrame, stored: DataFrame, period: str,
+                        locks: DataFrame | None = None) -> DataFrame:
+    """Ledger lines of the period from the sheet, under current names.
 
-    rows = (in_period(gl, period)
+    A closed month and a month without lines are refused.
+    """
+    D.refuse_closed_month(locks, period, "seed ledger lines")
+    month = D.in_period(gl, period)
+    if month.isEmpty():
+        raise ValueError(f"the sheet has no ledger line in the month of {period}")
+    rows = (month
             .withColumn("account_name", S.alias(F.col("account_name"), K.ACCOUNT_ALIASES))
             .withColumn("dept", S.alias(F.col("dept"), K.DEPARTMENT_ALIASES)))
     return TB.replace_period(stored, rows, period)
 
 
 def gl_entry_read(stored: DataFrame, period: str) -> DataFrame:
-    return stored.filter(F.col("period") == F.lit(period).cast("date")).drop("period")
+    """Stored ledger lines of a month; a month that was never seeded is an error."""
+    month = stored.filter(F.col("period") == F.lit(period).cast("date")).drop("period")
+    if month.isEmpty():
+        raise ValueError(f"no ledger lines stored for the month of {period}; seed or import it first")
+    return month

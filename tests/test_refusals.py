@@ -5,9 +5,9 @@ from pathlib import Path
 
 import pytest
 
-from saldoflow.operators import distribution as D, ledger as L, sales_detail as P
+from saldoflow.operators import daily_vat as V, distribution as D, ledger as L, sales_detail as P
 from saldoflow.operators.ordering import exact_quantiles
-from saldoflow.plans import sales_posting as SP
+from saldoflow.plans import distribution_run as R, sales_posting as SP
 from saldoflow.sources import callbacks as C, sheets as SH, tables as TB
 
 COA = [(0, "1121-11-000", "Domestic A/R", "Balance"), (1, "1121-12-000", "Foreign A/R", "Balance"),
@@ -108,3 +108,42 @@ def test_a_batch_leaves_other_buckets_alone(spark, tmp_path):
     assert len(changed) == 1
     TB.merge_buckets(spark, path, frame(*[(f"d{i}", 0) for i in range(40)]), lambda stored: stored.limit(0), 8, "source_id", schema)
     assert TB.read_buckets(spark, path, schema).count() == 0
+
+
+def month(spark, *rows):
+    return spark.createDataFrame([(a, b, "D1", "Old", "5111-11-000", "Travel", "Profit & Loss", "approved", 5, 0) for a, b in rows],
+                                 "ref_no string, date string, dept_code string, department string, coa_code string, coa_name string, "
+                                 "reporting string, status string, debit int, credit int").selectExpr(
+        "* EXCEPT (date)", "CAST(date AS DATE) AS date", "'t' AS type", "'c' AS contact", "'d' AS description", "'n' AS note",
+        "'p' AS project", "'IDR' AS currency")
+
+
+def test_month_import_replaces_reports_and_refuses(spark):
+    ledger = month(spark, ("A", "2026-01-05"), ("B", "2026-02-01")).withColumn("reporting", D.F.lit(D.K.LEDGER_REPORTING_GROUP)).withColumn(
+        "status", D.F.lit(D.K.LEDGER_STATUSES[0])).withColumn("coa_code", D.F.concat(D.F.lit(D.K.LEDGER_PREFIXES[0]), D.F.lit("00")))
+    master = spark.createDataFrame([("D1", "New")], "dept_code string, dept_name string")
+    locks = spark.sql("SELECT DATE'2026-02-01' AS period, 'closed' AS status")
+    empty = D.gl_import_from_ledger(ledger.limit(0), master, "2026-01-01")
+    first, report = R.import_month(ledger, master, empty, "2026-01-01", locks)
+    assert [(r.ref_no, r.dept) for r in first.collect()] == [("A", "New")]
+    assert tuple(report.first()) == (1, 1, 1, 0)
+    again, _ = R.import_month(ledger, master, first, "2026-01-01", locks)
+    assert again.count() == 1
+    with pytest.raises(ValueError, match="no row to import"):
+        R.import_month(ledger, master, first, "2026-03-01", locks)
+    for write in (lambda: R.import_month(ledger, master, first, "2026-02-01", locks),
+                  lambda: SH.basis_seed({}, {}, "2026-02-01", locks=locks),
+                  lambda: SH.allocation_persist(first, first, "2026-02-01", locks),
+                  lambda: SH.gl_entry_seed_sheet(first, first, "2026-02-01", locks)):
+        with pytest.raises(PermissionError, match="closed"):
+            write()
+    with pytest.raises(ValueError, match="no ledger line"):
+        SH.gl_entry_read(first, "2026-05-01")
+    with pytest.raises(ValueError, match="no ledger line"):
+        SH.gl_entry_seed_sheet(first.drop("period"), first, "2026-05-01")
+
+
+def test_summary_has_its_load_time(spark):
+    sales = spark.sql("SELECT 1 AS transaction_id, 100.0D AS total_amount, TIMESTAMP'2026-01-02 10:00:00' AS created_at, 'completed' AS status")
+    rows = V.transform(sales, "2026-01-03 00:00:00").collect()
+    assert len(rows) == 3 and {str(r.etl_loaded_at) for r in rows} == {"2026-01-03 00:00:00"}
