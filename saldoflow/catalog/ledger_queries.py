@@ -8,6 +8,7 @@ from saldoflow import constants as K
 from saldoflow.catalog import inputs as I, journal_queries as JQ, journal_sql as Q, query
 from saldoflow.catalog.feed_queries import FEED_SQL, feed
 from saldoflow.operators import backfill as B, documents as D, ledger as L
+from saldoflow.operators.distribution import union_all
 from saldoflow.plans import callback_run as R
 from saldoflow.sources import callbacks as C
 
@@ -360,3 +361,47 @@ SELECT table_name, COUNT(*) AS missing, COUNT(resolved_code) AS matched,
 def code_backfill_report(spark, sf):
     filled = B.code_backfill(_ledger_rows(spark, sf), *_lookup(spark, sf), recheck=True)
     return B.backfill_report(filled, recheck=True)
+
+
+# --- a run over all nine kinds ------------------------------------------------
+
+def _all_kinds():
+    parts = []
+    for m in K.MODULES:
+        parts.append(f"""SELECT '{m}' AS module, CAST(count(*) AS BIGINT) AS gl_rows, CAST(sum(CAST(debit AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS debit,
+  CAST(count(*) AS BIGINT) AS subledger_rows, CAST((SELECT count(*) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS BIGINT) AS activity,
+  CAST((SELECT count(*) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) AND o_orderstatus <> 'P')
+    - count(DISTINCT source_id) AS BIGINT) AS failed,
+  (SELECT CAST(max(CAST(o_orderdate AS DATE)) AS TIMESTAMP) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS watermark
+FROM (WITH {Q.ctes(m)} SELECT * FROM j WHERE status = 'approved')""")
+    return " UNION ALL ".join(parts)
+
+
+def nine_kinds(spark, sf):
+    """Callbacks of all nine kinds under ids of their own, some of them invalid documents."""
+    parts = [I.callbacks(spark, sf, m).withColumn("callback_id", F.col("callback_id") * 16 + i)
+             for i, m in enumerate(K.MODULES)]
+    return union_all(*parts)
+
+
+@query("callback_run", _all_kinds())
+def callback_run(spark, sf):
+    """All tables of a first run as they are written, counted by module."""
+    from saldoflow.session import fresh_path
+    from saldoflow.streaming.feeds import activity_schema
+
+    log = spark.createDataFrame([], activity_schema())
+    state = spark.createDataFrame([], "state_key string, watermark timestamp_ntz")
+    chart = spark.createDataFrame([], "account_code string, reporting string")
+    result = R.run(nine_kinds(spark, sf), R.empty_ledger(spark), log, state, chart,
+                   since="1900-01-01", force_watermark=True)
+    folder = fresh_path(spark, "run")
+    R.write(result, folder)
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    gl = read("gl").groupBy("module").agg(F.count("*").alias("gl_rows"), F.sum("debit").cast("decimal(18,2)").alias("debit"))
+    own = union_all(*[read(m).agg(F.lit(m).alias("module"), F.count("*").alias("subledger_rows")) for m in K.MODULES])
+    logged = read("activity_log").groupBy("module").agg(F.count("*").alias("activity"))
+    failed = result["load"].failed.groupBy("module").agg(F.count("*").alias("failed"))
+    counts = gl.join(own, "module").join(logged, "module").join(failed, "module", "left")
+    return counts.crossJoin(F.broadcast(read("state").select("watermark"))).withColumn(
+        "failed", F.coalesce("failed", F.lit(0)).cast("long"))

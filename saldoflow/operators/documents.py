@@ -118,8 +118,12 @@ def documents_of(callbacks: DataFrame, module: str) -> DataFrame:
                          F.col("payload.data").alias("data"))
 
 
+#: Fields of a document that the activity log reads.
+PEOPLE = ("updated", "created", "number", "date", "description")
+
+
 def with_head(docs: DataFrame) -> DataFrame:
-    """Add ``head``, the fields every row of a document repeats.
+    """Add ``head``, the fields every row of a document repeats, and what the activity log needs.
 
     Texts are converted here, once per document, before its rows multiply them.
     """
@@ -128,7 +132,7 @@ def with_head(docs: DataFrame) -> DataFrame:
         d.date.try_cast("date").alias("date"), d.number.alias("ref_no"),
         F.when(F.col("module") != "manual_journal", F.col("party")).alias("contact"),
         d.description.alias("description"), S.to_wib(d.created.time).alias("created_at"),
-        d.created.user["name"].alias("created_by")))
+        d.created.user["name"].alias("created_by"), F.struct(*[d[c].alias(c) for c in PEOPLE]).alias("people")))
 
 
 def journal_lines(transformed: DataFrame) -> DataFrame:
@@ -136,7 +140,7 @@ def journal_lines(transformed: DataFrame) -> DataFrame:
     heads = transformed.filter(F.col("error").isNull()).select(
         "head.*", S.literal_lookup(F.col("module"), K.DOCUMENT_TYPES).alias("type"),
         "source_id", "status", "module", F.col("callback_id").cast("string").alias("raw_callback_id"),
-        "raw_created_at", "rows")
+        "raw_created_at", "rows").drop("people")
     flat = heads.select(*[c for c in heads.columns if c != "rows"],
                         F.posexplode("rows").alias("row_no", "row"))
     valued = flat.filter((F.col("row.debit") != 0) | (F.col("row.credit") != 0))

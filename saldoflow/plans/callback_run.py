@@ -19,6 +19,7 @@ class ModuleLoad:
     lines: DataFrame        # newest valid version of every approved document
     skipped: DataFrame      # documents to take out, with the reason
     failed: DataFrame       # (callback_id, module, error)
+    activity: DataFrame     # rows for the activity log
     summary: DataFrame
 
 
@@ -26,12 +27,13 @@ def module_process(docs: DataFrame, modules=None, keep: bool = True) -> ModuleLo
     """Transform, state, skip, newest version, for all modules in one pass.
 
     Bodies are parsed once: the transformed documents are written to the shared
-    folder, and state, failures, counts and lines each read the columns they
-    need. Without ``keep`` they would be parsed again for each.
+    folder, and state, failures, activity, counts and lines each read the columns
+    they need. Without ``keep`` they would be parsed again for each.
     """
     keys = ["module", "source_id"]
     transformed = D.transform_documents(docs, modules).select(
-        "callback_id", "raw_created_at", *keys, "method", "status", "head", "rows", "error")
+        "callback_id", "raw_created_at", *keys, "end_point", "method", "status", "head", "rows", "error",
+        F.col("head.people").alias("data"))
     if keep:
         transformed = settle(transformed, "transformed")
     received = transformed.select("callback_id", F.col("raw_created_at").alias("created_at"),
@@ -46,7 +48,8 @@ def module_process(docs: DataFrame, modules=None, keep: bool = True) -> ModuleLo
     chosen = transformed.join(winners.select("callback_id"), "callback_id", "left_semi")
     lines = D.journal_lines(chosen)
     summary = L.module_run_summary(received, failed, lines.select("module"), skipped)
-    return ModuleLoad(lines, skipped, failed, summary)
+    activity = A.activity_rows(transformed.withColumnRenamed("raw_created_at", "created_at"))
+    return ModuleLoad(lines, skipped, failed, activity, summary)
 
 
 def load_subledger(table: DataFrame, load: ModuleLoad, module: str) -> DataFrame:
@@ -86,25 +89,34 @@ def empty_subledger(spark, module: str) -> DataFrame:
 
 
 def run(callbacks: DataFrame, ledger: DataFrame, log: DataFrame, state: DataFrame,
-        coa: DataFrame, since=None, until=None, modules=None, now=None, keep: bool = True,
-        force_watermark: bool = False) -> dict:
+        coa: DataFrame, subledgers: dict | None = None, since=None, until=None, modules=None, now=None,
+        keep: bool = True, force_watermark: bool = False) -> dict:
     """One run of the whole feed. Returns the new tables, nothing is written.
 
-    The caller writes them (see ``sources.tables``) and the watermark last, so a
-    failed run is repeated from the old one; every step may be repeated.
+    ``subledgers`` are the stored tables by module; one that is missing is new. Every step
+    may be repeated; see :func:`write` for the order in which results become current.
     """
     row = state.filter(F.col("state_key") == K.WATERMARK_KEY).select("watermark").head()
     since, until, ad_hoc = C.resolve_window(since, until, row and row.watermark, now=now)
-    docs = C.callback_window_extract(callbacks, since, until, modules)
-    load = module_process(docs, modules, keep)
-    frontier = C.extract_frontier(callbacks, since, until)
+    load = module_process(C.callback_window_extract(callbacks, since, until, modules), modules, keep)
+    stored, spark = subledgers or {}, ledger.sparkSession
+    wanted = K.MODULES if modules is None else C.known_modules(modules)
     return {
         "load": load,
+        "subledgers": {m: load_subledger(stored[m] if m in stored else empty_subledger(spark, m), load, m)
+                       for m in wanted},
         "gl": load_ledger(ledger, load, coa),
-        "activity_log": A.activity_upsert(
-            log, A.activity_rows(C.callback_window_extract(callbacks, since, until, modules,
-                                                           C.HEAD_SCHEMA)),
-            ["callback_at"]),
-        "state": C.watermark_update(state, frontier, ad_hoc=ad_hoc, force=force_watermark),
+        "activity_log": A.activity_upsert(log, load.activity, ["callback_at"]),
+        "state": C.watermark_update(state, C.extract_frontier(callbacks, since, until), ad_hoc=ad_hoc,
+                                    force=force_watermark),
         "summary": load.summary,
     }
+
+
+def write(result: dict, folder: str) -> None:
+    """Write a run's tables below a new folder, the watermark last: without it the run did
+    not happen, and the next one starts from the old watermark."""
+    for module, table in result["subledgers"].items():
+        table.write.parquet(f"{folder}/{module}")
+    for name in ("gl", "activity_log", "summary", "state"):
+        result[name].write.parquet(f"{folder}/{name}")
