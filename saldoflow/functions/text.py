@@ -28,6 +28,15 @@ def decimal_lenient(text: str, to: str = MONEY) -> str:
     return f"coalesce(try_cast({text} AS {to}), CAST(0 AS {to}))"
 
 
+#: Money of this size and more does not fit.
+LARGEST = "1e21D"
+
+
+def too_large(text: str) -> str:
+    """True for the text of a number that does not fit a money figure."""
+    return f"coalesce(abs(try_cast({text} AS DOUBLE)) >= {LARGEST} AND abs(try_cast({text} AS DOUBLE)) < double('infinity'), false)"
+
+
 def first_nonblank(*texts: str) -> str:
     return "coalesce(" + ", ".join(f"nullif({t}, '')" for t in texts) + ")"
 

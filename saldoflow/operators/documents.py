@@ -70,6 +70,28 @@ def payload_validate() -> str:
             f"THEN concat('missing required fields: ', {missing_fields()}) END")
 
 
+def out_of_range() -> str:
+    """True when a figure of the document, or one converted at its rate, does not fit.
+
+    Such a figure must stop its document; read leniently it would count as nothing.
+    """
+    def some(of: str, name: str, *fields: str) -> str:
+        return f"exists({of}, {name} -> {' OR '.join(X.too_large(f) for f in fields)})"
+
+    def converted(of: str, *fields: str) -> str:
+        largest = "greatest(" + ", ".join(f"abs(CAST(x.{f} AS DOUBLE))" for f in fields) + ")" if len(fields) > 1 \
+            else f"abs(CAST(x.{fields[0]} AS DOUBLE))"
+        return f"exists({of}, x -> {largest} * greatest(abs(CAST(x.rate AS DOUBLE)), 1D) >= {X.LARGEST})"
+
+    parts = [some("data.line_items", "x", "x.amount", "x.debit", "x.credit", "x.subtotal_before_discount",
+                  "x.subtotal_after_discount", "x.discount.amount", "x.payable.amount", "x.payment.amount"),
+             "exists(data.line_items, x -> coalesce(" + some("x.taxes", "t", "t.amount") + ", false))",
+             some("data.payments", "x", "x.amount"), some("data.others", "x", "x.amount"), X.too_large("data.cash.amount"),
+             converted("lines", "amount", "debit", "credit", "before", "after"), converted("claims", "settled", "discount"),
+             converted("payments", "amount"), converted("others", "amount"), converted("array(cash)", "amount")]
+    return " OR ".join(f"coalesce({p}, false)" for p in parts)
+
+
 def _plain(value: str) -> str:
     text = f"CAST(CAST({value} AS DECIMAL(38,4)) AS STRING)"
     return f"regexp_replace(regexp_replace({text}, '0+$', ''), '[.]$', '')"
@@ -82,7 +104,9 @@ def gates() -> str:
     slack = (f"CAST(IF(module = 'manual_journal', {K.MANUAL_BALANCE_TOLERANCE}, "
              f"{K.BALANCE_TOLERANCE}) AS DECIMAL(4,2))")
     kind = "IF(module = 'sales_invoice', 'unbalanced', concat('unbalanced ', module))"
-    return (f"CASE WHEN draft.n = 0 "
+    return (f"CASE WHEN {out_of_range()} "
+            f"THEN concat('amount out of range for ', module, ' source_id=', {source}) "
+            f"WHEN draft.n = 0 "
             f"THEN concat('no rows generated for ', module, ' source_id=', {source}) "
             f"WHEN abs({diff}) > {slack} "
             f"THEN concat({kind}, ' transform for source_id=', {source}, ': total_debit=', "

@@ -181,3 +181,18 @@ def test_window_bounds():
     assert C.resolve_window("2026-01-01", "2026-01-31") == (datetime(2026, 1, 1), datetime(2026, 1, 31, 23, 59, 59), True)
     assert C.resolve_window(watermark=at)[0] == datetime(2026, 5, 1, 11, 55)
     assert C.resolve_window(now=at)[0] == datetime(2026, 3, 17, 12)
+
+
+def test_a_figure_that_does_not_fit_stops_its_document(spark):
+    huge = "1" + "0" * 21
+    line = {"id": "m", "account": {"code": "7102", "name": "Cost"}, "debit": huge, "credit": 0}
+    both = manual()
+    both["data"]["line_items"] = [line, {**line, "debit": 0, "credit": huge}]
+    at_rate = invoice(exchange_rate="1000000")
+    at_rate["data"]["line_items"][0]["subtotal_before_discount"] = "1e16"
+    fits = manual()
+    fits["data"]["line_items"] = [{**line, "debit": "9" * 20}, {**line, "debit": 0, "credit": "9" * 20}]
+    errors = {r.callback_id: r.error for r in transformed(spark, both, at_rate, fits, invoice()).collect()}
+    assert errors[1] == "amount out of range for manual_journal source_id=MJ-1"
+    assert errors[2].startswith("amount out of range")
+    assert errors[3] is None and errors[4] is None
