@@ -163,7 +163,7 @@ def judge(docs: DataFrame, threshold: float = 0.5, steps: int = STEPS) -> DataFr
     rules = votes()
     voted = cut(measures(docs).withColumns(rules))
     names = list(rules)
-    patterns = cut(voted.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1))
+    patterns = cut(voted.groupBy(*names).agg(F.count("*").alias("n")))
     prior, right = fit(patterns, names, steps)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     posterior = 1 / (1 + F.exp(-_log_odds(names, prior, right)))
