@@ -295,40 +295,48 @@ def _side_by_side(*single_rows: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
+def _exact(amount: Column) -> Column:
+    """Sum of amounts to twelve decimals, the same in whatever order they are added."""
+    return F.coalesce(F.sum(amount.cast("decimal(28,12)")), F.lit(0).cast("decimal(38,12)"))
+
+
 def recon_summary(resolved: DataFrame, charged: DataFrame, overhead: DataFrame | None = None) -> DataFrame:
-    """One row of totals and counts; every input is read once."""
-    source = resolved.agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("source_total"),
+    """One row of totals and counts; every input is read once.
+
+    Totals and their differences are decimal and become double only in the result, so a
+    tie-out neither drifts with the number of lines nor changes between runs.
+    """
+    amount, allocation = F.col("amount"), F.col("allocation")
+    source = resolved.agg(_exact(amount).alias("source_total"),
                           F.count("*").alias("n_gl_lines"),
                           F.count_if(F.col("method").isNull()).alias("expected_direct"),
-                          F.coalesce(F.sum(F.when(F.col("amount") < 0, F.col("amount"))), F.lit(0.0))
-                          .alias("negative_source"))
+                          _exact(F.when(amount < 0, amount)).alias("negative_source"))
     good = F.col("kind") != "reject"
     out = charged.agg(
-        F.coalesce(F.sum(F.when(good, F.col("allocation"))), F.lit(0.0)).alias("base_total"),
+        _exact(F.when(good, allocation)).alias("base_total"),
         F.count_if(F.col("kind") == "direct").alias("n_direct"),
         F.count_if(F.col("kind") == "distributed").alias("n_distributed"),
         F.count_if(F.col("kind") == "reject").alias("n_rejects"),
-        F.coalesce(F.sum(F.when(good & (F.col("allocation") < 0), F.col("allocation"))), F.lit(0.0))
-        .alias("negative_allocation"))
+        _exact(F.when(good & (allocation < 0), allocation)).alias("negative_allocation"))
     if overhead is None:
+        zero = F.lit(0).cast("decimal(38,12)")
         swept = charged.sparkSession.range(1).select(
-            F.lit(0.0).alias("overhead_net"), F.lit(0).cast("bigint").alias("n_overhead"),
-            F.lit(0.0).alias("overhead_pool"))
+            zero.alias("overhead_net"), F.lit(0).cast("bigint").alias("n_overhead"), zero.alias("overhead_pool"))
     else:
         swept = overhead.agg(
-            F.coalesce(F.sum("allocation"), F.lit(0.0)).alias("overhead_net"),
-            F.count("*").alias("n_overhead"),
-            F.coalesce(-F.sum(F.when(F.col("allocation") < 0, F.col("allocation"))), F.lit(0.0))
-            .alias("overhead_pool"))
+            _exact(allocation).alias("overhead_net"), F.count("*").alias("n_overhead"),
+            (-_exact(F.when(allocation < 0, allocation))).alias("overhead_pool"))
     one = _side_by_side(source, out, swept)
     total = F.col("base_total") + F.col("overhead_net")
-    limit = F.greatest(F.lit(K.TOLERANCE), F.abs("source_total") * K.RELATIVE_TOLERANCE)
+    limit = F.greatest(F.lit(K.TOLERANCE), F.abs(F.col("source_total").cast("double")) * K.RELATIVE_TOLERANCE)
+    double = lambda c: c.cast("double")
     return one.select(
-        "source_total", total.alias("allocated_total"),
-        (total - F.col("source_total")).alias("variance"), "n_gl_lines",
+        double(F.col("source_total")).alias("source_total"), double(total).alias("allocated_total"),
+        double(total - F.col("source_total")).alias("variance"), "n_gl_lines",
         (F.col("n_direct") + F.col("n_distributed") + F.col("n_overhead")).alias("n_output_rows"),
-        "n_direct", "expected_direct", "n_distributed", "n_rejects", "n_overhead", "overhead_net",
-        "overhead_pool", "negative_source", "negative_allocation", limit.alias("total_tolerance"))
+        "n_direct", "expected_direct", "n_distributed", "n_rejects", "n_overhead",
+        *[double(F.col(c)).alias(c) for c in ("overhead_net", "overhead_pool", "negative_source", "negative_allocation")],
+        limit.alias("total_tolerance"))
 
 
 def gate_total_tieout(recon: DataFrame) -> DataFrame:
