@@ -107,8 +107,9 @@ def sheets(spark, sf) -> dict:
         "n_name AS dept", "CAST(1 + c_custkey % 3 AS DOUBLE) AS hc", f"{_LOCATION} AS location",
         f"{_DETAIL} AS location_detail")
     total = supplier.agg(F.count("*").alias("total"))
-    rev = (supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).withColumn("one", F.lit(1))
-           .join(total.withColumn("one", F.lit(1)), "one").selectExpr(
+    # Totals are one row, so the cross joins add a column.
+    rev = (supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+           .crossJoin(F.broadcast(total)).selectExpr(
         "n_name AS div", "1.0D / total AS pct_all", "s_suppkey % 4 / 10.0D AS pct_ho",
         "s_suppkey % 2 / 10.0D AS pct_certification_services"))
     return {"PC": pc, "COA": coa, "LOGIC": logic, "FTE": fte, "REV": rev,
@@ -130,15 +131,14 @@ def _split(text):
 
 def _allocation(nation, fte, rev):
     hc = fte.groupBy("dept").agg(F.sum("hc").alias("hc"))
-    one = F.lit(1).alias("one")
-    total = hc.agg(F.sum("hc").alias("total"), F.max(F.lit(1)).alias("one"))
+    total = hc.agg(F.sum("hc").alias("total"))
     key = nation.selectExpr("n_name", "CAST(n_nationkey AS BIGINT) AS nk", "n_regionkey")
-    head = (hc.select("*", one).join(total, "one").join(key, F.col("dept") == F.col("n_name"))
+    head = (hc.crossJoin(F.broadcast(total)).join(key, F.col("dept") == F.col("n_name"))
             .selectExpr("'FTE - All' AS distribution", "CAST(NULL AS STRING) AS account_name",
                         "dept AS new_dept", "hc / total AS percentage", "nk AS seq"))
     counts = rev.groupBy("div").agg(F.count("*").cast("double").alias("n"))
-    n_all = counts.agg(F.sum("n").alias("total"), F.max(F.lit(1)).alias("one"))
-    revenue = (counts.select("*", one).join(n_all, "one").join(key, F.col("div") == F.col("n_name"))
+    n_all = counts.agg(F.sum("n").alias("total"))
+    revenue = (counts.crossJoin(F.broadcast(n_all)).join(key, F.col("div") == F.col("n_name"))
                .selectExpr("'Revenue' AS distribution", "CAST(NULL AS STRING) AS account_name",
                            "div AS new_dept", "n / total AS percentage", "100 + nk AS seq"))
     lab = key.filter("n_regionkey = 1").selectExpr(
@@ -363,20 +363,38 @@ def check_sign_totals(spark, sf):
     return r.select(*[F.col(c).cast("decimal(24,2)").alias(c) for c in r.columns])
 
 
+# A second set of books from the first: some direct lines lost, some splits halved, some
+# children turned into rejects, and a sweep without its negative side.
+_BROKEN = """bch AS (SELECT * REPLACE (CASE WHEN kind = 'distributed' AND seq % 11 = 0 THEN 'reject' ELSE kind END AS kind,
+    CASE WHEN kind = 'distributed' AND seq % 5 = 0 THEN allocation / 2 ELSE allocation END AS allocation)
+  FROM ch WHERE NOT (kind = 'direct' AND seq % 7 = 0)),
+bsweep AS (SELECT * FROM sweep WHERE allocation > 0)"""
+
+
+def _broken(r):
+    charged = r.charged.filter("NOT (kind = 'direct' AND seq % 7 = 0)").withColumns({
+        "allocation": F.expr("IF(kind = 'distributed' AND seq % 5 = 0, allocation / 2, allocation)"),
+        "kind": F.expr("IF(kind = 'distributed' AND seq % 11 = 0, 'reject', kind)")})
+    return D.recon_summary(r.resolved, charged, r.overhead.filter("allocation > 0")), charged
+
+
 def _gate(name, gate, of_recon=True):
-    # Every gate holds on these books by construction, so the SQL is the verdict
-    # worked out again from the totals.
-    tests = {
-        "total_tieout": "ABS((SELECT SUM(allocation) FROM base) + (SELECT SUM(allocation) FROM sweep) - (SELECT SUM(amount) FROM res)) < 0.01",
-        "sweep_zero_sum": "ABS((SELECT SUM(allocation) FROM sweep)) < 0.01",
-        "no_rejects": "NOT EXISTS (SELECT 1 FROM ch WHERE kind = 'reject')",
-        "direct_count": "(SELECT COUNT(*) FROM base WHERE method IS NULL) = (SELECT COUNT(*) FROM res WHERE method IS NULL)",
-        "line_conservation": """NOT EXISTS (SELECT 1 FROM base GROUP BY seq HAVING ABS(SUM(allocation) - MAX(amount)) > 1e-6)"""}
-
-    @query(name, f"WITH {ALL_SQL} SELECT '{gate}' AS gate, {tests[gate]} AS ok")
+    def verdict(ch, sweep):
+        return {
+            "total_tieout": f"ABS((SELECT SUM(allocation) FROM {ch} WHERE kind <> 'reject') + (SELECT SUM(allocation) FROM {sweep}) - (SELECT SUM(amount) FROM res)) < 0.01",
+            "sweep_zero_sum": f"ABS((SELECT SUM(allocation) FROM {sweep})) < 0.01",
+            "no_rejects": f"NOT EXISTS (SELECT 1 FROM {ch} WHERE kind = 'reject')",
+            "direct_count": f"(SELECT COUNT(*) FROM {ch} WHERE kind = 'direct') = (SELECT COUNT(*) FROM res WHERE method IS NULL)",
+            "line_conservation": f"""NOT EXISTS (SELECT 1 FROM {ch} WHERE kind <> 'reject' GROUP BY seq
+              HAVING ABS(SUM(allocation) - MAX(amount)) > 1e-6)"""}[gate]
+
+    @query(name, f"""WITH {ALL_SQL}, {_BROKEN} SELECT 'sound' AS book, '{gate}' AS gate, {verdict('ch', 'sweep')} AS ok
+UNION ALL SELECT 'broken', '{gate}', {verdict('bch', 'bsweep')}""")
     def fn(spark, sf):
         r = run(spark, sf)
-        return getattr(D, name)(r.recon if of_recon else r.charged)
+        books = {"sound": (r.recon, r.charged), "broken": _broken(r)}
+        return D.union_all(*[getattr(D, name)(recon if of_recon else charged).withColumn("book", F.lit(b))
+                             for b, (recon, charged) in books.items()])
 
 
 for _n, _g in (("gate_total_tieout", "total_tieout"), ("gate_sweep_zero_sum", "sweep_zero_sum"),
