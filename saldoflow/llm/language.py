@@ -2,15 +2,21 @@
 
 P(word | word before) = P(class | class before) P(unit | class) P(word | unit)
 
-A unit is one of the ``WORDS`` most frequent words, the end of a text, or the group of all
-other words whose last three bytes have the same hash, of which there are ``GROUPS``. So
-every word, known or not, has a unit, and what classes are learned from is bounded, while
-it is counted over all training texts. Exchange clustering moves unit after unit to the
-class in which the class bigrams explain the training text best, until nothing moves.
+Exchange clustering moves unit after unit to the class in which the class bigrams explain
+the training text best, until nothing moves. It starts from a bounded head: its units are
+the ``WORDS`` most frequent words, the end of a text, and the groups of all other words
+whose last three bytes have the same hash, of which there are ``GROUPS``. Then every
+further word leaves its group for the class with the largest gain of the same exchange: in
+tasks, from the classes that stand before and after it in all training texts; the words of
+the lexicon first, the others after them beside the lexicon's new classes. The class
+bigrams are then counted again over the classes of all words. In the final model the
+further words of a class are one unit; a word that training has not seen is in that of the class of its
+group. A given number of ``words`` ends the clustering with the head: then the groups
+stay the units of all other words.
 
 Word counts are a table that grows with the corpus and is never collected. Words down to a
 count that at most ``LEXICON`` words reach travel with the tasks; the other words of a
-text are joined with the table.
+text are joined with the table, which also holds their units.
 """
 
 from __future__ import annotations
@@ -180,34 +186,251 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return cls
 
 
+def placed(right: np.ndarray, left: np.ndarray, twice: np.ndarray, own: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Class of each of many words, by the gain of :func:`exchange` for each alone.
+
+    ``right`` and ``left``: how often a class stands after and before the word, without the
+    ``twice`` times that it follows itself. ``table`` has each word in its class ``own``.
+    """
+    n, classes = right.shape
+    each = np.arange(n)
+    gain = np.zeros((n, classes))
+    for here, there, bigrams in ((right, left, table), (left, right, table.T)):
+        w, j = np.nonzero(here)
+        if not len(w):
+            continue
+        times, entry, mine = here[w, j], np.arange(len(w)), own[w]
+        held = bigrams[:, j].T.astype(float)
+        same = j == mine
+        held[entry[~same], mine[~same]] -= times[~same]
+        held[same] -= there[w[same]]
+        delta = _g(held + times[:, None]) - _g(held)
+        delta[entry, j] = 0  # both sides meet there, see below
+        starts = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+        gain[w[starts]] += np.add.reduceat(delta, starts, axis=0)
+    held = np.tile(table.diagonal().astype(float), (n, 1))
+    held[each, own] -= right[each, own] + left[each, own] + twice
+    gain += _g(held + right + left + twice[:, None]) - _g(held)
+    for here, sums in ((right, table.sum(1)), (left, table.sum(0))):
+        times = here.sum(1) + twice
+        held = np.tile(sums.astype(float), (n, 1))
+        held[each, own] -= times
+        gain -= _g(held + times[:, None]) - _g(held)
+    gain[:, 0] = -np.inf
+    best, stay = gain.argmax(1), gain[each, own]
+    return np.where(gain[each, best] > stay + 1e-9 * abs(stay), best, own)
+
+
+class _Ids(dict):
+    """Numbers of words; a word that has none gets the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = k = len(self) + 1  # 0 is the end
+        return k
+
+
+def _paths(batches: Iterator[pa.RecordBatch], place: dict[bytes, int]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Texts as numbers, the end's before and after each, with the words numbered beyond ``place``."""
+    ids, path = _Ids(place), [np.zeros(1, np.int64)]
+    tokens = 0
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            path.append(np.array([*map(ids.__getitem__, word_bytes(text)), 0], np.int64))
+            tokens += len(path[-1])
+            if tokens >= HELD_TOKENS or len(ids) - len(place) >= HELD_WORDS:
+                yield np.concatenate(path), list(ids)[len(place):]
+                ids, path, tokens = _Ids(place), [np.zeros(1, np.int64)], 0
+    if tokens:
+        yield np.concatenate(path), list(ids)[len(place):]
+
+
+def _summed(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.concatenate(keys), return_counts=True)
+
+
+def lexicon_contexts(texts: DataFrame, place: dict[bytes, int], classes: np.ndarray, first: np.ndarray,
+                     group_class: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """New ``classes`` of the words of the lexicon; those with ``first`` and the end keep theirs."""
+    width = len(table)
+    codes = 2 * width + 1
+    shared = texts.sparkSession.sparkContext.broadcast((place, classes, first))  # LEXICON bounds it
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, classes, first = shared.value
+        for path, others in _paths(batches, place):
+            cls = np.concatenate([classes, group_class[[group_of(w) for w in others]]]) if others else classes
+            moves = np.concatenate([~first, np.zeros(len(others), bool)])
+            a, b = path[:-1], path[1:]
+            same = a == b
+            right, left = moves[a] & ~same, moves[b] & ~same
+            key, n = _summed([a[right] * codes + cls[b[right]], b[left] * codes + width + cls[a[left]],
+                              a[same & moves[a]] * codes + 2 * width])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((key // codes).astype(np.int32)), pa.array((key % codes).astype(np.int32)), pa.array(n)],
+                names=["id", "code", "n"])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, classes, _ = shared.value
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            dense = _dense(batch, codes)
+            best = placed(dense[:, :width], dense[:, width:2 * width], dense[:, -1], classes[ids], table)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(best.astype(np.int32))], names=["id", "class"])
+
+    found = texts.select("text").mapInArrow(count, "id int, code int, n long").groupBy("id", "code").agg(
+        F.sum("n").alias("n")).groupBy("id").agg(F.collect_list("code").alias("codes"), F.collect_list("n").alias("ns"))
+    rows = found.mapInArrow(choose, "id int, class int").toArrow()
+    classes = classes.copy()
+    classes[rows.column("id").to_numpy()] = rows.column("class").to_numpy()
+    return classes
+
+
+def _dense(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    """The lists ``codes`` and ``ns`` of a batch as a matrix with a column for each code."""
+    codes, ns = batch.column("codes"), batch.column("ns")
+    owner = np.repeat(np.arange(len(codes)), codes.value_lengths().to_numpy())
+    where = owner * width + codes.flatten().to_numpy()
+    return np.bincount(where, ns.flatten().to_numpy(), len(codes) * width).reshape(-1, width)
+
+
+def other_words(texts: DataFrame, place: dict[bytes, int], classes: np.ndarray, group_class: np.ndarray,
+                width: int) -> tuple[DataFrame, np.ndarray]:
+    """(word, n, class) of all words beyond the lexicon, whose ``classes`` are settled, and the
+    class bigrams of all texts after it.
+
+    Neighbours in the lexicon count by their own class. Neighbours beyond it are still in
+    their group's class when a class is chosen, and in their own in the bigrams.
+    """
+    known = len(place) + 1
+    codes, square = 4 * width + 1, width * width
+    shared = texts.sparkSession.sparkContext.broadcast((place, classes))  # LEXICON bounds it
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, classes = shared.value
+        for path, others in _paths(batches, place):
+            cls = np.concatenate([classes, group_class[[group_of(w) for w in others]]]) if others else classes
+            words = pa.array([None, *others], pa.binary())
+            a, b = path[:-1], path[1:]
+            new_a, new_b, same = a >= known, b >= known, a == b
+            both = cls[a] * width + cls[b]
+            key, n = _summed([both, square + both[~new_a & ~new_b]])
+            yield out(words, np.zeros(len(key), int), None, key, n)
+            right, left = new_a & ~same, new_b & ~same
+            key, n = _summed([(a[right] - known) * codes + cls[b[right]] + 2 * width * new_b[right],
+                              (b[left] - known) * codes + width + cls[a[left]] + 2 * width * new_a[left],
+                              (a[same & new_a] - known) * codes + 4 * width])
+            yield out(words, key // codes + 1, None, key % codes, n)
+            pairs = right & new_b
+            key, n = _summed([(a[pairs] - known) * (len(others) + 1) + b[pairs] - known])
+            yield out(words, key // (len(others) + 1) + 1, key % (len(others) + 1) + 1, np.full(len(key), -1), n)
+
+    def out(words: pa.Array, word: np.ndarray, following: np.ndarray | None, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [words.take(pa.array(word)), pa.nulls(len(n), pa.binary()) if following is None else words.take(pa.array(following)),
+             pa.array(code.astype(np.int32)), pa.array(n)], names=["word", "following", "code", "n"])
+
+    seen = settle(texts.select("text").mapInArrow(count, "word binary, following binary, code int, n long"), "contexts")
+    matrix = np.zeros(2 * square)
+    for row in seen.filter("word IS NULL").groupBy("code").agg(F.sum("n").alias("n")).collect():
+        matrix[row["code"]] = row["n"]
+    before, bigrams = matrix.reshape(2, width, width)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), 4096):
+                batch = whole.slice(at, 4096)
+                dense = _dense(batch, codes)
+                sides, twice = dense[:, :-1].reshape(-1, 2, 2, width), dense[:, -1]
+                own = group_class[[group_of(w) for w in batch.column("word").to_pylist()]]
+                right, left = sides.sum(1).transpose(1, 0, 2)
+                best = placed(right, left, twice, own, before)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("word"), pa.array((left.sum(1) + twice).astype(np.int64)), pa.array(best.astype(np.int32)),
+                     batch.column("codes"), batch.column("ns")], names=["word", "n", "class", "codes", "ns"])
+
+    # A task passes a word's contexts on once, so a word has a few rows from each task at most.
+    chosen = settle(seen.filter("word IS NOT NULL AND following IS NULL").repartition("word").groupBy("word", "code").agg(
+        F.sum("n").alias("n")).groupBy("word").agg(F.collect_list("code").alias("codes"), F.collect_list("n").alias("ns")).mapInArrow(
+        choose, "word binary, n long, class int, codes array<int>, ns array<long>"), "classes")
+
+    def recount(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for whole in batches:
+            for at in range(0, len(whole), 4096):
+                batch = whole.slice(at, 4096)
+                dense, cls = _dense(batch, codes), batch.column("class").to_numpy()
+                member = np.zeros((len(cls), width))
+                member[np.arange(len(cls)), cls] = 1
+                total += member.T @ dense[:, :width] + dense[:, width:2 * width].T @ member
+                total += np.diag(member.T @ dense[:, -1])
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total.ravel()[some].astype(np.int64))],
+                                         names=["code", "n"])
+
+    sides = [chosen.select(F.col("word").alias(word), F.col("class").alias(to)) for word, to in (("word", "a"), ("following", "b"))]
+    pairs = seen.filter("following IS NOT NULL").select("word", "following", "n").join(sides[0], "word").join(sides[1], "following")
+    again = chosen.select("class", "codes", "ns").mapInArrow(recount, "code int, n long").unionByName(
+        pairs.select((F.col("a") * width + F.col("b")).alias("code"), "n"))
+    bigrams = bigrams.ravel().copy()
+    for row in again.groupBy("code").agg(F.sum("n").alias("n")).collect():
+        bigrams[row["code"]] += row["n"]
+    return chosen.select("word", "n", "class"), bigrams.reshape(width, width)
+
+
 class Model:
-    """What the training texts have taught; all but ``counts`` (a table) is bounded."""
+    """What the training texts have taught; all but ``counts`` (a table) is bounded.
 
-    def __init__(self, texts: DataFrame, words: int = WORDS, lexicon_size: int = LEXICON, classes: int = CLASSES):
-        self.counts = settle(word_counts(texts), "words")
+    ``counts`` holds (word, n, g) of at least all words beyond the lexicon, ``group`` the g of
+    those in it without a unit of their own, ``unseen`` that of an unknown word by its
+    hash. The unit of a g stands behind the units of words.
+    """
+
+    def __init__(self, texts: DataFrame, words: int | None = None, lexicon_size: int = LEXICON, classes: int = CLASSES):
+        counts = settle(word_counts(texts), "words")
         ends = texts.count()
-        n, v = self.counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
         self.tokens, self.types = n + ends, v + (ends > 0)
         self.ends = ends
-        self.lexicon = lexicon(self.counts, lexicon_size)
-        top = sorted(self.lexicon.items(), key=lambda x: (-x[1], x[0]))[:words]
+        self.lexicon = lexicon(counts, lexicon_size)
+        top = sorted(self.lexicon.items(), key=lambda x: (-x[1], x[0]))[:WORDS if words is None else words]
         unit = {w: 1 + k for k, (w, _) in enumerate(top)}
-        groups = {r["g"]: (r["n"], r["v"]) for r in self.counts.groupBy(
-            (F.crc32(F.substring("word", -3, 3)) % GROUPS).alias("g")).agg(
-            F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
-        group_n, group_v = np.zeros(GROUPS), np.zeros(GROUPS)
-        for g, (a, b) in groups.items():
-            group_n[g], group_v[g] = a, b
-        for w, a in top:  # these have units of their own
-            group_n[group_of(w)] -= a
-            group_v[group_of(w)] -= 1
+        self.unit = unit
         pairs = unit_bigrams(texts, unit)
-        self.unit, self.classes = unit, exchange(pairs, classes)
+        seed = exchange(pairs, classes)
         member = np.zeros((len(pairs), classes))
-        member[np.arange(len(pairs)), self.classes] = 1
+        member[np.arange(len(pairs)), seed] = 1
         table = member.T @ pairs @ member
-        size, of_class = pairs.sum(0), table.sum(0)
-        kinds = member.sum(0)
+        sql_group = (F.crc32(F.substring("word", -3, 3)) % GROUPS).cast("int")
+        if words is None and classes > 1 and v:
+            seed_group = seed[len(unit) + 1:]
+            inside = sorted(self.lexicon)
+            place = {w: 1 + k for k, w in enumerate(inside)}
+            of_word = np.array([0, *(seed[unit[w]] if w in unit else seed_group[group_of(w)] for w in inside)])
+            first = np.array([True, *(w in unit for w in inside)])
+            of_word = lexicon_contexts(texts, place, of_word, first, seed_group, table)
+            others, table = other_words(texts, place, of_word, seed_group, classes)
+            self.counts = others.select("word", "n", (F.col("class") - 1).alias("g"))
+            self.group = {w: int(of_word[place[w]]) - 1 for w in inside if w not in unit}
+            self.unseen = seed_group - 1
+            groups = classes - 1
+            self.classes = np.concatenate([seed[:len(unit) + 1], 1 + np.arange(groups)])
+            beyond = self.counts
+        else:
+            self.counts = counts.select("word", "n", sql_group.alias("g"))
+            self.group = {w: group_of(w) for w in self.lexicon if w not in unit}
+            self.unseen, groups = np.arange(GROUPS), GROUPS
+            self.classes = seed
+            beyond = self.counts.join(F.broadcast(texts.sparkSession.createDataFrame(
+                [(bytearray(w),) for w in self.lexicon], "word binary")), "word", "left_anti")
+        group_n, group_v = np.zeros(groups), np.zeros(groups)
+        for w, g in self.group.items():
+            group_n[g] += self.lexicon[w]
+            group_v[g] += 1
+        for r in beyond.groupBy("g").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+            group_n[r["g"]] += r["n"]
+            group_v[r["g"]] += r["v"]
+        size = np.concatenate([[ends], [n for _, n in top], group_n])
+        of_class, kinds = table.sum(0), np.bincount(self.classes, minlength=classes)
         share = (of_class + ADDED * (kinds > 0)) / (of_class.sum() + ADDED * (kinds > 0).sum())
         # A class bigram falls back on the class's own share with the weight of one token.
         follow = (table + share) / (table.sum(1, keepdims=True) + 1)
@@ -227,62 +450,92 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     head = sorted(model.lexicon.items())
     counts = np.array([c for _, c in head], float)
     place = {w: k for k, (w, _) in enumerate(head)}
-    units = np.array([model.unit.get(w) or len(model.unit) + 1 + group_of(w) for w, _ in head], np.int64)
-    own = units <= len(model.unit)
-    spread = np.where(own, 1.0, model.in_group[np.where(own, 0, units - len(model.unit) - 1)])
+    first_group, ends = len(model.unit) + 1, model.ends
+    units = np.array([model.unit.get(w) or first_group + model.group[w] for w, _ in head], np.int64)
+    own = units < first_group
+    spread = np.where(own, 1.0, model.in_group[np.where(own, 0, units - first_group)])
     in_unit = np.where(own, 0.0, np.log10((counts + ADDED) / spread))
     by_word = np.log10((counts + ADDED) / model.base)
     end = float(np.log10((model.ends + ADDED) / model.base))
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (place, units, in_unit, by_word, model.classes, model.follow, model.in_class))  # LEXICON bounds it
-    first_group, ends = len(model.unit) + 1, model.ends
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast((place, units, in_unit, by_word))  # LEXICON bounds it
+    classes, follow, in_class, in_group, base = model.classes, model.follow, model.in_class, model.in_group, model.base
+    unseen = model.unseen
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, units, in_unit, by_word, classes, follow, in_class = shared.value
+        place, units, in_unit, by_word = shared.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             out = [[] for _ in range(7)]
             for text in batch.column("text").to_pylist():
                 words = word_bytes(text)
                 found = list(map(place.get, words))
-                rest = Counter(w for w, k in zip(words, found) if k is None) if None in found else {}
-                known = np.array([-1 if k is None else k for k in found], np.int64)
-                path = np.zeros(len(words) + 2, np.int64)
+                rest = dict.fromkeys(w for w, k in zip(words, found) if k is None) if None in found else {}
+                number = {w: k for k, w in enumerate(rest)}
+                known = np.array([-1 - number[w] if k is None else k for w, k in zip(words, found)] if rest else found, np.int64)
                 inside = known >= 0
-                path[1:-1] = units[known] if len(units) else 0
-                if rest:
-                    path[1:-1][~inside] = [first_group + group_of(w) for w, k in zip(words, found) if k is None]
-                steps = classes[path]
                 here = known[inside]
+                # Classes, and below zero the places of the words to be joined.
+                path = np.zeros(len(words) + 2, np.int64)
+                path[1:-1] = known
+                path[1:-1][inside] = classes[units[here]] if len(here) else 0
+                sure = path >= 0
+                both = sure[:-1] & sure[1:]
                 out[0].append(row)
                 out[1].append(len(words) + 1)
                 out[2].append(len(here) + (ends > 0))
                 out[3].append(float(by_word[here].sum()) + end)
-                out[4].append(float(follow[steps[:-1], steps[1:]].sum() + in_class[path[1:]].sum() + in_unit[here].sum()))
+                total = follow[path[:-1][both], path[1:][both]].sum() + in_class[0] + in_unit[here].sum()
+                out[4].append(float(total + (in_class[units[here]].sum() if len(here) else 0)))
                 out[5].append(list(rest))
-                out[6].append(list(rest.values()))
+                near = ~sure
+                near[:-1] |= ~sure[1:]
+                near[1:] |= ~sure[:-1]
+                out[6].append(path[near])
                 row += 1
+            lengths = np.cumsum([0, *map(len, out[6])])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.float64()),
                  pa.array(out[4], pa.float64()), pa.array(out[5], pa.list_(pa.binary())),
-                 pa.array(out[6], pa.list_(pa.int64()))], names=names)
+                 pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(
+                     [np.zeros(0, np.int64), *out[6]]).astype(np.int32)))], names=names)
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known, base_score, score = (batch.column(c).to_pylist() for c in ("n_known", "base_score", "score"))
+            columns = [batch.column(c) for c in ("path", "at", "n", "g")]
+            for i in range(len(batch)):
+                path, at, n, g = (c[i].values for c in columns)
+                if at is None or not len(at):
+                    continue
+                path, at = path.to_numpy().astype(np.int64), at.to_numpy()
+                order = np.argsort(at)
+                n, g = n.to_numpy()[order], g.to_numpy()[order]
+                rare = path < 0
+                which = -1 - path[rare]
+                steps = path.copy()
+                steps[rare] = classes[first_group + g[which]]
+                to_count = rare[:-1] | rare[1:]
+                known[i] += int((n[which] > 0).sum())
+                base_score[i] += float(np.log10((n[which] + ADDED) / base).sum())
+                score[i] += float(follow[steps[:-1], steps[1:]][to_count].sum() + in_class[first_group + g[which]].sum()
+                                  + np.log10((n[which] + ADDED) / in_group[g[which]]).sum())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("n_tokens"), pa.array(known, pa.int64()),
+                 pa.array(base_score, pa.float64()), pa.array(score, pa.float64())],
+                names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    names = ["doc_id", "row", "n_tokens", "n_known", "base_score", "score", "words", "times"]
+    names = ["doc_id", "row", "n_tokens", "n_known", "base_score", "score", "words", "path"]
     kind = docs.schema["doc_id"].dataType.simpleString()
     # Written, so that a row keeps its number whatever becomes of the executors.
     part = settle(docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, row long, n_tokens long, n_known long, base_score double, score double, "
-             "words array<binary>, times array<long>"), "scored")
-    rest = part.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
-        "row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    groups = F.array(*[F.lit(float(x)) for x in model.in_group])
-    n = F.coalesce("n", F.lit(0)) + ADDED
-    spread = F.get(groups, (F.crc32(F.substring("word", -3, 3)) % GROUPS).cast("int"))
+             "words array<binary>, path array<int>"), "scored")
+    rest = part.select("row", F.posexplode("words").alias("at", "word"))
+    hashed = F.get(F.array(*[F.lit(int(g)) for g in unseen]), (F.crc32(F.substring("word", -3, 3)) % GROUPS).cast("int"))
     found = rest.join(model.counts, "word", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("known"),
-        F.sum(F.col("times") * F.log10(n / model.base)).alias("base"),
-        F.sum(F.col("times") * F.log10(n / spread)).alias("word_score"))
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    return part.drop("words", "times").join(found, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("n_known") + zero("known")).alias("n_known"),
-        (F.col("base_score") + zero("base")).alias("base_score"), (F.col("score") + zero("word_score")).alias("score"))
+        F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("g", hashed).alias("g"))).alias("found"))
+    return part.drop("words").join(found, "row", "left").select(
+        "doc_id", "n_tokens", "n_known", "base_score", "score", "path", F.col("found.at").alias("at"),
+        F.col("found.n").alias("n"), F.col("found.g").alias("g")).mapInArrow(
+        finish, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")

@@ -3,6 +3,7 @@
 from collections import Counter
 import math
 from pathlib import Path
+import random
 import re
 import zlib
 
@@ -227,3 +228,65 @@ def test_unit_of_group_is_the_same_in_sql(spark):
         row = spark.createDataFrame([(bytearray(w),)], "word binary").selectExpr(
             f"crc32(substring(word, -3, 3)) % {language.GROUPS} AS g").first()
         assert row.g == language.group_of(w) == zlib.crc32(w[-3:]) % language.GROUPS
+
+
+def test_words_are_placed_as_by_exchange():
+    draw = np.random.default_rng(1)
+    pairs = draw.poisson(1.5, (40, 40)).astype(float)
+    cls = np.r_[0, 1 + np.arange(39) % 4]
+    member = np.eye(5)[cls]
+    table, after, before, twice = member.T @ pairs @ member, pairs @ member, pairs.T @ member, pairs.diagonal()
+    each = np.arange(40)
+    after[each, cls] -= twice
+    before[each, cls] -= twice
+    got = language.placed(after[1:], before[1:], twice[1:], cls[1:], table)
+
+    def likelihood(u, b):
+        member = np.eye(5)[np.where(each == u, b, cls)]
+        t = member.T @ pairs @ member
+        g = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+        return g(t) - g(t.sum(0)) - g(t.sum(1))
+
+    assert got.tolist() == [1 + int(np.argmax([likelihood(u, b) for b in range(1, 5)])) for u in range(1, 40)]
+
+
+@pytest.mark.parametrize("lexicon", [200_000, 40])
+def test_every_word_has_a_class_of_its_own(spark, monkeypatch, lexicon):
+    """Words beyond the head follow what stands around them, not their last bytes; the class
+    bigrams and scores are those of all words' classes."""
+    monkeypatch.setattr(language, "WORDS", 12)
+    draw = random.Random(3)
+    nouns, verbs = [f"n{k}x" for k in range(60)], [f"v{k}x" for k in range(60)]
+    pick = lambda words: words[min(int(draw.expovariate(0.08)), 59)]
+    texts = [" ".join(w for _ in range(8) for w in ("the", pick(nouns), "will", pick(verbs))) for _ in range(250)]
+    frame = spark.createDataFrame([*enumerate(texts), (900, "the new1 will v2x"), (901, None)], DOCS)
+    train = frame.filter("doc_id <> 900")
+    model = language.Model(train, classes=8, lexicon_size=lexicon)
+    units = len(model.unit) + 1
+    group = {**{bytes(r.word): r.g for r in model.counts.collect()}, **model.group}
+    unit = lambda w: 0 if w is None else model.unit.get(w) or units + group.get(w, model.unseen[language.group_of(w)])
+    of = lambda w: int(model.classes[unit(w)])
+    counts = Counter(w for r in train.collect() for w in tokens_of(r.text))
+    assert {w for w in counts if w} == set(group) | set(model.unit)
+    noun_of, verb_of = ({of(w.encode()) for w in words if counts[w.encode()] > 4} for words in (nouns, verbs))
+    assert not noun_of & verb_of
+    follow, first, unit_n, unit_v = Counter(), Counter(), Counter(), Counter()
+    for r in train.collect():
+        path = [of(w) for w in [None, *tokens_of(r.text)]]
+        follow.update(zip(path, path[1:]))
+        first.update(path[:-1])
+    for w, c in counts.items():
+        unit_n[unit(w)] += c
+        unit_v[unit(w)] += 1
+    n_class, kinds = Counter(), Counter(model.classes.tolist())
+    for (_, b), c in follow.items():
+        n_class[b] += c
+    total = sum(n_class.values()) + 0.1 * len(kinds)
+    for r in language.score(frame, model).collect():
+        want, path = 0.0, [None, *tokens_of(dict(frame.collect())[r.doc_id])]
+        for a, w in zip(path, path[1:]):
+            b, u = of(w), unit(w)
+            p = (follow[of(a), b] + (n_class[b] + 0.1) / total) / (first[of(a)] + 1)
+            p *= (unit_n[u] + 0.1) / (n_class[b] + 0.1 * kinds[b])
+            want += math.log10(p * ((counts[w] + 0.1) / (unit_n[u] + 0.1 * (unit_v[u] + 1)) if u >= units else 1))
+        assert abs(r.score - want) < 1e-6 * abs(want)
