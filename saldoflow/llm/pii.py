@@ -22,7 +22,7 @@ _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 PATTERNS = {
     "email": r"(?<![0-9A-Za-z._%+-])[0-9A-Za-z][0-9A-Za-z._%+-]*+@[0-9A-Za-z-]++(?:\.[0-9A-Za-z-]++){1,20}",
     "password": _EDGE + r"(?i:password|passwd|secret)=[0-9A-Za-z]++",
-    "token": _EDGE + r'token = "[0-9a-f]++"',
+    "token": _EDGE + r'(?i:token) = "[0-9a-fA-F]++"',
     "access_key": _EDGE + r"AKIA[0-9A-Z]{16}" + _END,
     "iban": _EDGE + r"[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?" + _END,
     "date": _EDGE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})" + _END,
@@ -186,7 +186,7 @@ def pseudonym(span: Column, key: str) -> Column:
     domain_end = n - F.instr(F.reverse(span), ".")
     code_end = F.char_length(F.regexp_extract(span, r"^(\+[0-9]{1,3}(?=[ .(-]))?", 1))
     letters = lambda first, last, kind: _letters(span, first, last, F.lit(kind), key)
-    return (F.when(span.rlike('^((?i:password|passwd|secret)=|token = ")'), letters(F.instr(span, "="), n, "secret"))
+    return (F.when(span.rlike('^((?i:password|passwd|secret)=|(?i:token) = ")'), letters(F.instr(span, "="), n, "secret"))
             .when(F.instr(span, "@") > 0, letters(F.lit(0), domain_end, "email"))
             .when(span.rlike("^AKIA[0-9A-Z]{16}$"), letters(F.lit(4), n, "access_key"))
             .when(is_("iban"), _iban(span, key))

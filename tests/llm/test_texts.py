@@ -131,6 +131,13 @@ def test_private_values_keep_their_format_and_stay_linked(spark):
     assert replaced(spark, []) == []
 
 
+def test_tokens_in_capitals_are_replaced_and_stay_linked(spark):
+    texts = ['token = "9233a8ec01"', 'X TOKEN = "9233A8EC01" Y', 'Token = "9233a8ec01"']
+    (small, _), (capitals, n), (mixed, m) = replaced(spark, texts)
+    assert n == m == 1 and small != texts[0]
+    assert capitals == "X " + small.upper() + " Y" and mixed == "T" + small[1:]
+
+
 def test_pseudonyms_are_one_to_one(spark):
     days = spark.sql("SELECT id AS doc_id, CAST(date_add(DATE'1890-01-01', CAST(id AS INT)) AS STRING) AS text FROM range(20000)")
     assert pii.pseudonymise(days, "k").select("text").distinct().count() == 20000
