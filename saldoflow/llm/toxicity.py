@@ -26,7 +26,7 @@ from saldoflow.llm.components import cut
 
 POSITIVES, UNLABELLED, FEATURES = 3000, 9000, 4096
 #: A feature is in this many positives at least, this many times as common there as in
-#: unlabelled texts, and so many standard deviations more often than these would have it.
+#: negatives, and so many standard deviations more often than these would have it.
 LEAST, LIFT, DEVIATIONS = 4, 2.5, 6.0
 _CACHE_WORDS = 500_000
 _MARKS = ("", " 2", " 3")
@@ -73,16 +73,24 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives:
     return rows.mapInArrow(run, f"doc_id {kind}, kind int, features array<string>").dropDuplicates(["doc_id", "kind"])
 
 
-def select(found: DataFrame, limit: int = FEATURES) -> list[str]:
-    """Features much more common in positives than in the unlabelled, the commonest first."""
+def select(found: DataFrame, limit: int = FEATURES, prior: float = 0.0) -> list[str]:
+    """Features much more common in positives than in negatives, the commonest first.
+
+    A feature's rate in negatives is that in the unlabelled less what the share ``prior`` of
+    positives among them contributes.
+    """
     totals = {r["kind"]: r["n"] for r in found.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     positives, unlabelled = totals.get(1, 0), totals.get(0, 0)
     if not positives or not unlabelled:
         return []
     counts = found.select("kind", F.explode("features").alias("f")).groupBy("f").agg(
         F.sum("kind").alias("p"), F.sum(1 - F.col("kind")).alias("u"))
-    lift = (F.col("p") / positives) / ((F.col("u") + 1) / unlabelled)
-    expected = positives * (F.col("u") + 1) / unlabelled
+    negatives = unlabelled * (1 - prior)
+    # Two standard deviations of the count are left to the negatives, as the difference of two samples is not exact.
+    others = F.greatest(F.col("u") - prior * unlabelled * F.col("p") / positives, F.lit(0.0)) + 2 * F.sqrt(F.col("u"))
+    rate = F.least((F.col("u") + 1) / unlabelled, (others + 1) / negatives)
+    lift = (F.col("p") / positives) / rate
+    expected = positives * rate
     surplus = (F.col("p") - expected) / F.sqrt(expected)
     rows = counts.filter((F.col("p") >= LEAST) & (lift >= LIFT) & (surplus >= DEVIATIONS)).orderBy(
         F.desc("p"), "f").limit(limit).collect()
@@ -129,13 +137,13 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict[str,
     out of both tables before.
     """
     found = cut(sample(docs, labels, label))
-    names = select(found)
+    n, toxic = labels.agg(F.count(label), F.sum(F.col(label).cast("long"))).first()
+    prior = min(max((toxic or 0) / max(1, n), 1e-4), 0.9)
+    names = select(found, prior=prior)
     place = {n: k for k, n in enumerate(names)}
     inside = F.filter("features", lambda f: f.isin(names)) if len(names) < 50 else F.array_intersect(
         "features", F.array(*[F.lit(n) for n in names]))
     rows = found.orderBy("kind", "doc_id").select("kind", inside.alias("features")).collect()
-    n, toxic = labels.agg(F.count(label), F.sum(F.col(label).cast("long"))).first()
-    prior = min(max((toxic or 0) / max(1, n), 1e-4), 0.9)
     w = fit([[place[f] for f in r["features"]] for r in rows], np.array([r["kind"] for r in rows]), len(names), prior)
     return {**dict(zip(names, w.tolist())), "": float(w[-1])}
 

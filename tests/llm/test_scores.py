@@ -70,6 +70,17 @@ def test_toxicity_with_hardly_any_labels(spark, labels):
     assert toxicity.score(odd(spark).limit(0), model).collect() == []
 
 
+@pytest.mark.parametrize("share", [0.4, 0.6])
+def test_toxicity_where_many_texts_are_toxic(spark, share):
+    draw = random.Random(2)
+    toxic = [k < 300 * share for k in range(300)]
+    rows = [(k, " ".join([*draw.choices(["river", "stone", "light", "paper"], k=6), *["venom"] * t])) for k, t in enumerate(toxic)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.learn(docs, spark.createDataFrame(list(enumerate(map(int, toxic))), "doc_id long, toxic int"))
+    assert "venom" in model and "river" not in model
+    assert all((r.score >= 0.3) == toxic[r.doc_id] for r in toxicity.score(docs, model).collect())
+
+
 def test_non_negative_risk_separates_positives_among_unlabelled():
     draw = np.random.default_rng(0)
     toxic = draw.random(1500) < 0.2
