@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saldoflow.llm import bpe, covertree, language, mixing, oracles, pii, preference, rules, sharding, simhash, toxicity
+from saldoflow.llm import (bpe, covertree, language, mixing, negatives, oracles, pii, preference, rules, sharding,
+                           simhash, toxicity)
 from saldoflow.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,5 +89,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(table(spark, folder, "embeddings"), anchor_every=50, positives=5, negatives=3, low=50, high=95)
+
+
 ORACLES["op1_cover_tree"] = oracles.COVER_TREE
 ORACLES["op9_mixing"] = oracles.MIXING
