@@ -81,3 +81,30 @@ SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = r.vec_id)::BIGINT AS n_
        min(other) AS component_id, min(other) = vec_id AS kept
 FROM reach r GROUP BY vec_id
 """
+
+#: Turns digested straight from the table; formatted length from the default template's
+#: markers (system 29 characters, assistant 6, user 18 or 8 after a system turn) plus the
+#: escaped text: one more character per backslash and per control string.
+CHAT = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), keyed AS (
+  SELECT *, CASE WHEN conv_id IS NULL THEN 'row-' || CAST(row_number() OVER () AS VARCHAR)
+                 ELSE CAST(conv_id AS VARCHAR) END AS k FROM given
+), t AS (
+  SELECT *, lag(role) OVER (PARTITION BY k ORDER BY turn NULLS LAST, role, text) AS before,
+         length(text) + (length(text) - length(replace(text, '\', '')))
+           + len(regexp_extract_all(text, '<<SYS>>|<</SYS>>|\[/INST\]|\[INST\]|</s>|<s>')) AS escaped
+  FROM keyed
+)
+SELECT any_value(conv_id) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(escaped + CASE WHEN role = 'system' THEN 29 WHEN role = 'assistant' THEN 6
+                          WHEN before = 'system' THEN 8 ELSE 18 END) AS formatted_chars,
+       false AS rewrites_history
+FROM t GROUP BY k
+"""
