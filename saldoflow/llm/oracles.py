@@ -101,10 +101,10 @@ WITH given AS (
 )
 SELECT any_value(conv_id) AS conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
-       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS loss_chars,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       sum(escaped + CASE WHEN role = 'system' THEN 29 WHEN role = 'assistant' THEN 6
-                          WHEN before = 'system' THEN 8 ELSE 18 END) AS formatted_chars,
+       CAST(sum(escaped + CASE WHEN role = 'system' THEN 29 WHEN role = 'assistant' THEN 6
+                               WHEN before = 'system' THEN 8 ELSE 18 END) AS BIGINT) AS formatted_chars,
        false AS rewrites_history
 FROM t GROUP BY k
 """
