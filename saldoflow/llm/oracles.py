@@ -108,3 +108,48 @@ SELECT any_value(conv_id) AS conv_id, count(*) AS n_turns,
        false AS rewrites_history
 FROM t GROUP BY k
 """
+
+#: Counts by phrase text: words hold no space or tab, so space-joined phrases are keys.
+COLLOCATIONS = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), p AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM d)
+), occ AS (
+  SELECT lang, ws, len(ws) AS m, unnest(range(1, len(ws) + 1)) AS i FROM p
+), grams AS (
+  SELECT lang, 1 AS o, ws[i] AS ph FROM occ
+  UNION ALL SELECT lang, 2, ws[i] || ' ' || ws[i + 1] FROM occ WHERE i + 1 <= m
+  UNION ALL SELECT lang, 3, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FROM occ WHERE i + 2 <= m
+), f AS (
+  SELECT lang, o, ph, count(*) AS c FROM grams GROUP BY lang, o, ph
+), tot AS (
+  SELECT lang, sum(c) AS n FROM f WHERE o = 1 GROUP BY lang
+), cand AS (
+  SELECT lang, o, ph, c AS a, string_split(ph, ' ') AS w FROM f WHERE o >= 2 AND c >= 10
+), cuts AS (
+  SELECT lang, o, ph, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM cand, range(1, 3) AS ks(k) WHERE k < o
+), scored AS (
+  SELECT cu.lang, cu.ph, cu.a, cu.k, fl.c AS l, fr.c AS r,
+         (1000000::HUGEINT * cu.a * cu.a) // (fl.c::HUGEINT * fr.c) AS score
+  FROM cuts cu JOIN f fl ON fl.lang = cu.lang AND fl.ph = cu.lp JOIN f fr ON fr.lang = cu.lang AND fr.ph = cu.rp
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, w[1] || ' ' || w[2] AS sub, a AS big FROM cand WHERE o = 3
+  UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM cand WHERE o = 3
+), kept AS (
+  SELECT b.* FROM best b
+  WHERE NOT EXISTS (SELECT 1 FROM longer g WHERE g.lang = b.lang AND g.sub = b.ph AND 100 * g.big >= 50 * b.a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT k.lang, CAST(row_number() OVER (PARTITION BY k.lang ORDER BY k.score DESC, k.a DESC, k.ph) AS BIGINT) AS rank,
+         k.ph AS phrase, CAST(k.a AS BIGINT) AS a, CAST(k.l AS BIGINT) AS l, CAST(k.r AS BIGINT) AS r,
+         CAST(t.n AS BIGINT) AS n, CAST(k.score AS BIGINT) AS score
+  FROM kept k JOIN tot t USING (lang)
+) WHERE rank <= 2000
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from saldoflow.llm import (bpe, chat, covertree, language, mixing, negatives, oracles, pii, preference, rules, sharding,
+from saldoflow.llm import (bpe, chat, covertree, language, mixing, negatives, oracles, phrases, pii, preference, rules, sharding,
                            simhash, toxicity)
 from saldoflow.llm.common import crc_mod, table
 
@@ -89,6 +89,11 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
                        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"), least=10, top=2000, share=50)
+
+
 @query
 def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -104,4 +109,5 @@ def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
 
 ORACLES["op1_cover_tree"] = oracles.COVER_TREE
 ORACLES["op9_mixing"] = oracles.MIXING
+ORACLES["op11_collocations"] = oracles.COLLOCATIONS
 ORACLES["op12_chat"] = oracles.CHAT
