@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from saldoflow import constants as K
 from saldoflow.catalog import inputs as I, query
@@ -239,12 +239,29 @@ x AS (SELECT * FROM journal WHERE CAST(substr(ref_no, 4) AS BIGINT) % 4 = 1 UNIO
   SELECT * FROM p WHERE ref_no LIKE 'X%' OR CAST(substr(ref_no, 4) AS BIGINT) % 4 <> 1)
 {_WITH_COA.format('x')}""")
 def sales_detail_autopost(spark, sf):
-    """Some invoices posted again on a ledger that carries the chart's codes."""
+    """Invoices whose stored lines changed, posted again on a ledger that carries the chart's codes.
+
+    Nothing names them: the earlier version of the lines differs from the current one in
+    every fourth invoice - a line's amount or text updated, a line inserted, a line
+    deleted - and the operator finds these by comparing the two versions.
+    """
     lines, chart = sales_detail(spark, sf), coa(spark, sf)
     ledger = L.gl_reporting_enrich(_posted(P.sales_invoice_journal(lines, resolver(spark, sf))), chart)
-    changed = I.table(spark, sf, "orders").filter("o_orderkey % 4 = 1").selectExpr(
-        "concat('INV', o_orderkey) AS ref_no")
-    return P.sales_detail_autopost(ledger, lines, changed, chart).select(*_KEEP)
+    return P.sales_detail_autopost_versions(ledger, earlier_lines(lines), lines, chart).select(*_KEEP)
+
+
+def earlier_lines(lines):
+    """An earlier version of the stored lines: invoices k % 4 = 1 differ from ``lines``."""
+    lines = lines.withColumn("_first", F.col("n") == F.min("n").over(Window.partitionBy("k")))
+    first, group = F.col("_first"), F.col("k") % 16
+    updated = (lines.filter(~((group == 5) & first))
+               .withColumn("subtotal", F.when((group == 1) & first, F.col("subtotal") + 1)
+                           .otherwise(F.col("subtotal")).cast("decimal(18,2)"))
+               .withColumn("description", F.when((group == 13) & first, F.lit("Line 1 (draft)"))
+                           .otherwise(F.col("description"))))
+    extra = lines.filter((group == 9) & first).withColumn("n", F.lit(99).cast(lines.schema["n"].dataType)).withColumn(
+        "service_code", F.lit("S99"))
+    return updated.unionByName(extra).drop("_first")
 
 
 # --- daily VAT --------------------------------------------------------------

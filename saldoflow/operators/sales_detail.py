@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from saldoflow import constants as K
 from saldoflow.functions import scalars as S
-from saldoflow.operators import ledger as L
+from saldoflow.operators import changes as CH, ledger as L
 from saldoflow.session import settle
 
 REQUIRED_ACCOUNTS = [K.RECEIVABLE_DOMESTIC, K.RECEIVABLE_FOREIGN, K.SALES_VAT]
@@ -266,3 +266,15 @@ def sales_detail_autopost(ledger: DataFrame, lines: DataFrame, changed: DataFram
     if "coa_code" in ledger.columns:
         journal = L.gl_reporting_enrich(journal, coa)
     return replace_posted(ledger, journal, changed)
+
+
+def sales_detail_autopost_versions(ledger: DataFrame, before: DataFrame, after: DataFrame,
+                                   coa: DataFrame) -> DataFrame:
+    """Ledger after re-posting every invoice whose stored lines changed from ``before`` to ``after``.
+
+    What changed is found by comparing the two versions (inserted, updated and deleted
+    lines all count), not named by the caller; an invoice whose lines are all deleted
+    loses its entry. Otherwise as :func:`sales_detail_autopost`.
+    """
+    changed = settle(CH.changed_keys(before, after, "ref_no").select("ref_no"), "changed-invoices")
+    return sales_detail_autopost(ledger, after, changed, coa)
