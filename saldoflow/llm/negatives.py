@@ -77,7 +77,11 @@ class _Lists:
         self.desc = np.argsort(-self.m, axis=0, kind="stable")  # column d: rows by component d, largest first
 
     def walk(self, a: np.ndarray):
-        """Yield (new row indexes, threshold) round by round; the threshold bounds all unseen rows."""
+        """Yield (new row indexes, threshold) round by round; the threshold bounds all unseen rows.
+
+        Each round reads twice as deep as the one before, so an anchor takes few rounds;
+        testing the threshold less often never stops too early.
+        """
         n = len(self.ids)
         dims = np.flatnonzero(a)
         if n == 0:
@@ -85,24 +89,22 @@ class _Lists:
         if dims.size == 0:  # every score is 0: all rows at once, nothing unseen
             yield np.arange(n), -math.inf
             return
-        order = np.where(a[dims] > 0, 0, 1)
+        up = a[dims] > 0
+        # Column j: rows in the order dimension dims[j] is read, best for this anchor first.
+        lists = np.where(up, self.desc[:, dims], self.desc[::-1, dims])
         seen = np.zeros(n, dtype=bool)
-        for start in range(0, n, STEP):
-            end = min(start + STEP, n)
-            fresh = []
-            for d, back in zip(dims, order):
-                col = self.desc[:, d]
-                part = col[start:end] if not back else col[n - end:n - start][::-1]
-                fresh.append(part)
-            got = np.unique(np.concatenate(fresh))
+        start, step = 0, STEP
+        while start < n:
+            end = min(start + step, n)
+            got = np.unique(lists[start:end].ravel())
             got = got[~seen[got]]
             seen[got] = True
             if end == n:
                 yield got, -math.inf
                 return
-            last = np.array([self.m[self.desc[end - 1, d], d] if not back else self.m[self.desc[n - end, d], d]
-                             for d, back in zip(dims, order)])
+            last = self.m[lists[end - 1], dims]
             yield got, int(np.dot(a[dims], last))
+            start, step = end, step * 2
 
 
 def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -182,6 +184,26 @@ def _fresh(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(n).alias(n) for n in names])
 
 
+def _paired_by_label(anchors: DataFrame, rows: DataFrame):
+    """Positives share the anchor's label: anchor blocks meet only row blocks of their label.
+
+    Blocks are counted per label, so a label with a third of all rows has as many blocks as
+    its size asks for, and no label gathers in one task.
+    """
+    counts = (rows.groupBy("label").agg(F.count("*").alias("_nr"))
+              .join(anchors.groupBy("label").agg(F.count("*").alias("_na")), "label")
+              .select("label", F.ceil(F.col("_nr") / ROWS_PER_BLOCK).cast("long").alias("_rb_n"),
+                      F.ceil(F.col("_na") / ANCHORS_PER_BLOCK).cast("long").alias("_ab_n")))
+    pair = lambda ab, rb: F.concat_ws(":", F.col("label").cast("string"), ab.cast("string"), rb.cast("string"))
+    a = (anchors.join(counts, "label")
+         .withColumn("_rb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rb_n") - 1)))
+         .withColumn("_pair", pair(F.col("_row") % F.col("_ab_n"), F.col("_rb"))))
+    r = (rows.join(counts, "label")
+         .withColumn("_ab", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_ab_n") - 1)))
+         .withColumn("_pair", pair(F.col("_ab"), F.col("_row") % F.col("_rb_n"))))
+    return a, r
+
+
 def _first(df: DataFrame, keys: list[str], score: str, tie: str, k: int, rank: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(F.col(score).desc(), F.col(tie).asc())
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
@@ -204,7 +226,7 @@ def mine(embeddings: DataFrame, anchor_every: int = 50, positives: int = 5, nega
     if n_rows == 0 or n_anchors == 0:
         return rows.sparkSession.createDataFrame([], "anchor_id long, positive_id long, rank int, negative_id long, "
                                                      "positive_score long, negative_score long")
-    a, r = _paired(anchors, rows, n_anchors, n_rows)
+    a, r = _paired_by_label(anchors, rows)
     side = ["vec_id", "label", "vec"]
     found = (_fresh(a, "_pair", *side).groupBy("_pair")
              .cogroup(_fresh(r, "_pair", *side).groupBy("_pair"))
