@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import re
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from saldoflow.operators.ordering import exact_quantiles
 from saldoflow.sources import callbacks as C
@@ -14,20 +16,59 @@ _PREVIEW_SCHEMA = (
     "department: STRUCT<name: STRING>, project: STRUCT<name: STRING>>")
 
 
+#: Columns every flattened feed has, null where no body has the field: the preview fields
+#: and the payment status the timeline reads.
+BASE_COLUMNS = ("id", "end_point", "method", "number", "date", "description", "status", "payment_status",
+                "supplier.name", "subtotal", "total_amount", "total_tax", "currency.code", "department.name",
+                "project.name")
+
+
+def _struct_type(variant_schema: str) -> T.DataType:
+    """A merged variant schema as a Spark type: OBJECT is STRUCT outside quoted names."""
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: m[0] if m[0].startswith("`") else "STRUCT<", variant_schema)
+    return T.DataType.fromDDL(ddl)
+
+
+def _leaves(kind: T.DataType, path: tuple[str, ...] = ()):
+    if isinstance(kind, T.StructType):
+        for field in kind.fields:
+            yield from _leaves(field.dataType, path + (field.name,))
+    elif path:
+        yield path, kind
+
+
 def callback_flatten(callbacks: DataFrame) -> DataFrame:
-    """Bodies as dotted columns."""
-    p = C.parse_bodies(callbacks, _PREVIEW_SCHEMA)
-    d = F.col("payload.data")
-    return p.select("callback_id", "created_at", F.col("payload.end_point").alias("end_point"),
-                    F.col("payload.method").alias("method"), d.id.alias("id"),
-                    d.number.alias("number"), d.date.alias("date"),
-                    d.description.alias("description"), d.status.alias("status"),
-                    d.payment_status.alias("payment_status"),
-                    d.supplier["name"].alias("supplier.name"), d.subtotal.alias("subtotal"),
-                    d.total_amount.alias("total_amount"), d.total_tax.alias("total_tax"),
-                    d.currency.code.alias("currency.code"),
-                    d.department["name"].alias("department.name"),
-                    d.project["name"].alias("project.name"))
+    """Bodies as dotted columns found in the bodies themselves.
+
+    A body (decoded twice if it was encoded as a string) gives ``end_point`` and
+    ``method`` and every field of its ``data`` object; nested objects become dotted
+    names (``supplier.name``), arrays stay arrays. The columns are the union over all
+    bodies: their variant schemas are merged by one aggregate, so a field that only
+    one body has is a column, null elsewhere. A field whose type differs between bodies
+    is kept as JSON text. A data field named end_point or method wins over the
+    top-level one when not null. Bodies that are no object give nulls. Field names
+    holding a single quote are not reached by the path and stay null.
+    """
+    rows = C.object_texts(callbacks).select("callback_id", "created_at",
+                                           F.try_parse_json("object_text").alias("_v"))
+    data = F.try_variant_get("_v", "$.data", "variant")
+    merged = rows.agg(F.schema_of_variant_agg(data).alias("s")).first()
+    kind = _struct_type(merged.s) if merged and merged.s else T.StructType([])
+    columns, found = {}, {}
+    for path, leaf in _leaves(kind):
+        at = "$.data" + "".join(f"['{k}']" for k in path)
+        if isinstance(leaf, T.VariantType):
+            value = F.to_json(F.try_variant_get("_v", at, "variant"))
+        else:
+            value = F.try_variant_get("_v", at, leaf.simpleString())
+        found[".".join(path)] = value
+    for name in ("end_point", "method"):
+        top = F.try_variant_get("_v", f"$.{name}", "string")
+        columns[name] = F.coalesce(found.pop(name).cast("string"), top) if name in found else top
+    columns.update(found)
+    for name in BASE_COLUMNS:
+        columns.setdefault(name, F.lit(None).cast("string"))
+    return rows.select("callback_id", "created_at", *[v.alias(k) for k, v in columns.items()])
 
 
 def callback_value_counts(flat: DataFrame) -> DataFrame:

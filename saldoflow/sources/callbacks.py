@@ -82,6 +82,11 @@ def _decode_rounds(df: DataFrame, source: str, target: str, rounds: int) -> Data
     return S.once(df, **{target: _object_text(step)}).drop(*helpers)
 
 
+def object_texts(callbacks: DataFrame, rounds: int = 2) -> DataFrame:
+    """Add ``object_text``: the body decoded up to ``rounds`` times, if it is an object; else null."""
+    return _decode_rounds(callbacks, "body", "object_text", rounds)
+
+
 def parse_bodies(callbacks: DataFrame, schema: str = FULL_SCHEMA, rounds: int = 2) -> DataFrame:
     """Add ``payload``, the typed body; its fields are null for other texts.
 
