@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from saldoflow.catalog import inputs as I, query
 from saldoflow.operators import activity as A, profiling as P
 from saldoflow.functions import scalars as S
+from saldoflow.session import settle
 from saldoflow.sources import callbacks as C
 
 # A feed of small documents: every order is created once, every third changed a
@@ -99,8 +100,11 @@ def callback_window_extract(spark, sf):
 
 @query("extract_frontier", f"WITH {FEED_SQL} SELECT MAX(created_at) AS frontier FROM feed WHERE {_SEEN} AND {_IN}")
 def extract_frontier(spark, sf):
+    """The frontier as a run gets it: observed on the one scan that extracts and writes the rows."""
     since, until, _ = C.resolve_window(SINCE, UNTIL)
-    return C.extract_frontier(feed(spark, sf), since, until)
+    rows, seen = C.observed_extract(feed(spark, sf), since, until, schema=C.HEAD_SCHEMA)
+    settle(rows, "extract")
+    return C.observed_frontier(spark, seen)
 
 
 @query("watermark_update", f"""WITH {FEED_SQL}

@@ -98,8 +98,13 @@ def run(callbacks: DataFrame, ledger: DataFrame, log: DataFrame, state: DataFram
     """
     row = state.filter(F.col("state_key") == K.WATERMARK_KEY).select("watermark").head()
     since, until, ad_hoc = C.resolve_window(since, until, row and row.watermark, now=now)
-    load = module_process(C.callback_window_extract(callbacks, since, until, modules), modules, keep)
+    rows, seen = C.observed_extract(callbacks, since, until, modules)
+    load = module_process(rows, modules, keep)
     stored, spark = subledgers or {}, ledger.sparkSession
+    # With ``keep`` the rows were written just now and the scan observed its frontier;
+    # else the rows are not computed yet and the frontier takes a scan of its own.
+    frontier = (C.observed_frontier(spark, seen) if keep
+                else C.extract_frontier(callbacks, since, until))
     wanted = K.MODULES if modules is None else C.known_modules(modules)
     return {
         "load": load,
@@ -107,8 +112,7 @@ def run(callbacks: DataFrame, ledger: DataFrame, log: DataFrame, state: DataFram
                        for m in wanted},
         "gl": load_ledger(ledger, load, coa),
         "activity_log": A.activity_upsert(log, load.activity, ["callback_at"]),
-        "state": C.watermark_update(state, C.extract_frontier(callbacks, since, until), ad_hoc=ad_hoc,
-                                    force=force_watermark),
+        "state": C.watermark_update(state, frontier, ad_hoc=ad_hoc, force=force_watermark),
         "summary": load.summary,
     }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from saldoflow import constants as K
 from saldoflow.functions import scalars as S
@@ -173,10 +173,34 @@ def callback_window_extract(callbacks: DataFrame, since=None, until=None, module
 
 
 def extract_frontier(callbacks: DataFrame, since=None, until=None) -> DataFrame:
-    """Newest ``created_at`` over all scanned rows, parseable or not."""
+    """Newest ``created_at`` over all scanned rows, parseable or not, by a scan of its own.
+
+    Where the rows are extracted anyway, :func:`observed_extract` gives the same value
+    from that scan.
+    """
     return scan_window(callbacks, since, until).agg(F.max("created_at").alias("frontier"))
 
 
+def observed_extract(callbacks: DataFrame, since=None, until=None, modules=None,
+                     schema: str = FULL_SCHEMA) -> tuple[DataFrame, Observation]:
+    """:func:`callback_window_extract` and an observation of its scan.
+
+    The observation holds ``frontier``, the newest ``created_at`` of all scanned rows
+    (parseable or not, of any module), once the first action over the rows has ended;
+    read it with :func:`observed_frontier`. A maximum is the same however often a task
+    is run again, so lost executors do not change it.
+    """
+    seen = Observation("extract")
+    scanned = scan_window(callbacks, since, until).observe(seen, F.max("created_at").alias("frontier"))
+    return route(scanned, modules, schema), seen
+
+
+def observed_frontier(spark, seen: Observation) -> DataFrame:
+    """One row, ``frontier``, from an observation of :func:`observed_extract` whose rows
+    have been computed (else this waits for them); null when the window was empty."""
+    return spark.createDataFrame([(seen.get["frontier"],)], "frontier timestamp_ntz")
+
+
 def watermark_update(state: DataFrame, frontier: DataFrame, key: str = K.WATERMARK_KEY,
                      ad_hoc: bool = False, force: bool = False) -> DataFrame:
     """State after a successful run; hand-bounded runs leave it unless forced."""

@@ -30,3 +30,17 @@ def test_a_field_only_one_body_has_is_a_column(spark):
 def test_empty_feed_has_the_base_columns(spark):
     flat = P.callback_flatten(feed(spark))
     assert flat.count() == 0 and set(P.BASE_COLUMNS) <= set(flat.columns)
+
+
+def test_frontier_is_observed_on_the_extracting_scan(spark):
+    from datetime import datetime
+
+    from saldoflow.sources import callbacks as C
+    body = {"end_point": "sales_invoices", "method": "POST", "data": {"id": "A", "status": "approved"}}
+    times = {0: datetime(2026, 1, 1), 1: datetime(2026, 1, 3), 2: datetime(2026, 1, 2)}
+    rows, seen = C.observed_extract(feed(spark, body, "garbage", body, times=times))
+    assert rows.count() == 2
+    # The newest row is not parseable and still moves the frontier.
+    assert C.observed_frontier(spark, seen).head().frontier == datetime(2026, 1, 3)
+    none, seen = C.observed_extract(feed(spark, body), since=datetime(2027, 1, 1))
+    assert none.count() == 0 and C.observed_frontier(spark, seen).head().frontier is None
