@@ -26,10 +26,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from saldoflow.llm.common import worker_cache
 
-#: Pieces of text whose ids a worker remembers; it starts anew when it has that many.
-CACHE_PIECES = 700_000
+#: Bytes that a worker's remembered pieces may take (keys, ids and about 200 bytes of
+#: bookkeeping each); it starts anew beyond that.
+CACHE_BYTES = 96 << 20
 #: Longer pieces are not remembered.
 CACHE_CHARS = 100
+#: Rows of an output batch stop once their texts and ids hold this many bytes (one row
+#: longer than that is a batch of its own).
+BATCH_BYTES = 32 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -110,21 +114,31 @@ def encoder(ranks: dict[bytes, int], pattern: str, key: str) -> Callable[[str],
     this does not hold; a text that has any is cut only where it does.
     """
     find = regex.compile(pattern).findall
-    known, matches = worker_cache(f"bpe {key}"), worker_cache(f"bpe match {key}")
+    # Two dictionaries (whole space-separated pieces, single matches) under one budget.
+    cache = worker_cache(f"bpe {key}")
+    known, matches = cache.setdefault("pieces", {}), cache.setdefault("matches", {})
+    used = cache.setdefault("bytes", [0])
+
+    def remember(table: dict, piece: str, ids: bytes) -> None:
+        if len(piece) > CACHE_CHARS:
+            return
+        used[0] += 2 * len(piece) + len(ids) + 200
+        if used[0] > CACHE_BYTES:
+            known.clear()
+            matches.clear()
+            used[0] = 2 * len(piece) + len(ids) + 200
+        table[piece] = ids
 
     def ids_of(piece: str) -> bytes:
         out = []
         for match in find(piece):
             ids = matches.get(match)
             if ids is None:
-                if len(matches) >= CACHE_PIECES:
-                    matches.clear()
                 ids = array("I", merge(match.encode("utf-8"), ranks))
                 if sys.byteorder != "little":
                     ids.byteswap()
                 ids = ids.tobytes()
-                if len(match) <= CACHE_CHARS:
-                    matches[match] = ids
+                remember(matches, match, ids)
             out.append(ids)
         return b"".join(out)
 
@@ -143,10 +157,7 @@ def encoder(ranks: dict[bytes, int], pattern: str, key: str) -> Callable[[str],
                             first, *others = _CUT.split(text)
                             return ids_of(first) + b"".join([ids_of(" " + x) for x in others])
                         ids = ids_of(" " + piece)
-                        if len(piece) <= CACHE_CHARS:
-                            if len(known) >= CACHE_PIECES:
-                                known.clear()
-                            known[piece] = ids
+                        remember(known, piece, ids)
                     out[i] = ids
         if others and (not first or first[-1].isspace()):
             first, *others = _CUT.split(text)
@@ -168,32 +179,66 @@ def _vocabulary(path: str):
 
 
 def encode_column(docs: DataFrame, path: str, pattern: str, text: str = "text",
-                  ids: str = "token_ids", count: str = "n_tokens") -> DataFrame:
-    """``docs`` with the ids of each whole text and their number.
-
-    A null text has no ids, an empty one neither. Other columns are passed through;
-    columns with the names of the new ones are replaced. Rows are independent, so
-    repeated rows, ties and empty tables need nothing special.
+                  ids: str = "token_ids", count: str = "n_tokens",
+                  checked: str | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """``docs`` with the ids of each whole text (32-bit integers) and their number.
+
+    A null text has no ids, an empty one neither. With ``checked``, the ids are decoded
+    in the same pass and that column says whether they give the text's UTF-8 bytes
+    again (true for null and empty texts). Other columns are passed through; columns
+    with the names of the new ones are replaced. Rows are independent, so repeated
+    rows, ties and empty tables need nothing special. Output batches are cut by bytes
+    (``batch_bytes``), so a batch of very long texts is several batches; the input
+    batches are Spark's (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows, or
+    ``maxBytesPerBatch``).
     """
     ranks, key = _vocabulary(path)
-    kept = [f for f in docs.schema.fields if f.name not in (ids, count)]
-    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.LongType(), False)),
-                           T.StructField(count, T.LongType())])
+    new = (ids, count) + ((checked,) if checked else ())
+    kept = [f for f in docs.schema.fields if f.name not in new]
+    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType(), False)),
+                           T.StructField(count, T.LongType()),
+                           *([T.StructField(checked, T.BooleanType(), False)] if checked else [])])
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(shared.value, pattern, key)
-        for batch in batches:
-            coded = [np.frombuffer(encode(t), "<u4") for t in batch.column(text).to_pylist()]
-            offsets = np.concatenate([[0], np.cumsum([len(c) for c in coded], dtype=np.int64)])
+        ranks = shared.value
+        encode = encoder(ranks, pattern, key)
+        tokens = None
+        if checked:
+            tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+            for token, rank in ranks.items():
+                tokens[rank] = token
+
+        def emit(batch, start, coded, same):
+            offsets = np.zeros(len(coded) + 1, np.int64)
+            np.cumsum([len(c) for c in coded], out=offsets[1:])
             if offsets[-1] >= 2 ** 31:
-                raise ValueError("a batch has over 2^31 ids; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-            flat = np.concatenate(coded).astype(np.int64) if coded else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], lists,
-                 pa.array(np.diff(offsets), pa.int64())], names=[*names, ids, count])
+                raise ValueError("one text has over 2^31 ids")
+            flat = np.concatenate(coded) if coded else np.zeros(0, "<u4")
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                             pa.array(flat.view(np.int32), pa.int32()))
+            part = batch.slice(start, len(coded))
+            extra = [pa.array(same, pa.bool_())] if checked else []
+            return pa.RecordBatch.from_arrays(
+                [*[part.column(n) for n in names], lists, pa.array(np.diff(offsets), pa.int64()), *extra],
+                names=schema.names)
+
+        for batch in batches:
+            texts = batch.column(text)
+            start, held, coded, same = 0, 0, [], []
+            for i in range(batch.num_rows):
+                t = texts[i].as_py()
+                raw = encode(t)
+                coded.append(np.frombuffer(raw, "<u4"))
+                if checked:
+                    same.append(decode(coded[-1], tokens) == (t or "").encode("utf-8"))
+                held += len(raw) + (len(t) if t else 0)
+                if held >= batch_bytes:
+                    yield emit(batch, start, coded, same)
+                    start, held, coded, same = i + 1, 0, [], []
+            if coded or batch.num_rows == 0:
+                yield emit(batch, start, coded, same)
 
     return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, schema)
 

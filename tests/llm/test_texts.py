@@ -62,6 +62,18 @@ def test_bpe_columns_round_trip(spark, reference):
     assert bpe.encode_column(frame.limit(0), PATH, public_tokenizers.PATTERN).collect() == []
 
 
+def test_one_pass_checks_the_round_trip_in_small_batches(spark, reference):
+    texts = ["Hello  world", None, "", "x" * 60_000, "a\nb " * 20_000, "Hello  world", " é \t\n"]
+    frame = (spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+             .withColumn("round_trip", F.lit("clash")).withColumn("_decoded", F.lit(7)))
+    out = bpe.encode_column(frame, PATH, public_tokenizers.PATTERN, checked="round_trip", batch_bytes=64)
+    assert dict(out.dtypes)["token_ids"] == "array<int>" and dict(out.dtypes)["round_trip"] == "boolean"
+    rows = sorted(out.collect())
+    assert [r.doc_id for r in rows] == list(range(len(texts)))
+    for r in rows:
+        assert r.token_ids == reference.encode_ordinary(r.text or "") and r.round_trip and r._decoded == 7
+
+
 # --- private data: the network in plain Python --------------------------------------------
 
 def feistel(values, radices, tweak, key):
