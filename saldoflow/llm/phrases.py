@@ -81,31 +81,34 @@ def vocabulary(parts: DataFrame) -> DataFrame:
     return placed.select("word", (F.col("_pos") + 1).alias("id"))
 
 
-def id_sequences(parts: DataFrame, vocab: DataFrame, n_words: int) -> DataFrame:
-    """(lang, ids, mult): the pieces with word ids in word order."""
+def id_grams(parts: DataFrame, vocab: DataFrame, n_words: int) -> DataFrame:
+    """(lang, mult, o, a, b, c): every 1- to 3-gram of word ids of the pieces; 0 is no word.
+
+    ``parts`` carry a stable ``_piece`` key. Words get their ids by a join and keep their
+    position; the next two ids of the same piece come from ``lead`` over the piece's
+    words, so a piece is sorted once and never gathered into one row again.
+    """
     if n_words >= _LOW32:
         raise ValueError("more distinct words than 32-bit ids hold")
-    keyed = parts.withColumn("_piece", F.monotonically_increasing_id())
-    keyed = settle(keyed, "phrase-pieces")
-    tokens = keyed.select("_piece", F.posexplode("words").alias("pos", "word"))
+    tokens = parts.select("_piece", "lang", "mult", F.posexplode("words").alias("pos", "word"))
     table = F.broadcast(vocab) if n_words <= BROADCAST_WORDS else vocab
-    ids = (tokens.join(table, "word").groupBy("_piece")
-           .agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_ids")))
-    return keyed.join(ids, "_piece").select("lang", F.transform("_ids", lambda s: s["id"]).alias("ids"), "mult")
-
-
-def ngram_filter(seqs: DataFrame) -> DataFrame:
+    ids = tokens.join(table, "word")
+    along = Window.partitionBy("_piece").orderBy("pos")
+    ahead = ids.select("lang", "mult", "id", F.lead("id", 1).over(along).alias("id2"),
+                       F.lead("id", 2).over(along).alias("id3"))
+    zero = F.lit(0).cast("long")
+    gram = lambda o, b, c: F.struct(F.lit(o).alias("o"), F.col("id").alias("a"), b.alias("b"), c.alias("c"))
+    grams = F.array(gram(1, zero, zero),
+                    F.when(F.col("id2").isNotNull(), gram(2, F.col("id2"), zero)),
+                    F.when(F.col("id3").isNotNull(), gram(3, F.col("id2"), F.col("id3"))))
+    return (ahead.select("lang", "mult", F.explode(grams).alias("g")).filter(F.col("g").isNotNull())
+            .select("lang", "mult", "g.*"))
+
+
+def ngram_filter(grams: DataFrame) -> DataFrame:
     """(lang, quotient, rem_hi, rem_lo, f): counts of all 1- to 3-grams as merged quotient filters."""
-    ids = F.col("ids")
-    at = lambda i: F.coalesce(F.element_at(ids, i), F.lit(0))  # noqa: E731  (1-based; past the end: no word)
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.size(ids)), lambda i: F.array(
-        *[F.when(i + o - 1 <= F.size(ids), F.struct(F.lit(o).alias("o"), at(i).alias("a"),
-                                                     (at(i + 1) if o > 1 else F.lit(0)).alias("b"),
-                                                     (at(i + 2) if o > 2 else F.lit(0)).alias("c")))
-          for o in (1, 2, 3)])))
-    g = seqs.select("lang", "mult", F.explode(grams).alias("g")).filter(F.col("g").isNotNull())
-    hi, lo = pack(F.col("g.o"), F.col("g.a"), F.col("g.b"), F.col("g.c"))
-    keyed = permute(g.select("lang", "mult", hi.alias("hi"), lo.alias("lo")))
+    hi, lo = pack(F.col("o"), F.col("a"), F.col("b"), F.col("c"))
+    keyed = permute(grams.select("lang", "mult", hi.alias("hi"), lo.alias("lo")))
     slots = keyed.select("lang", "mult", F.shiftrightunsigned("hi", 64 - QUOTIENT_BITS).cast("int").alias("quotient"),
                          F.col("hi").bitwiseAND(F.lit(_REM)).alias("rem_hi"), F.col("lo").alias("rem_lo"))
     return slots.groupBy("lang", "quotient", "rem_hi", "rem_lo").agg(F.sum("mult").alias("f"))
@@ -127,12 +130,13 @@ def _score(a: str, left: str, right: str) -> Column:
 
 def collocations(documents: DataFrame, least: int = 10, top: int = 2000, share: int = 50) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's best 2- and 3-word phrases."""
-    parts = settle(pieces(documents.select("lang", "text")), "phrase-parts")
+    parts = settle(pieces(documents.select("lang", "text")).withColumn("_piece", F.monotonically_increasing_id()),
+                   "phrase-parts")
     vocab = settle(vocabulary(parts), "phrase-vocab")
-    seqs = id_sequences(parts, vocab, vocab.count())
-    grams = settle(decoded(ngram_filter(seqs)), "phrase-grams")
-    n = grams.filter(F.col("o") == 1).groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = grams.filter(F.col("f") >= least)  # every part of a candidate occurs as often as it
+    seqs = id_grams(parts, vocab, vocab.count())
+    # Only n-grams that occur ``least`` times are kept: every part of a candidate occurs as often as it.
+    frequent = settle(decoded(ngram_filter(seqs).filter(F.col("f") >= least)), "phrase-grams")
+    n = parts.groupBy("lang").agg(F.sum(F.size("words") * F.col("mult")).cast("long").alias("n"))
     cand = frequent.filter(F.col("o") >= 2).select("lang", "hi", "lo", "o", "a", "b", "c", F.col("f").alias("cnt"))
     one = lambda x: pack(F.lit(1), x, F.lit(0), F.lit(0))
     two = lambda x, y: pack(F.lit(2), x, y, F.lit(0))
