@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from saldoflow.operators.ordering import exact_quantiles
+from saldoflow.operators.ordering import bracketed_quantiles
 from saldoflow.sources import callbacks as C
 
 _PREVIEW_SCHEMA = (
@@ -128,7 +128,7 @@ def table_describe(table: DataFrame, columns: list[str]) -> DataFrame:
     stats = values.groupBy("field").agg(
         F.count("value").alias("count"), F.mean("value").alias("mean"),
         F.stddev("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = (exact_quantiles(values).groupBy("field")
+    quartiles = (bracketed_quantiles(values).groupBy("field")
                  .agg(*[F.max(F.when(F.col("q") == q, F.col("quantile"))).alias(n)
                         for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]))
     return stats.join(quartiles, "field", "left").select(

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 
 from saldoflow.operators import daily_vat as V, distribution as D, ledger as L, sales_detail as P
-from saldoflow.operators.ordering import exact_quantiles
+from saldoflow.operators.ordering import bracketed_quantiles, exact_quantiles
 from saldoflow.plans import distribution_run as R, sales_posting as SP
 from saldoflow.sources import callbacks as C, sheets as SH, tables as TB
 
@@ -92,6 +92,21 @@ def test_quantiles_of_a_constant_and_of_many_values(spark):
                    ("two", 0.25): 0.25, ("two", 0.5): 0.5, ("two", 0.75): 0.75}
 
 
+def test_bracketed_quantiles_are_the_exact_ones(spark):
+    frame = spark.sql("SELECT 'c' AS field, 5.0D AS value FROM range(1000) UNION ALL SELECT 'n', NULL FROM range(3) "
+                      "UNION ALL SELECT 'big', CAST((id * 7919) % 100003 AS DOUBLE) / 7 FROM range(300000) "
+                      "UNION ALL SELECT 'ties', CAST(id % 3 AS DOUBLE) FROM range(200000) "
+                      "UNION ALL SELECT 'two', CAST(id AS DOUBLE) FROM range(2)")
+    want = {(r.field, r.q): r.quantile for r in exact_quantiles(frame).collect()}
+    # Small brackets and a coarse sketch force rounds of narrowing.
+    for rows in (1_000_000, 10):
+        got = bracketed_quantiles(frame, (0.0, 0.25, 0.5, 0.75, 1.0), accuracy=1000, grid=100, exact_rows=rows)
+        got = {(r.field, r.q): r.quantile for r in got.collect()}
+        assert {k: v for k, v in got.items() if k[1] in (0.25, 0.5, 0.75)} == want
+        assert got[("big", 0.0)] == 0.0 and got[("ties", 1.0)] == 2.0
+    assert bracketed_quantiles(frame.limit(0)).count() == 0
+
+
 def test_a_batch_leaves_other_buckets_alone(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "source_id string, n int"
     frame = lambda *rows: spark.createDataFrame(rows, schema)
