@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from saldoflow import constants as K
 from saldoflow.catalog import inputs as I, journal_queries as JQ, journal_sql as Q, query
@@ -10,7 +12,9 @@ from saldoflow.catalog.feed_queries import FEED_SQL, feed
 from saldoflow.operators import backfill as B, documents as D, ledger as L
 from saldoflow.operators.distribution import union_all
 from saldoflow.plans import callback_run as R
+from saldoflow.session import fresh_path
 from saldoflow.sources import callbacks as C
+from saldoflow.sources import tables as TB
 
 # --- gates of single documents ---------------------------------------------
 
@@ -363,6 +367,29 @@ def code_backfill_report(spark, sf):
     return B.backfill_report(filled, recheck=True)
 
 
+_TEN = ["gl", *K.MODULES]
+_TEN_ROWS = _ROWS.replace("CASE o_orderkey % 2 WHEN 0 THEN 'gl' ELSE 'cash_in' END",
+                          "CASE o_orderkey % 10 " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(_TEN)) + " END")
+_TEN_SCHEMA = "source_id string, source_line_id string, department string, dept_code string, id long"
+
+
+@query("code_backfill_run", f"""WITH {_LOOKUP}, {_TEN_ROWS}, {_RESOLVED},
+hit AS (SELECT table_name, bool_or(resolved_code IS NOT NULL) AS any_hit FROM f GROUP BY 1)
+SELECT table_name, id, CASE WHEN any_hit THEN resolved_code ELSE dept_code END AS dept_code FROM f JOIN hit USING (table_name)""")
+def code_backfill_run(spark, sf):
+    """Ten stored tables (the ledger and nine subledgers), rechecked in one run; all their rows after it.
+    The table of every tenth row has only documents the feed lacks, so its codes stay."""
+    folder = fresh_path(spark, "tables")
+    rows = _ledger_rows(spark, sf).withColumn("table_name", F.element_at(
+        F.array(*[F.lit(n) for n in _TEN]), (F.col("id") % 10 + 1).cast("int")))
+    for n in _TEN:
+        TB.replace_partitions(TB.bucketed(rows.filter(F.col("table_name") == n).select(
+            *[c.split()[0] for c in _TEN_SCHEMA.split(", ")]), B.BUCKETS), f"{folder}/{n}", [TB.BUCKET])
+    B.backfill_run(spark, folder, _TEN, {n: _TEN_SCHEMA for n in _TEN}, *_lookup(spark, sf), recheck=True)
+    return reduce(DataFrame.unionByName, [TB.read_buckets(spark, f"{folder}/{n}", _TEN_SCHEMA).select(
+        F.lit(n).alias("table_name"), "id", "dept_code") for n in _TEN])
+
+
 # --- a run over all nine kinds ------------------------------------------------
 
 def _all_kinds():

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saldoflow.functions import scalars as S
+from saldoflow.session import settle
+from saldoflow.sources import tables as TB
 
 
 def code_backfill_lookup(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -78,3 +82,51 @@ def backfill_report(filled: DataFrame, recheck: bool = False) -> DataFrame:
     cleared = F.count_if(~hit) if recheck else F.lit(0).cast("bigint")
     return looked.groupBy("table_name").agg(
         F.count("*").alias("missing"), F.count_if(hit).alias("matched"), cleared.alias("cleared"))
+
+
+#: Columns that resolution reads from every table.
+_READ = ("source_id", "source_line_id", "department", "dept_code")
+
+
+def backfill_changes(tables: dict[str, DataFrame], by_line: DataFrame, by_document: DataFrame,
+                     recheck: bool = False, key: str = "id") -> DataFrame:
+    """(table_name, key, bucket, old_code, new_code) of every row whose code a backfill changes.
+
+    All tables go through one pass: each gives only its row key and the columns resolution
+    reads, tagged with its name, so the lookups are joined once for all of them. The clear
+    rule of ``recheck`` stays per table. Tables without rows add nothing.
+    """
+    tagged = reduce(DataFrame.unionByName, [
+        t.select(F.lit(n).alias("table_name"), F.col(key).alias(key), *_READ) for n, t in tables.items()])
+    done = code_backfill(tagged, by_line, by_document, recheck)
+    return TB.bucketed(done.filter(~F.col("new_code").eqNullSafe(F.col("dept_code"))).select(
+        "table_name", key, "source_id", F.col("dept_code").alias("old_code"), "new_code"), BUCKETS).drop("source_id")
+
+
+#: Buckets of a stored table, by source_id.
+BUCKETS = 64
+
+
+def backfill_run(spark: SparkSession, folder: str, names: list[str], schemas: dict, by_line: DataFrame,
+                 by_document: DataFrame, recheck: bool = False, key: str = "id") -> DataFrame:
+    """Backfill stored tables ``folder/<name>``, each partitioned by source_id bucket.
+
+    The changes of all tables are found in one pass and written once to the shared folder;
+    then each table rewrites only the buckets where a code changed (dynamic partition
+    overwrite), reading only those. Returns the changes.
+    """
+    stored = {n: TB.read_buckets(spark, f"{folder}/{n}", schemas[n]) for n in names}
+    changes = settle(backfill_changes(stored, by_line, by_document, recheck, key), "backfill")
+    touched = {r.table_name: [] for r in changes.select("table_name").distinct().collect()}
+    # One row per table and touched bucket: at most tables x BUCKETS.
+    for r in changes.select("table_name", TB.BUCKET).distinct().collect():
+        touched[r.table_name].append(r[TB.BUCKET])
+    for n, buckets in touched.items():
+        typed = spark.createDataFrame([], schemas[n]).withColumn(TB.BUCKET, F.lit(0)).schema
+        rows = TB.touched(spark, f"{folder}/{n}", typed, buckets)
+        new = changes.filter(F.col("table_name") == n).select(key, F.col("new_code").alias("_new"), "old_code")
+        after = rows.join(new, key, "left").withColumn(
+            "dept_code", F.when(F.col("old_code").isNotNull() | F.col("_new").isNotNull(), F.col("_new"))
+            .otherwise(F.col("dept_code"))).drop("_new", "old_code")
+        TB.replace_partitions(settle(after, "backfilled"), f"{folder}/{n}", [TB.BUCKET])
+    return changes
