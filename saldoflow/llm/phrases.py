@@ -2,8 +2,9 @@
 
 Texts are cut into pieces at punctuation and line ends; equal pieces of a language
 are counted once with their multiplicity (shared lines and passages collapse there,
-combined before the shuffle). Words get global ids from the sorted vocabulary. Every
-n-gram of 1 to 3 word ids is packed into 128 bits (order, id, id, id), permuted by an
+combined before the shuffle). Words that occur ``least`` times get global ids from the
+sorted vocabulary; no phrase with a rarer word can occur as often, so the others leave
+gaps and are not counted further (the first step of Apriori). Every n-gram of 1 to 3 word ids is packed into 128 bits (order, id, id, id), permuted by an
 invertible keyed Feistel network, and split into a quotient (the high bits, the slot
 of a quotient filter) and the full remainder (all other bits), so nothing is lost.
 Each task's counters are a partial filter; Spark's aggregation merges the filters of
@@ -74,15 +75,18 @@ def pieces(documents: DataFrame) -> DataFrame:
     return counted.select("lang", words.alias("words"), "mult").filter(F.size("words") > 0)
 
 
-def vocabulary(parts: DataFrame) -> DataFrame:
-    """(word, id): ids 1, 2, ... over all languages in word order."""
-    distinct = parts.select(F.explode("words").alias("word")).distinct()
-    placed = global_position(distinct, ["word"], "_pos")
+def vocabulary(parts: DataFrame, least: int = 1) -> DataFrame:
+    """(word, id): ids 1, 2, ... in word order for the words that occur ``least`` times
+    over all languages. A rarer word can be in no n-gram that occurs as often (a phrase
+    occurs no more often than each of its words), so it gets no id."""
+    counted = parts.select(F.explode("words").alias("word"), "mult").groupBy("word").agg(F.sum("mult").alias("_n"))
+    placed = global_position(counted.filter(F.col("_n") >= least).select("word"), ["word"], "_pos")
     return placed.select("word", (F.col("_pos") + 1).alias("id"))
 
 
 def id_grams(parts: DataFrame, vocab: DataFrame, n_words: int) -> DataFrame:
-    """(lang, mult, o, a, b, c): every 1- to 3-gram of word ids of the pieces; 0 is no word.
+    """(lang, mult, o, a, b, c): every 1- to 3-gram of the pieces whose words all have ids;
+    0 is no word.
 
     ``parts`` carry a stable ``_piece`` key. Words get their ids by a join and keep their
     position; the next two ids of the same piece come from ``lead`` over the piece's
@@ -92,15 +96,17 @@ def id_grams(parts: DataFrame, vocab: DataFrame, n_words: int) -> DataFrame:
         raise ValueError("more distinct words than 32-bit ids hold")
     tokens = parts.select("_piece", "lang", "mult", F.posexplode("words").alias("pos", "word"))
     table = F.broadcast(vocab) if n_words <= BROADCAST_WORDS else vocab
+    # Words without an id (too rare) drop out before the shuffle; they leave a gap in the
+    # positions, and no n-gram spans a gap.
     ids = tokens.join(table, "word")
     along = Window.partitionBy("_piece").orderBy("pos")
-    ahead = ids.select("lang", "mult", "id", F.lead("id", 1).over(along).alias("id2"),
-                       F.lead("id", 2).over(along).alias("id3"))
+    nxt = lambda k: F.when(F.lead("pos", k).over(along) == F.col("pos") + k, F.lead("id", k).over(along))
+    ahead = ids.select("lang", "mult", "id", nxt(1).alias("id2"), nxt(2).alias("id3"))
     zero = F.lit(0).cast("long")
     gram = lambda o, b, c: F.struct(F.lit(o).alias("o"), F.col("id").alias("a"), b.alias("b"), c.alias("c"))
     grams = F.array(gram(1, zero, zero),
                     F.when(F.col("id2").isNotNull(), gram(2, F.col("id2"), zero)),
-                    F.when(F.col("id3").isNotNull(), gram(3, F.col("id2"), F.col("id3"))))
+                    F.when(F.col("id2").isNotNull() & F.col("id3").isNotNull(), gram(3, F.col("id2"), F.col("id3"))))
     return (ahead.select("lang", "mult", F.explode(grams).alias("g")).filter(F.col("g").isNotNull())
             .select("lang", "mult", "g.*"))
 
@@ -132,7 +138,7 @@ def collocations(documents: DataFrame, least: int = 10, top: int = 2000, share:
     """(lang, rank, phrase, a, l, r, n, score) of each language's best 2- and 3-word phrases."""
     parts = settle(pieces(documents.select("lang", "text")).withColumn("_piece", F.monotonically_increasing_id()),
                    "phrase-parts")
-    vocab = settle(vocabulary(parts), "phrase-vocab")
+    vocab = settle(vocabulary(parts, least), "phrase-vocab")
     seqs = id_grams(parts, vocab, vocab.count())
     # Only n-grams that occur ``least`` times are kept: every part of a candidate occurs as often as it.
     frequent = settle(decoded(ngram_filter(seqs).filter(F.col("f") >= least)), "phrase-grams")

@@ -39,3 +39,16 @@ def test_against_sql(spark, tmp_path, monkeypatch):
 
 def test_empty(spark):
     assert phrases.collocations(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_rare_words_leave_gaps_and_nothing_else(spark, tmp_path):
+    """Words below the count break n-grams at their place only; the same as counting all."""
+    rows = [(i, f"big red w{i} big red fox big red fox w{i} fox", "en", "s", 0) for i in range(30)]
+    rows += [(100 + i, "red fox big", "en", "s", 0) for i in range(12)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = sorted(tuple(r) for r in phrases.collocations(df).collect())
+    df.toPandas().to_parquet(tmp_path / "d.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path / 'd.parquet'}'")
+    want = sorted(tuple(r) for r in con.execute(oracles.COLLOCATIONS).fetchall())
+    assert got == want and any(r[2] == "big red fox" for r in got)
