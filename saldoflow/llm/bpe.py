@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from saldoflow.llm.common import worker_cache
+from saldoflow.llm.common import plain_names, worker_cache
 
 #: Bytes that a worker's remembered pieces may take (keys, ids and about 200 bytes of
 #: bookkeeping each); it starts anew beyond that.
@@ -195,11 +195,14 @@ def encode_column(docs: DataFrame, path: str, pattern: str, text: str = "text",
     ranks, key = _vocabulary(path)
     new = (ids, count) + ((checked,) if checked else ())
     kept = [f for f in docs.schema.fields if f.name not in new]
+    given = [f.name for f in kept]
+    names = plain_names(given)
+    source = names[given.index(text)]
+    kept = [T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, kept)]
     schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType(), False)),
                            T.StructField(count, T.LongType()),
                            *([T.StructField(checked, T.BooleanType(), False)] if checked else [])])
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
@@ -225,7 +228,7 @@ def encode_column(docs: DataFrame, path: str, pattern: str, text: str = "text",
                 names=schema.names)
 
         for batch in batches:
-            texts = batch.column(text)
+            texts = batch.column(source)
             start, held, coded, same = 0, 0, [], []
             for i in range(batch.num_rows):
                 t = texts[i].as_py()
@@ -240,7 +243,8 @@ def encode_column(docs: DataFrame, path: str, pattern: str, text: str = "text",
             if coded or batch.num_rows == 0:
                 yield emit(batch, start, coded, same)
 
-    return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, schema)
+    out = docs.select(*[F.col(f"`{g}`").alias(n) for g, n in zip(given, names)]).mapInArrow(run, schema)
+    return out.select(*[F.col(f"`{n}`").alias(g) for g, n in zip(given, names)], *[F.col(f"`{n}`") for n in new])
 
 
 def decode_column(docs: DataFrame, path: str, ids: str = "token_ids",

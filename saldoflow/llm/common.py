@@ -12,6 +12,24 @@ SPACES = " \t\n\x0b\f\r"
 BREAK = r"[\x20\x09-\x0D]+"
 
 
+def fresh(base: str, taken) -> str:
+    """A column name that begins with ``base`` and is none of ``taken``, so a helper column
+    never meets a given one of the same name."""
+    name, seen = base, {c.lower() for c in taken}
+    while name.lower() in seen:
+        name += "_"
+    return name
+
+
+def plain_names(names: list[str]) -> list[str]:
+    """Names to carry columns through ``mapInArrow``, which resolves its input columns
+    unquoted: a name with a dot or a backtick is replaced by a fresh plain one."""
+    out = []
+    for i, n in enumerate(names):
+        out.append(fresh(f"_col{i}", [*names, *out]) if "." in n or "`" in n else n)
+    return out
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; none for null or blank text."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from saldoflow.llm.common import n_words
+from saldoflow.llm.common import fresh, n_words
 from saldoflow.session import settle
 
 #: Cells of a source's order.
@@ -148,13 +148,16 @@ def mix(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, limit: int = 3) ->
     """``docs`` with every row as often as the mix takes it; the columns stay as they are.
 
     The copies of a document are found by its id, so rows that repeat a doc_id are one
-    document only if source and text agree as well.
+    document only if source and text agree as well. Helper columns take names that the
+    given columns do not have, so extra columns of any name pass through.
     """
+    i, src, size, n, k = (fresh(b, docs.columns) for b in ("_id", "_source", "_size", "_n", "_copies"))
     copies = allocate(docs, seed, weights, limit).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        F.col("copies").alias("_copies")).distinct()
-    sized = docs.withColumn("_n", n_words(F.col("text")))
-    joined = sized.join(copies, sized.doc_id.eqNullSafe(F.col("_id")) & sized.source.eqNullSafe(F.col("_source"))
-                        & (F.col("_n") == F.col("_size")))
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(
-        F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).drop("_copy")
+        F.col("doc_id").alias(i), F.col("source").alias(src), F.col("size").alias(size),
+        F.col("copies").alias(k)).distinct()
+    sized = docs.withColumn(n, n_words(F.col("text")))
+    joined = sized.join(copies, sized.doc_id.eqNullSafe(F.col(i)) & sized.source.eqNullSafe(F.col(src))
+                        & (F.col(n) == F.col(size)))
+    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], F.explode(
+        F.sequence(F.lit(1).cast("long"), F.col(k))).alias(fresh("_copy", docs.columns))).select(
+        *[F.col(f"`{c}`") for c in docs.columns])

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from saldoflow.functions.scalars import once
+from saldoflow.llm.common import fresh
 
 #: Rounds of the network.
 ROUNDS = 10
@@ -201,17 +202,21 @@ def pseudonymise(docs: DataFrame, key: str = "saldoflow", text: str = "text") ->
     """``docs`` with the private values of ``text`` replaced and ``n_replaced`` of them counted.
 
     A null text stays null with a count of 0. Values that fail their check stay. A
-    column named n_replaced is replaced, all others stay. Rows are independent, so ties,
+    column named n_replaced is replaced, all others stay, whatever their names (helper
+    columns take names the table does not have; the text column may hold a dot). Rows are independent, so ties,
     repeated rows and empty tables need nothing special.
     """
     whole = "|".join(f"(?:{p})" for p in PATTERNS.values())
-    found = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(whole), 0)
-    new = F.transform("_found", lambda s: pseudonym(s, key))
-    rows = once(docs.drop("n_replaced"), _found=found)
-    rows = once(rows, _new=F.when(F.size("_found") > 0, new))
-    between = F.transform(F.split(F.col(text), whole, -1), lambda p, i: F.concat(
-        p, F.coalesce(F.get("_new", i), F.lit(""))))
-    changed = F.size(F.filter(F.arrays_zip("_found", "_new"), lambda z: z["_found"] != z["_new"]))
-    out = {text: F.when(F.col("_new").isNotNull(), F.array_join(between, "")).otherwise(F.col(text)),
-           "n_replaced": F.when(F.col("_new").isNotNull(), changed).otherwise(0).cast("long")}
+    given = F.col(f"`{text}`")
+    found_, new_ = fresh("_found", docs.columns), fresh("_new", docs.columns)
+    found = F.regexp_extract_all(F.coalesce(given, F.lit("")), F.lit(whole), 0)
+    new = F.transform(found_, lambda s: pseudonym(s, key))
+    rows = once(docs.drop("n_replaced"), **{found_: found})
+    rows = once(rows, **{new_: F.when(F.size(found_) > 0, new)})
+    between = F.transform(F.split(given, whole, -1), lambda p, i: F.concat(
+        p, F.coalesce(F.get(new_, i), F.lit(""))))
+    changed = F.size(F.filter(F.arrays_zip(F.col(found_).alias("f"), F.col(new_).alias("n")),
+                              lambda z: z["f"] != z["n"]))
+    out = {text: F.when(F.col(new_).isNotNull(), F.array_join(between, "")).otherwise(given),
+           "n_replaced": F.when(F.col(new_).isNotNull(), changed).otherwise(0).cast("long")}
     return rows.withColumns(out).select(*[F.col(f"`{c}`") for c in docs.columns if c != "n_replaced"], "n_replaced")

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from saldoflow.llm.common import crc_mod
+from saldoflow.llm.common import crc_mod, fresh, plain_names
 
 #: Labelled documents of each label that the fit takes at most.
 PER_LABEL = 4000
@@ -142,7 +142,9 @@ def score(docs: DataFrame, model: dict, to: str = "score") -> DataFrame:
     threshold. Null and empty texts are scored as empty. All other columns stay; one with
     the score's name is replaced."""
     kept = [f for f in docs.schema.fields if f.name != to]
-    names = [f.name for f in kept]
+    given = [f.name for f in kept]
+    names = plain_names(given)
+    inner = fresh("_score", names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,10 +152,12 @@ def score(docs: DataFrame, model: dict, to: str = "score") -> DataFrame:
             s = (x - model["mean"]) @ model["weights"] - model["cut"]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in names], pa.array(1 / (1 + np.exp(-np.clip(s, -500, 500))))],
-                names=[*names, to])
+                names=[*names, inner])
 
-    return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(
-        run, T.StructType([*kept, T.StructField(to, T.DoubleType())]))
+    schema = T.StructType([*[T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, kept)],
+                           T.StructField(inner, T.DoubleType())])
+    out = docs.select(*[F.col(f"`{g}`").alias(n) for g, n in zip(given, names)]).mapInArrow(run, schema)
+    return out.select(*[F.col(f"`{n}`").alias(g) for g, n in zip(given, names)], F.col(inner).alias(to))
 
 
 def training(labels: DataFrame) -> DataFrame:

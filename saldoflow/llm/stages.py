@@ -9,14 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from saldoflow.llm import bpe, mixing, pii, preference, simhash
-from saldoflow.llm.common import table
+from saldoflow.llm.common import fresh, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it learns from the labels of the folder."""
+    """Documents that the classifier accepts (score 0.5 or more); it learns from the labels of
+    the folder. Given columns pass through whatever their names; an empty table stays empty."""
     labels = preference.training(table(spark, sf_dir, "labels"))
     model = preference.learn(docs.select("doc_id", "text"), labels)
-    return preference.score(docs, model, "_score").filter("_score >= 0.5").select(*docs.columns)
+    score = fresh("_score", docs.columns)
+    return (preference.score(docs, model, score).filter(F.col(score) >= 0.5)
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

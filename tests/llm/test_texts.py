@@ -313,3 +313,23 @@ def test_pipeline_step_by_step(spark, reference):
     for r in rows[5][:200]:
         assert r.token_ids == reference.encode_ordinary(r.text) and r.round_trip
     assert corpus_pipeline.run(spark, FOLDER).count() == len(rows[5])
+
+
+def test_given_columns_with_helper_names_pass_through(spark):
+    from saldoflow.llm import stages
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(300)
+    clash = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(
+        ["_id", "_source", "_size", "_n", "_copies", "_copy", "_found", "_new", "_score", "a.b"])])
+    plain = mixing.mix(docs).groupBy("doc_id").count()
+    mixed = mixing.mix(clash)
+    assert mixed.columns == clash.columns
+    assert sorted(mixed.groupBy("doc_id").count().collect()) == sorted(plain.collect())
+    assert mixed.filter(F.col("_n") != 3).count() == 0
+    texts = spark.createDataFrame([(1, "mail bob@example.org now", 5, 6)], "doc_id long, `t.x` string, _found int, _new int")
+    out = pii.pseudonymise(texts, text="t.x").head()
+    assert out["_found"] == 5 and out["_new"] == 6 and out["n_replaced"] == 1 and "bob@example.org" not in out["t.x"]
+    kept = stages.quality(spark, clash.withColumn("_score", F.lit(-5.0)), FOLDER)
+    assert kept.columns == clash.columns and kept.filter(F.col("_score") != -5.0).count() == 0
+    coded = bpe.encode_column(clash.limit(20), PATH, public_tokenizers.PATTERN, checked="round_trip")
+    assert coded.columns == [*clash.columns, "token_ids", "n_tokens", "round_trip"]
+    assert coded.filter(~F.col("round_trip") | (F.col("`a.b`") != 9)).count() == 0
