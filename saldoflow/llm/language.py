@@ -446,6 +446,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Scores are log10 probabilities of whole texts, end included; a null or empty text is
     its end alone. Rows that repeat a doc_id are scored each. Further columns are not read.
+    An empty table gives an empty one.
     """
     head = sorted(model.lexicon.items())
     counts = np.array([c for _, c in head], float)

@@ -139,8 +139,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label:
 
 def score(docs: DataFrame, model: dict, to: str = "score") -> DataFrame:
     """``docs`` with the probability-like score in (0, 1) of every whole text; 0.5 is the
-    threshold. Null and empty texts are scored as empty. All other columns stay; one with
-    the score's name is replaced."""
+    threshold. Null and empty texts are scored as empty. All other columns stay, whatever
+    their names; one with the score's name is replaced. Rows are scored one by one:
+    repeated rows get equal scores, an empty table gives an empty one."""
     kept = [f for f in docs.schema.fields if f.name != to]
     given = [f.name for f in kept]
     names = plain_names(given)

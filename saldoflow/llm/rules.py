@@ -158,7 +158,8 @@ def judge(docs: DataFrame, threshold: float = 0.5, steps: int = STEPS) -> DataFr
 
     base_failed: fewer than 50 words, or over half of them in repeated windows; such a
     text is not kept whatever its posterior. Null and empty texts fail. Repeated rows
-    each count and each get a row; columns beyond doc_id and text are not read.
+    each count and each get a row; columns beyond doc_id and text are not read. A posterior
+    of exactly ``threshold`` is kept. An empty table gives an empty one.
     """
     rules = votes()
     voted = cut(measures(docs).withColumns(rules))

@@ -24,20 +24,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest id. Rows that
-    repeat a doc_id stay or go together."""
+    repeat a doc_id stay or go together; an empty table stays empty; other columns pass
+    through."""
     gone = simhash.near_duplicates(docs, shingle=4, radius=4).filter("NOT kept").select(
         F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs.doc_id.eqNullSafe(gone._gone), "left_anti")
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with private values replaced and, with them, their length in characters."""
+    """Documents with private values replaced and, with them, their length in characters.
+    Null texts stay null; an empty table stays empty; other columns pass through."""
     out = pii.pseudonymise(docs).select(*docs.columns)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixing_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents, each as often as the mix takes it."""
+    """Documents, each as often as the mix takes it; columns as given, an empty table stays
+    empty."""
     return mixing.mix(docs)
 
 

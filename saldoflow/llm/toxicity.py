@@ -150,7 +150,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict[str,
 
 def score(docs: DataFrame, model: dict[str, float], to: str = "score") -> DataFrame:
     """``docs`` with the probability of toxicity of every whole text; null counts as empty.
-    All other columns stay; one with the score's name is replaced."""
+    All other columns stay; one with the score's name is replaced. Rows are scored one by
+    one: repeated rows get equal scores, ties need nothing, an empty table gives an empty one."""
     kept = [f for f in docs.schema.fields if f.name != to]
     names = [f.name for f in kept]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES bounds it
