@@ -94,8 +94,10 @@ def id_grams(parts: DataFrame, vocab: DataFrame, n_words: int) -> DataFrame:
     """
     if n_words >= _LOW32:
         raise ValueError("more distinct words than 32-bit ids hold")
+    if n_words <= BROADCAST_WORDS:
+        return _grams_in_place(parts, vocab)
     tokens = parts.select("_piece", "lang", "mult", F.posexplode("words").alias("pos", "word"))
-    table = F.broadcast(vocab) if n_words <= BROADCAST_WORDS else vocab
+    table = vocab
     # Words without an id (too rare) drop out before the shuffle; they leave a gap in the
     # positions, and no n-gram spans a gap.
     ids = tokens.join(table, "word")
@@ -111,6 +113,27 @@ def id_grams(parts: DataFrame, vocab: DataFrame, n_words: int) -> DataFrame:
             .select("lang", "mult", "g.*"))
 
 
+def _grams_in_place(parts: DataFrame, vocab: DataFrame) -> DataFrame:
+    """:func:`id_grams` where the vocabulary is broadcast: the n-grams are formed from each
+    piece's word array where it lies, and each of their words gets its id by a join with
+    the broadcast vocabulary, so the pieces are not shuffled again. An n-gram with a word
+    without id is dropped, as that word leaves a gap in the other way."""
+    w, none = F.col("words"), F.lit(None).cast("string")
+    n = F.size(w)
+    gram = lambda o, i: F.struct(F.lit(o).alias("o"), F.element_at(w, i).alias("x"),
+                                 (F.element_at(w, i + 1) if o > 1 else none).alias("y"),
+                                 (F.element_at(w, i + 2) if o > 2 else none).alias("z"))
+    grams = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.array(
+        gram(1, i), F.when(i + 1 <= n, gram(2, i)), F.when(i + 2 <= n, gram(3, i)))))
+    g = (parts.select("lang", "mult", F.explode(grams).alias("g")).filter(F.col("g").isNotNull())
+         .select("lang", "mult", "g.*"))
+    ids = lambda word, to: F.broadcast(vocab.select(F.col("word").alias(word), F.col("id").alias(to)))
+    g = g.join(ids("x", "a"), "x").join(ids("y", "b"), "y", "left").join(ids("z", "c"), "z", "left")
+    whole = ((F.col("o") < 2) | F.col("b").isNotNull()) & ((F.col("o") < 3) | F.col("c").isNotNull())
+    return g.filter(whole).select("lang", "mult", "o", "a", F.coalesce("b", F.lit(0).cast("long")).alias("b"),
+                                  F.coalesce("c", F.lit(0).cast("long")).alias("c"))
+
+
 def ngram_filter(grams: DataFrame) -> DataFrame:
     """(lang, quotient, rem_hi, rem_lo, f): counts of all 1- to 3-grams as merged quotient filters."""
     hi, lo = pack(F.col("o"), F.col("a"), F.col("b"), F.col("c"))
