@@ -29,6 +29,8 @@ from saldoflow.llm.common import plain_names, worker_cache
 #: Bytes that a worker's remembered pieces may take (keys, ids and about 200 bytes of
 #: bookkeeping each); it starts anew beyond that.
 CACHE_BYTES = 96 << 20
+#: The same for :func:`digests`, whose tasks hold no texts or ids beyond one batch.
+DIGEST_CACHE_BYTES = 256 << 20
 #: Longer pieces are not remembered.
 CACHE_CHARS = 100
 #: Rows of an output batch stop once their texts and ids hold this many bytes (one row
@@ -105,7 +107,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
 
 
-def encoder(ranks: dict[bytes, int], pattern: str, key: str) -> Callable[[str], bytes]:
+def encoder(ranks: dict[bytes, int], pattern: str, key: str,
+            cache_bytes: int = CACHE_BYTES) -> Callable[[str], bytes]:
     """A function from text to its ids as little-endian 32-bit integers.
 
     A match always begins at a single space between two other characters, so a text
@@ -123,7 +126,7 @@ def encoder(ranks: dict[bytes, int], pattern: str, key: str) -> Callable[[str],
         if len(piece) > CACHE_CHARS:
             return
         used[0] += 2 * len(piece) + len(ids) + 200
-        if used[0] > CACHE_BYTES:
+        if used[0] > cache_bytes:
             known.clear()
             matches.clear()
             used[0] = 2 * len(piece) + len(ids) + 200
@@ -289,7 +292,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = shared.value
-        encode = encoder(ranks, pattern, key)
+        encode = encoder(ranks, pattern, key, DIGEST_CACHE_BYTES)
         tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
