@@ -45,8 +45,12 @@ def delete_or_draft_set(state: DataFrame) -> DataFrame:
 
 
 def latest_version_rows(lines: DataFrame, keys=("module", "source_id")) -> DataFrame:
-    """Rows of the newest version of each document; equal times are all kept."""
-    newest = lines.groupBy(*keys).agg(F.max("raw_created_at").alias("newest"))
+    """Rows of the newest version of each document; equal times are all kept.
+
+    The newest times are joined by a shuffle: there are as many as documents, which Spark
+    cannot tell from the size of the feed they are read from.
+    """
+    newest = lines.groupBy(*keys).agg(F.max("raw_created_at").alias("newest")).hint("merge")
     same = [lines[k].eqNullSafe(newest[k]) for k in keys]
     at_newest = lines["raw_created_at"].eqNullSafe(newest["newest"])
     condition = at_newest

@@ -42,3 +42,12 @@ def test_a_larger_feed_has_more_pieces(spark, folder, monkeypatch):
     rows = feed_queries.feed(spark, folder)
     assert rows.rdd.getNumPartitions() == 20
     assert rows.count() == sum(1 + (k % 3 == 0) + (k % 7 == 0) + (k % 11 == 0) for k in range(200))
+
+
+def test_newest_versions_are_not_broadcast(spark, capsys):
+    lines = spark.sql("SELECT * FROM VALUES ('m', 'A', 1, TIMESTAMP_NTZ '2024-01-01 00:00:00'), ('m', 'A', 2, TIMESTAMP_NTZ '2024-01-02 00:00:00'), "
+                      "('m', 'A', 3, TIMESTAMP_NTZ '2024-01-02 00:00:00'), (NULL, 'B', 4, NULL), ('m', 'B', 5, NULL) "
+                      "AS t(module, source_id, n, raw_created_at)")
+    kept = L.latest_version_rows(lines)
+    assert "Broadcast" not in plan(kept, capsys)
+    assert sorted(r.n for r in kept.collect()) == [2, 3, 4, 5]
