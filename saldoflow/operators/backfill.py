@@ -15,13 +15,14 @@ def code_backfill_lookup(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(by line, by document) department codes; the last callback wins.
 
     ``documents`` has ``callback_id`` and the deep-parsed ``document``. A line
-    without its own code takes the document's.
+    without its own code takes the document's. The documents are parsed once, for what
+    is read here, and both lookups are written: a backfill reads them several times.
     """
     d = F.col("document")
-    named = documents.filter(S.nonblank(d.id).isNotNull()).select(
+    named = settle(documents.filter(S.nonblank(d.id).isNotNull()).select(
         "callback_id", d.id.alias("source_id"), S.nonblank(d.department.code).alias("head_code"),
         F.coalesce(d.department["name"], F.lit("")).alias("head_name"),
-        d.line_items.alias("line_items"))
+        d.line_items.alias("line_items")), "named")
     by_document = (named.filter(F.col("head_code").isNotNull()).groupBy("source_id")
                    .agg(F.max_by(F.struct("head_code", "head_name"), "callback_id").alias("h"))
                    .select("source_id", F.col("h.head_code").alias("dept_code"),
@@ -34,7 +35,7 @@ def code_backfill_lookup(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
                .filter(F.col("dept_code").isNotNull() & S.nonblank(F.col("line_id")).isNotNull())
                .groupBy("source_id", "line_id")
                .agg(F.max_by("dept_code", F.struct("callback_id", "pos")).alias("dept_code")))
-    return by_line, by_document
+    return settle(by_line, "by_line"), settle(by_document, "by_document")
 
 
 def code_resolve(rows: DataFrame, by_line: DataFrame, by_document: DataFrame) -> DataFrame:

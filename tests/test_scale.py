@@ -51,3 +51,16 @@ def test_newest_versions_are_not_broadcast(spark, capsys):
     kept = L.latest_version_rows(lines)
     assert "Broadcast" not in plan(kept, capsys)
     assert sorted(r.n for r in kept.collect()) == [2, 3, 4, 5]
+
+
+def test_backfill_lookups_are_read_not_parsed_again(spark, capsys):
+    code = lambda c: (None, c, "Head")
+    documents = spark.createDataFrame([
+        (1, ("D1", code("H1"), [("L1", code("A")), ("L2", None)])), (2, ("D1", code("H2"), [("L1", code("B"))])),
+        (3, ("", code("H9"), []))], DOCUMENT)
+    by_line, by_document = B.code_backfill_lookup(documents)
+    assert sorted(map(tuple, by_line.collect())) == [("D1", "L1", "B"), ("D1", "L2", "H1")]
+    assert [tuple(r) for r in by_document.collect()] == [("D1", "H2", "Head")]
+    for lookup in (by_line, by_document):
+        text = plan(lookup, capsys)
+        assert "FileScan parquet" in text and "Aggregate" not in text
