@@ -66,10 +66,10 @@ def keyed_upsert_stored(spark, sf):
 
 
 def _sheet_folder(spark, sf):
-    """The sheets written as CSV files with their headers."""
+    """The sheets written as CSV files with their headers, and ``seq`` where there may be several files."""
     folder = fresh_path(spark, "sheets")
     for name, df in DQ.sheets(spark, sf).items():
-        ordered = df.orderBy("seq") if "seq" in df.columns else df
+        ordered = df.orderBy("seq") if "seq" in df.columns else df.withColumn("seq", F.monotonically_increasing_id())
         SH.to_headers(ordered, name) \
             .write.option("header", True).csv(f"{folder}/{name}")
     return folder

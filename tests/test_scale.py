@@ -64,3 +64,8 @@ def test_backfill_lookups_are_read_not_parsed_again(spark, capsys):
     for lookup in (by_line, by_document):
         text = plan(lookup, capsys)
         assert "FileScan parquet" in text and "Aggregate" not in text
+
+
+def test_sheets_written_in_several_files_can_be_read(spark, folder):
+    got = {r.sheet: r.n for r in table_queries.sheet_tables_read(spark, folder).collect()}
+    assert got["FTE"] == 30 and got["REV"] == 6
