@@ -148,3 +148,9 @@ def test_flips_find_all_close_pairs():
     i, j = simhash._by_flips(values, 4)
     near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 4
     assert sorted(zip(i.tolist(), j.tolist())) == sorted(map(tuple, np.argwhere(np.triu(near, 1)).tolist()))
+
+
+def test_simhash_of_bytes_that_are_no_utf8(spark, tmp_path):
+    spark.sql("SELECT 1L AS doc_id, CAST(unhex('61FF20622063') AS STRING) AS text UNION ALL SELECT 2L, 'One'").write.parquet(str(tmp_path / "d"))
+    got = {r.doc_id: r.fingerprint for r in simhash.near_duplicates(spark.read.parquet(str(tmp_path / "d"))).collect()}
+    assert got == {1: f"{xxhash.xxh64_intdigest(bytes.fromhex('61FF20622063'), 42):016x}", 2: f"{xxhash.xxh64_intdigest(b'one', 42):016x}"}
