@@ -37,8 +37,14 @@ def test_orders_meet_their_lines_by_a_shuffle(spark, folder, capsys):
     assert sorted((r.k, len(r.ls)) for r in orders.select("k", "ls").collect()) == [(k, 2) for k in range(200)]
 
 
+def test_more_orders_are_more_pieces(spark, folder, monkeypatch):
+    monkeypatch.setattr(inputs, "ORDERS_A_PIECE", 10)
+    feed = inputs.callbacks(spark, folder, "cash_in")
+    assert feed.rdd.getNumPartitions() == 20 and feed.count() == 200
+
+
 def test_a_larger_feed_has_more_pieces(spark, folder, monkeypatch):
-    monkeypatch.setattr(feed_queries, "ORDERS_A_PIECE", 10)
+    monkeypatch.setattr(inputs, "ORDERS_A_PIECE", 10)
     rows = feed_queries.feed(spark, folder)
     assert rows.rdd.getNumPartitions() == 20
     assert rows.count() == sum(1 + (k % 3 == 0) + (k % 7 == 0) + (k % 11 == 0) for k in range(200))
