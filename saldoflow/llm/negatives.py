@@ -67,43 +67,60 @@ def _matrix(vecs, dim: int) -> np.ndarray:
     return out
 
 
+def _exact_type(rows: np.ndarray, anchors: np.ndarray):
+    """The fastest type that holds every score, and every partial sum of one, exactly."""
+    largest = [max(abs(int(x.max())), abs(int(x.min()))) if x.size else 0 for x in (rows, anchors)]
+    bound = rows.shape[1] * largest[0] * largest[1]
+    return np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64
+
+
 class _Lists:
-    """Per-dimension sorted access over one block of rows."""
+    """Per-dimension sorted access over one block of rows, random access for its anchors."""
 
-    def __init__(self, rows: pd.DataFrame, dim: int):
+    def __init__(self, rows: pd.DataFrame, anchors: np.ndarray):
         self.ids = rows["vec_id"].to_numpy(dtype=np.int64)
         self.labels = rows["label"].to_numpy(dtype=np.int64)
-        self.m = _matrix(rows["vec"], dim)
-        self.desc = np.argsort(-self.m, axis=0, kind="stable")  # column d: rows by component d, largest first
+        m = _matrix(rows["vec"], anchors.shape[1])
+        # Line d: rows by component d, largest first.
+        self.desc = np.argsort(-np.ascontiguousarray(m.T), axis=1, kind="stable").astype(np.int32)
+        self.type = _exact_type(m, anchors)
+        self.m = m.astype(self.type)
+
+    def scores(self, rows: np.ndarray, a: np.ndarray) -> np.ndarray:
+        return (self.m[rows] @ a.astype(self.type)).astype(np.int64)
 
     def walk(self, a: np.ndarray):
         """Yield (new row indexes, threshold) round by round; the threshold bounds all unseen rows.
 
         Each round reads twice as deep as the one before, so an anchor takes few rounds;
-        testing the threshold less often never stops too early.
+        testing the threshold less often never stops too early. A row is met by the list
+        that shows it first, so all rows are seen long before the lists end; nothing is
+        unseen from there on and no list is read further.
         """
         n = len(self.ids)
-        dims = np.flatnonzero(a)
+        up, down = np.flatnonzero(a > 0), np.flatnonzero(a < 0)
         if n == 0:
             return
-        if dims.size == 0:  # every score is 0: all rows at once, nothing unseen
+        if up.size + down.size == 0:  # every score is 0: all rows at once, nothing unseen
             yield np.arange(n), -math.inf
             return
-        up = a[dims] > 0
-        # Column j: rows in the order dimension dims[j] is read, best for this anchor first.
-        lists = np.where(up, self.desc[:, dims], self.desc[::-1, dims])
-        seen = np.zeros(n, dtype=bool)
+        unseen, left = np.ones(n, dtype=bool), n
         start, step = 0, STEP
         while start < n:
             end = min(start + step, n)
-            got = np.unique(lists[start:end].ravel())
-            got = got[~seen[got]]
-            seen[got] = True
-            if end == n:
+            met = np.zeros(n, dtype=bool)
+            met[self.desc[up, start:end]] = True
+            met[self.desc[down, n - end:n - start]] = True
+            met &= unseen
+            got = np.flatnonzero(met)
+            unseen[got] = False
+            left -= len(got)
+            if left == 0:
                 yield got, -math.inf
                 return
-            last = self.m[lists[end - 1], dims]
-            yield got, int(np.dot(a[dims], last))
+            last = sum(int(np.dot(self.m[self.desc[side, at], side].astype(np.int64), a[side]))
+                       for side, at in ((up, end - 1), (down, n - end)))
+            yield got, last
             start, step = end, step * 2
 
 
@@ -111,20 +128,26 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Indexes of the first k by score descending, then id ascending."""
     if len(scores) <= k:
         return np.lexsort((ids, -scores))
-    return np.lexsort((ids, -scores))[:k]
+    # Only those that reach the k-th score are sorted.
+    some = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+    return some[np.lexsort((ids[some], -scores[some]))[:k]]
+
+
+def _block(anchors: pd.DataFrame, rows: pd.DataFrame) -> tuple[np.ndarray, _Lists]:
+    dim = max(max(map(len, anchors["vec"]), default=0), max(map(len, rows["vec"]), default=0))
+    av = _matrix(anchors["vec"], dim)
+    return av, _Lists(rows, av)
 
 
 def _positives(anchors: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     out = []
     if len(anchors) and len(rows):
-        dim = max(max(map(len, anchors["vec"]), default=0), max(map(len, rows["vec"]), default=0))
-        lists = _Lists(rows, dim)
-        av = _matrix(anchors["vec"], dim)
+        av, lists = _block(anchors, rows)
         for a_id, a_label, a in zip(anchors["vec_id"], anchors["label"], av):
             s_all, i_all = np.empty(0, np.int64), np.empty(0, np.int64)
             for got, threshold in lists.walk(a):
                 keep = got[(lists.labels[got] == a_label) & (lists.ids[got] != a_id)]
-                s_all = np.concatenate([s_all, lists.m[keep] @ a])
+                s_all = np.concatenate([s_all, lists.scores(keep, a)])
                 i_all = np.concatenate([i_all, keep])
                 best = _top(s_all, lists.ids[i_all], k)
                 s_all, i_all = s_all[best], i_all[best]
@@ -138,33 +161,42 @@ def _negatives(anchors: pd.DataFrame, rows: pd.DataFrame, k: int, low: int, high
     """Windows: low * ps <= 100 * ns <= high * ps, other label than the anchor."""
     out = []
     if len(anchors) and len(rows):
-        dim = max(max(map(len, anchors["vec"]), default=0), max(map(len, rows["vec"]), default=0))
-        lists = _Lists(rows, dim)
-        av = _matrix(anchors["vec"], dim)
+        av, lists = _block(anchors, rows)
         for a_id, a_label, a, pos in zip(anchors["vec_id"], anchors["label"], av, anchors["positives"]):
             wins = [(int(p["positive_id"]), int(p["positive_score"])) for p in pos]
-            found = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in wins]
+            wins = [(pid, ps) for pid, ps in wins if low * ps <= high * ps]  # others are empty
+            if not wins:
+                continue
+            floor, top = min(low * ps for _, ps in wins), max(high * ps for _, ps in wins)
+            sc, ix = np.empty(0, np.int64), np.empty(0, np.int64)
+            found = [slice(0, 0)] * len(wins)
             for got, threshold in lists.walk(a):
                 other = got[lists.labels[got] != a_label]
-                s = lists.m[other] @ a
-                done = True
+                s = lists.scores(other, a)
+                inside = (100 * s >= floor) & (100 * s <= top)
+                sc, ix = np.concatenate([sc, s[inside]]), np.concatenate([ix, other[inside]])
+                order = np.lexsort((lists.ids[ix], -sc))
+                sc, ix = sc[order], ix[order]
+                down, done = -100 * sc, True
+                keep = np.zeros(len(sc), dtype=bool)
                 for w, (pid, ps) in enumerate(wins):
-                    inside = (low * ps <= 100 * s) & (100 * s <= high * ps)
-                    sc = np.concatenate([found[w][0], s[inside]])
-                    ix = np.concatenate([found[w][1], other[inside]])
-                    best = _top(sc, lists.ids[ix], k)
-                    found[w] = (sc[best], ix[best])
-                    if low * ps > high * ps:  # empty band
-                        continue
-                    if len(best) == k:
-                        bar_met = threshold < found[w][0][-1]
+                    # A window is a stretch of the sorted scores; its first k are kept.
+                    first, last = np.searchsorted(down, -high * ps), np.searchsorted(down, -low * ps, "right")
+                    last = min(last, first + k)
+                    found[w] = slice(first, last)
+                    keep[first:last] = True
+                    if last - first == k:
+                        done &= bool(threshold < sc[last - 1])
                     else:
-                        bar_met = 100 * threshold < low * ps
-                    done &= bool(bar_met)
+                        done &= bool(100 * threshold < low * ps)
                 if done:
                     break
-            for (pid, ps), (sc, ix) in zip(wins, found):
-                out += [(int(a_id), pid, ps, int(lists.ids[i]), int(s)) for i, s in zip(ix, sc)]
+                place = np.cumsum(keep) - keep
+                found = [slice(place[f.start], place[f.start] + f.stop - f.start) if f.stop > f.start else slice(0, 0)
+                         for f in found]
+                sc, ix = sc[keep], ix[keep]
+            for (pid, ps), f in zip(wins, found):
+                out += [(int(a_id), pid, ps, int(lists.ids[i]), int(s)) for i, s in zip(ix[f], sc[f])]
     return pd.DataFrame(out, columns=["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"])
 
 

@@ -66,3 +66,27 @@ def test_ties_zero_vectors_and_lengths(spark):
 def test_empty_and_no_anchor(spark):
     assert got(spark, []) == []
     assert got(spark, [(1, [1.0], 0), (2, [1.0], 1)]) == []
+
+
+def test_lists_are_read_until_every_row_is_seen():
+    import pandas as pd
+    draw = np.random.default_rng(5)
+    m = np.floor(256 * draw.normal(size=(4096, 64)) / 8).astype(np.int64)
+    frame = pd.DataFrame({"vec_id": np.arange(4096), "label": 0, "vec": list(m)})
+    lists = negatives._block(frame.iloc[:1], frame)[1]
+    rounds = list(lists.walk(m[0]))
+    assert sorted(np.concatenate([got for got, _ in rounds]).tolist()) == list(range(4096))
+    assert rounds[-1][1] == -math.inf and sum(negatives.STEP << i for i in range(len(rounds))) < 2048
+    seen = set()
+    for got, threshold in rounds:  # no unseen row scores above the threshold
+        seen.update(got.tolist())
+        rest = [i for i in range(4096) if i not in seen]
+        assert not rest or (m[rest] @ m[0]).max() <= threshold
+        assert (lists.scores(got, m[0]) == m[got] @ m[0]).all()
+
+
+def test_scores_beyond_what_floats_hold(spark):
+    rows = [(0, [3e6, 1.0], 0), (1, [3e6, 2.0], 0), (2, [3e6, 3.0], 0), (3, [2e6, 0.25], 1), (4, [2e6, 0.5], 1),
+            (6, [2e6, 0.75], 1), (8, [-2e6, 1.0], 2)]
+    assert got(spark, rows) == brute(rows)
+    assert negatives._exact_type(np.full((1, 2), 1 << 40), np.full((1, 2), 1 << 20)) is np.int64
