@@ -11,7 +11,9 @@ all pairs.
 The upper levels are built by Spark: a node with more than ``LEAF`` vectors is divided among
 centres drawn by a hash, until none has more, and pairs of nodes are expanded level by
 level while their bounds allow a link. The vectors of each pair of leaves that is left, less
-those too far from the other leaf, meet in one task, which builds the lower levels. Equal
+those too far from the other leaf, meet in one task, which builds the lower levels. Where
+nothing can be ruled out, a vector is sent once per leaf of its space, so leaves grow with
+their space, up to a bound, and vectors are sent as given, not in double precision. Equal
 vectors are one vector with a number.
 """
 
@@ -24,11 +26,20 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from saldoflow.functions import scalars as S
 from saldoflow.llm.components import components, cut, local_roots
 from saldoflow.session import settle
 
-#: Vectors under a node that a task takes as they are.
+#: Vectors under a node that a task takes as they are, in a space of few vectors.
 LEAF = 1024
+#: In larger spaces a leaf takes this part of the vectors, up to so many (two leaves of 128
+#: components in double precision are then some 70 MB).
+LEAF_PART, LEAF_MOST = 4, 32_768
+#: Centres tried at a time when a node is divided, and the bound below which they are not.
+CENTRES, FINE = 64, 1e-4
+#: Vectors a node's children hold on average at most when its pairs are compared as products,
+#: and pairs of one product.
+FLAT, PRODUCT = 16, 1 << 20
 #: Levels of division at most; what is larger then is dealt out by a hash.
 LEVELS = 12
 #: Children a node is divided into at most.
@@ -63,6 +74,7 @@ class Tree:
 
     def __init__(self, x: np.ndarray):
         self.x = x
+        self.square = np.einsum("ij,ij->i", x, x)
         self.centre, self.radius, self.first, self.last, self.children = [], [], [], [], []
         self.order = np.zeros(0, np.int64)
         order: list[np.ndarray] = []
@@ -86,21 +98,42 @@ class Tree:
             while bound / 2 >= self.radius[node]:
                 bound /= 2
             bound /= 2
-            left = members
             # The node's own centre comes first; each next centre is beyond all before.
-            centre = self.centre[node]
-            while len(left):
-                d = np.linalg.norm(x[left] - x[centre], axis=1)
-                near = d <= bound
-                child = self._add(int(centre), float(d[near].max()))
+            for centre, near in self._spread(members, self.centre[node], bound):
+                child = self._add(int(centre), float(np.linalg.norm(x[near] - x[centre], axis=1).max()))
                 self.children[node].append(child)
-                stack.append((child, left[near], bound, False))
-                left = left[~near]
-                if len(left):
-                    centre = left[0]
+                stack.append((child, near, bound, False))
         self.order = np.concatenate(order)
         self.centre, self.radius = np.array(self.centre), np.array(self.radius)
         self.first, self.last = np.array(self.first), np.array(self.last)
+        #: Nodes whose children hold few vectors each, so that comparing by children saves nothing.
+        self.flat = np.array(list(map(len, self.children))) * FLAT >= self.last - self.first
+
+    def _spread(self, left: np.ndarray, own: int, bound: float) -> Iterator[tuple[int, np.ndarray]]:
+        """Centres further apart than ``bound`` (but for rounding), each with the members that
+        are near it and near none before; the radius measured later holds whatever is rounded.
+
+        The distances to the next centres that may come are worked out at a time, as products;
+        where a product would round too much, one by one.
+        """
+        x = self.x
+        left = np.concatenate([[own], left[left != own]])
+        while len(left):
+            draw = left[:CENTRES if bound > FINE else 1]
+            if bound > FINE:
+                d = self.square[draw][:, None] + self.square[left] - 2 * (x[draw] @ x[left].T)
+                near = d <= bound * bound
+                near[np.arange(len(draw)), np.arange(len(draw))] = True
+            else:
+                near = np.linalg.norm(x[left] - x[own], axis=1)[None] <= bound
+            free = np.ones(len(left), bool)
+            for k, centre in enumerate(draw):
+                if free[k]:
+                    mine = near[k] & free
+                    free &= ~mine
+                    yield int(centre), left[mine]
+            left = left[free]
+            own = left[0] if len(left) else own
 
     def _add(self, centre: int, radius: float) -> int:
         for part, value in ((self.centre, centre), (self.radius, radius), (self.first, 0), (self.last, 0),
@@ -148,16 +181,23 @@ def dual(a: Tree, b: Tree, raw_a: np.ndarray, raw_b: np.ndarray, cosine: float,
             i, j = i[i != j], j[i != j]
         compare(i, j)
         nodes_a, nodes_b, d, both, count = nodes_a[~one], nodes_b[~one], d[~one], both[~one], count[~one]
-        end = (count <= FEW) | (d + both <= reach - SLACK) | (both == 0)
+        wide = b.radius[nodes_b] > a.radius[nodes_a]
+        flat = np.where(wide, b.flat[nodes_b], a.flat[nodes_a])
+        end = (count <= FEW) | (d + both <= reach - SLACK) | (both == 0) | flat
         for p, q in zip(nodes_a[end], nodes_b[end]):
-            i = a.order[a.first[p]:a.last[p]]
+            all_i = a.order[a.first[p]:a.last[p]]
             j = b.order[b.first[q]:b.last[q]]
-            i, j = np.repeat(i, len(j)), np.tile(j, len(i))
-            if same and p == q:
-                keep = i < j
-                i, j = i[keep], j[keep]
-            if len(i):
-                compare(i, j)
+            rows = max(1, PRODUCT // len(j))
+            for s in range(0, len(all_i), rows):
+                i = all_i[s:s + rows]
+                # Pairs that the product shows to be too far apart, beyond its rounding, are left out.
+                at = np.nonzero(a.x[i] @ b.x[j].T >= cosine - SLACK)
+                left, right = i[at[0]], j[at[1]]
+                if same and p == q:
+                    keep = left < right
+                    left, right = left[keep], right[keep]
+                if len(left):
+                    compare(left, right)
         next_a, next_b = [], []
         for p, q in zip(nodes_a[~end].tolist(), nodes_b[~end].tolist()):
             wide = b.radius[q] > a.radius[p]
@@ -182,28 +222,44 @@ def dual(a: Tree, b: Tree, raw_a: np.ndarray, raw_b: np.ndarray, cosine: float,
 # --- on Spark ---------------------------------------------------------------------------
 
 def _spaces(vectors: DataFrame) -> DataFrame:
-    """Equal vectors as one: (key, item, n, raw, unit); item is the smallest id among them."""
-    raw = F.transform("embedding", lambda x: x.cast("double"))
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    """Equal vectors as one: (key, id, n, embedding, unit); id is the smallest among them."""
     # Scaled by the largest component first, so that squares neither overflow nor vanish.
-    scaled = lambda v: F.transform(v, lambda x: x / F.array_max(F.transform(v, lambda y: F.abs(y))))
     one = (vectors.filter(valid(F.col("embedding")) & F.col("label").isNotNull())
            .groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")))
-    one = one.select(F.col("label").alias("space_label"), F.size("embedding").alias("space_size"), "id", "n",
-                     "embedding", scaled(raw).alias("raw"))
-    return one.withColumn("unit", F.transform("raw", lambda x: x / norm(F.col("raw"))))
+    one = one.select(F.col("label").alias("space_label"), F.size("embedding").alias("space_size"), "id", "n", "embedding")
+    # Each step once per vector, not again for every component that the next one reads.
+    one = S.once(one, raw=F.transform("embedding", lambda x: x.cast("double")))
+    one = S.once(one, largest=F.array_max(F.transform("raw", lambda x: F.abs(x))))
+    one = S.once(one, scaled=F.transform("raw", lambda x: x / F.col("largest")))
+    one = S.once(one, norm=F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda s, x: s + x * x)))
+    return one.withColumn("unit", F.transform("scaled", lambda x: x / F.col("norm"))).drop("raw", "largest", "scaled", "norm")
+
+
+def leaf_size(held: Column, leaf: int) -> Column:
+    """Vectors of a leaf in a space of ``held``: a part of them, so that the leaves of a space
+    and with them the times a vector is sent do not grow with it, within bounds."""
+    return F.greatest(F.lit(leaf), F.least(F.lit(LEAF_MOST), F.ceil(held / LEAF_PART)))
+
+
+def _raw(given: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors scaled by their largest component, as in :func:`_spaces`, and to length one."""
+    raw = given.astype(np.float64)
+    raw /= np.abs(raw).max(axis=1, keepdims=True)
+    return raw, raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
 def _divide(items: DataFrame, leaf: int) -> DataFrame:
     """Add ``node``, an array of the centres' numbers from the root down, and ``path`` of
     nodes passed; no node in the end has more than ``leaf`` items."""
     items = items.withColumn("node", F.concat_ws(",", F.col("space_label").cast("string"), F.col("space_size")))
+    sizes = cut(items.groupBy("space").agg(F.count("*").alias("_all")).select("space", leaf_size(F.col("_all"), leaf).alias("most")))
+    held = lambda: (items.groupBy("space", "node").agg(F.count("*").alias("held"))
+                    .join(sizes, "space").filter(F.col("held") > F.col("most")).select("node", "held", "most"))
     for level in range(LEVELS):
-        counts = items.groupBy("node").agg(F.count("*").alias("held")).filter(F.col("held") > leaf)
-        full = cut(counts)
+        full = cut(held())
         if full.isEmpty():
             return items
-        fan = F.least(F.lit(FAN), F.ceil(2 * F.col("held") / leaf))
+        fan = F.least(F.lit(FAN), F.ceil(2 * F.col("held") / F.col("most")))
         # About ``fan`` items of each full node by a hash: the next level's centres.
         drawn = F.pmod(F.xxhash64(F.lit(level), "item"), F.col("held")) < fan
         centres = settle(items.join(full, "node").filter(drawn).groupBy("node").agg(
@@ -225,10 +281,10 @@ def _divide(items: DataFrame, leaf: int) -> DataFrame:
 
         items = settle(items.join(centres, "node", "left").mapInPandas(nearest, kind), "divided")
     # Vectors too much alike to be divided: dealt out by a hash, all parts meet each other.
-    over = settle(items.groupBy("node").agg(F.count("*").alias("held")).filter(F.col("held") > leaf), "alike")
-    part = F.pmod(F.xxhash64(F.lit(LEVELS), "item"), F.ceil(F.col("held") / leaf))
+    over = settle(held(), "alike")
+    part = F.pmod(F.xxhash64(F.lit(LEVELS), "item"), F.ceil(F.col("held") / F.col("most")))
     return items.join(over, "node", "left").withColumn("node", F.when(
-        F.col("held").isNotNull(), F.concat_ws(".", "node", part)).otherwise(F.col("node"))).drop("held")
+        F.col("held").isNotNull(), F.concat_ws(".", "node", part)).otherwise(F.col("node"))).drop("held", "most")
 
 
 def _nodes(items: DataFrame) -> DataFrame:
@@ -277,21 +333,23 @@ def links(items: DataFrame, cosine: float, leaf: int = LEAF) -> DataFrame:
     # Of the pair's other leaf, only what is near enough to link is passed on.
     meet = divided.join(sides, ["space", "node"]).filter(
         (F.col("a") == F.col("b")) | (distance(F.col("unit"), F.col("centre")) <= F.col("radius") + reach + SLACK)).select(
-        "space", "a", "b", "side", "item", "n", "raw", "unit")
+        "space", "a", "b", "side", "item", "n", "embedding")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["side", "item"], kind="stable")
         left, right = frame[frame.side == 0], frame[frame.side == 1]
-        stack = lambda f, c: np.stack(list(f[c].to_numpy()))
+        stack = lambda f: _raw(np.stack(list(f["embedding"].to_numpy())))
         same = frame["a"].iloc[0] == frame["b"].iloc[0]
         item, n = frame["item"].to_numpy(), frame["n"].to_numpy()
         i = j = np.zeros(0, np.int64)
         if same or (len(left) and len(right)):
-            a = Tree(stack(left, "unit"))
+            raw, unit = stack(left)
+            a = Tree(unit)
             if same:
-                i, j = dual(a, a, stack(left, "raw"), stack(left, "raw"), cosine, True)
+                i, j = dual(a, a, raw, raw, cosine, True)
             else:
-                i, j = dual(a, Tree(stack(right, "unit")), stack(left, "raw"), stack(right, "raw"), cosine, False)
+                other, unit = stack(right)
+                i, j = dual(a, Tree(unit), raw, other, cosine, False)
                 j = j + len(left)
         linked = np.bincount(i, n[j], len(item)) + np.bincount(j, n[i], len(item))
         # The smallest item comes first, as items are sorted by value.
@@ -320,7 +378,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, leaf: int = LEAF)
     # A class's number is the hash of its content, which also distinguishes rows that repeat an id.
     classes = settle(classes.withColumn("item", F.xxhash64("space_label", "embedding")).withColumn(
         "space", F.concat_ws(",", F.col("space_label").cast("string"), F.col("space_size").cast("string"))), "vectors")
-    items = classes.select("space", "space_label", "space_size", "item", "n", "raw", "unit")
+    items = classes.select("space", "space_label", "space_size", "item", "n", "embedding", "unit")
     found = cut(links(items, cosine, leaf))
     linked = found.groupBy("item").agg(F.sum("linked").alias("linked"))
     parts = components(found, "item", "root").withColumnRenamed("node", "part_item")

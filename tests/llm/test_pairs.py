@@ -87,6 +87,40 @@ def test_traversal_of_two_trees():
     assert sorted(zip(i.tolist(), j.tolist())) == sorted(map(tuple, want.tolist()))
 
 
+def test_leaves_grow_with_their_space(spark, monkeypatch):
+    """A vector is sent to a bounded number of leaves, and as given, whatever its space holds."""
+    sent = []
+    keep = covertree.settle
+    monkeypatch.setattr(covertree, "settle", lambda df, name="stage": sent.append((name, keep(df, name))) or sent[-1][1])
+    for n in (400, 1600):
+        draw = np.random.default_rng(n)
+        rows = [(k, draw.normal(size=24).tolist(), 0) for k in range(n)]
+        rows += [(n + k, [1.0001 * x + 0.001 for x in rows[k][1]], 0) for k in range(0, n, 9)]
+        got = covertree.near_duplicates(spark.createDataFrame(rows, VECTORS), 0.98, 16).collect()
+        v = np.array([r[1] for r in rows], np.float32).astype(float)
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        linked = (v @ v.T >= 0.98).sum(axis=1) - 1
+        assert {r.vec_id: r.n_links for r in got} == {r[0]: int(c) for r, c in zip(rows, linked)}
+    leaves = [df.filter("leaf").count() for name, df in sent if name == "nodes"]
+    assert leaves[1] < 2 * leaves[0], leaves
+
+
+def test_trees_of_many_unlike_vectors_compare_by_products():
+    draw = np.random.default_rng(8)
+    unit = lambda z: z / np.linalg.norm(z, axis=1, keepdims=True)
+    a = draw.normal(size=(3000, 32))
+    a[1000:1100] = a[:100] * 2 + draw.normal(size=(100, 32)) * 0.01
+    a[2000:2010] = a[5]
+    x = unit(a)
+    tree = covertree.Tree(x)
+    assert sorted(tree.order.tolist()) == list(range(3000))
+    for k in range(len(tree.centre)):
+        below = x[tree.order[tree.first[k]:tree.last[k]]]
+        assert np.linalg.norm(below - x[tree.centre[k]], axis=1).max() <= tree.radius[k] + 1e-12
+    i, j = covertree.dual(tree, tree, a, a, 0.98, True)
+    assert sorted(zip(i.tolist(), j.tolist())) == sorted(map(tuple, np.argwhere(np.triu(x @ x.T >= 0.98, 1)).tolist()))
+
+
 def plain_fingerprint(text, k):
     words = [w for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").replace("\t", " ")
              .replace("\n", " ").split(" ") if w]
