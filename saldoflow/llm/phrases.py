@@ -135,12 +135,16 @@ def _grams_in_place(parts: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def ngram_filter(grams: DataFrame) -> DataFrame:
-    """(lang, quotient, rem_hi, rem_lo, f): counts of all 1- to 3-grams as merged quotient filters."""
+    """(lang, quotient, rem_hi, rem_lo, f): counts of all 1- to 3-grams as merged quotient filters.
+
+    Quotient and the high part of the remainder stay side by side in one word until the
+    filters are merged: apart, each would be shuffled as a word of its own.
+    """
     hi, lo = pack(F.col("o"), F.col("a"), F.col("b"), F.col("c"))
     keyed = permute(grams.select("lang", "mult", hi.alias("hi"), lo.alias("lo")))
-    slots = keyed.select("lang", "mult", F.shiftrightunsigned("hi", 64 - QUOTIENT_BITS).cast("int").alias("quotient"),
-                         F.col("hi").bitwiseAND(F.lit(_REM)).alias("rem_hi"), F.col("lo").alias("rem_lo"))
-    return slots.groupBy("lang", "quotient", "rem_hi", "rem_lo").agg(F.sum("mult").alias("f"))
+    merged = keyed.groupBy("lang", "hi", "lo").agg(F.sum("mult").alias("f"))
+    return merged.select("lang", F.shiftrightunsigned("hi", 64 - QUOTIENT_BITS).cast("int").alias("quotient"),
+                         F.col("hi").bitwiseAND(F.lit(_REM)).alias("rem_hi"), F.col("lo").alias("rem_lo"), "f")
 
 
 def decoded(filt: DataFrame) -> DataFrame:

@@ -52,3 +52,13 @@ def test_rare_words_leave_gaps_and_nothing_else(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path / 'd.parquet'}'")
     want = sorted(tuple(r) for r in con.execute(oracles.COLLOCATIONS).fetchall())
     assert got == want and any(r[2] == "big red fox" for r in got)
+
+
+def test_filter_keys_are_two_words_in_the_shuffle(spark):
+    grams = spark.createDataFrame([("en", 2, 2, 5, 7, 0), ("en", 3, 2, 5, 7, 0), ("en", 1, 3, 5, 7, 9)],
+                                  "lang string, mult long, o int, a long, b long, c long")
+    filt = phrases.ngram_filter(grams)
+    assert sorted((r.o, r.a, r.b, r.c, r.f) for r in phrases.decoded(filt).collect()) == [(2, 5, 7, 0, 5), (3, 5, 7, 9, 1)]
+    plan = filt._jdf.queryExecution().sparkPlan().toString()
+    keys = [line for line in plan.splitlines() if "HashAggregate" in line]
+    assert keys and all("hi#" in line and "quotient#" not in line.split("functions=")[0] for line in keys)
