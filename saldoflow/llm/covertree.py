@@ -32,8 +32,8 @@ from saldoflow.session import settle
 
 #: Vectors under a node that a task takes as they are, in a space of few vectors.
 LEAF = 1024
-#: In larger spaces a leaf takes this part of the vectors, up to so many (two leaves of 128
-#: components in double precision are then some 70 MB).
+#: In larger spaces a leaf takes this part of the vectors, up to so many (two leaves of 64
+#: components, as given and at length one, are then some 70 MB in double precision).
 LEAF_PART, LEAF_MOST = 4, 32_768
 #: Centres tried at a time when a node is divided, and the bound below which they are not.
 CENTRES, FINE = 64, 1e-4
