@@ -196,3 +196,25 @@ def test_a_figure_that_does_not_fit_stops_its_document(spark):
     assert errors[1] == "amount out of range for manual_journal source_id=MJ-1"
     assert errors[2].startswith("amount out of range")
     assert errors[3] is None and errors[4] is None
+
+
+def test_texts_are_checked_without_being_written_again(spark, capsys):
+    """Text behind the object is still refused; the check reads no members of it."""
+    from saldoflow.sources import callbacks as C
+    texts = ["{}", " {\"a\":1}\n", "{\"a\":\"\\ud800\"}", "{\"a\":\"\\ud83d\\ude00\"}", "{}{}", "{}],[{}", "{\"a\":1}}", "\"{}\"",
+             "{\"_none\":{\"b\":[1]}}"]
+    rows = C.object_texts(spark.createDataFrame(list(enumerate(texts)), "i int, body string"))
+    got = dict(rows.select("i", "object_text").collect())
+    assert [got[i] for i in range(len(texts))] == [
+        "{}", "{\"a\":1}", "{\"a\":\"\\ud800\"}", "{\"a\":\"\\ud83d\\ude00\"}", None, None, None, "{}", "{\"_none\":{\"b\":[1]}}"]
+    rows.explain(True)
+    assert "_none" in capsys.readouterr().out
+
+
+def test_large_figures_by_their_text(spark):
+    from saldoflow.functions import text as X
+    texts = {"999999999999999999999": True, "99999999999999999999": False, "1e21": True, "-1E21": True, "0x1p80": True, "1e20": False,
+             "1000000000000000000000": True, "Infinity": False, "NaN": False, "abc": False, "": False}
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert {r.x: r.b for r in df.selectExpr("x", f"{X.too_large('x')} AS b").collect()} == texts
+    assert not spark.range(1).selectExpr(f"{X.too_large('CAST(NULL AS STRING)')} AS b").first().b
