@@ -4,8 +4,9 @@ Texts are cut into pieces at punctuation and line ends; equal pieces of a langua
 are counted once with their multiplicity (shared lines and passages collapse there,
 combined before the shuffle). Words that occur ``least`` times get global ids from the
 sorted vocabulary; no phrase with a rarer word can occur as often, so the others leave
-gaps and are not counted further (the first step of Apriori). Every n-gram of 1 to 3 word ids is packed into 128 bits (order, id, id, id), permuted by an
-invertible keyed Feistel network, and split into a quotient (the high bits, the slot
+gaps and are not counted further (the first step of Apriori). Every n-gram of 1 to 3 word
+ids is packed into 128 bits (order, id, id, id), or into 64 where three ids fit them,
+permuted by an invertible keyed Feistel network, and split into a quotient (the high bits, the slot
 of a quotient filter) and the full remainder (all other bits), so nothing is lost.
 Each task's counters are a partial filter; Spark's aggregation merges the filters of
 all tasks by (quotient, remainder), summing counts. Inverting the permutation gives
@@ -23,6 +24,10 @@ in UTF-8 byte order; an empty table gives no rows. Words are whole, however long
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from saldoflow.operators.ordering import global_position
@@ -35,8 +40,13 @@ WORD_BREAK = "[\\x20\\x09]+"
 QUOTIENT_BITS = 20
 #: Keys of the Feistel rounds.
 ROUNDS = (11, 23, 37, 41)
-#: Vocabularies up to this many words are broadcast to the token join; larger ones are shuffled.
+#: Vocabularies up to this many words travel with the tasks; larger ones are joined by a shuffle.
 BROADCAST_WORDS = 2_000_000
+#: Bits that hold an id of a vocabulary that travels; three of them fit a long.
+ID_BITS = 21
+_ID = (1 << ID_BITS) - 1
+#: Words of pieces that a task takes before it passes the counts of their n-grams on.
+HELD_TOKENS = 1_000_000
 _LOW32 = (1 << 32) - 1
 _REM = (1 << (64 - QUOTIENT_BITS)) - 1
 
@@ -65,6 +75,28 @@ def unpermute(df: DataFrame, hi: str = "hi", lo: str = "lo") -> DataFrame:
     return back.withColumnRenamed(hi, "_t").withColumnRenamed(lo, hi).withColumnRenamed("_t", lo).select(*df.columns)
 
 
+def _halves(df: DataFrame, key: str, keys) -> DataFrame:
+    """The network over the 32-bit halves of one long instead of two longs."""
+    hi, lo = F.shiftrightunsigned(key, 32), F.col(key).bitwiseAND(F.lit(_LOW32))
+    df = df.select(*[c for c in df.columns if c != key], hi.alias("_hi"), lo.alias("_lo"))
+    for k in keys:
+        df = df.select(*[c for c in df.columns if c not in ("_hi", "_lo")], F.col("_lo").alias("_hi"), F.col("_hi").bitwiseXOR(
+            F.xxhash64(F.col("_lo"), F.lit(k)).bitwiseAND(F.lit(_LOW32))).alias("_lo"))
+    return df
+
+
+def permute_narrow(df: DataFrame, key: str = "key") -> DataFrame:
+    """:func:`permute` for n-grams whose three ids fit one long."""
+    done = _halves(df, key, ROUNDS)
+    return done.withColumn(key, F.shiftleft("_hi", 32).bitwiseOR(F.col("_lo"))).select(*df.columns)
+
+
+def unpermute_narrow(df: DataFrame, key: str = "key") -> DataFrame:
+    swapped = df.withColumn(key, F.shiftleft(key, 32).bitwiseOR(F.shiftrightunsigned(key, 32)))
+    done = _halves(swapped, key, reversed(ROUNDS))
+    return done.withColumn(key, F.shiftleft("_lo", 32).bitwiseOR(F.col("_hi"))).select(*df.columns)
+
+
 def pieces(documents: DataFrame) -> DataFrame:
     """(lang, words, mult): each distinct word sequence of a piece per language, with its count."""
     text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
@@ -114,32 +146,75 @@ def id_grams(parts: DataFrame, vocab: DataFrame, n_words: int) -> DataFrame:
 
 
 def _grams_in_place(parts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """:func:`id_grams` where the vocabulary is broadcast: the n-grams are formed from each
-    piece's word array where it lies, and each of their words gets its id by a join with
-    the broadcast vocabulary, so the pieces are not shuffled again. An n-gram with a word
-    without id is dropped, as that word leaves a gap in the other way."""
-    w, none = F.col("words"), F.lit(None).cast("string")
-    n = F.size(w)
-    gram = lambda o, i: F.struct(F.lit(o).alias("o"), F.element_at(w, i).alias("x"),
-                                 (F.element_at(w, i + 1) if o > 1 else none).alias("y"),
-                                 (F.element_at(w, i + 2) if o > 2 else none).alias("z"))
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.array(
-        gram(1, i), F.when(i + 1 <= n, gram(2, i)), F.when(i + 2 <= n, gram(3, i)))))
-    g = (parts.select("lang", "mult", F.explode(grams).alias("g")).filter(F.col("g").isNotNull())
-         .select("lang", "mult", "g.*"))
-    ids = lambda word, to: F.broadcast(vocab.select(F.col("word").alias(word), F.col("id").alias(to)))
-    g = g.join(ids("x", "a"), "x").join(ids("y", "b"), "y", "left").join(ids("z", "c"), "z", "left")
-    whole = ((F.col("o") < 2) | F.col("b").isNotNull()) & ((F.col("o") < 3) | F.col("c").isNotNull())
-    return g.filter(whole).select("lang", "mult", "o", "a", F.coalesce("b", F.lit(0).cast("long")).alias("b"),
-                                  F.coalesce("c", F.lit(0).cast("long")).alias("c"))
-
-
-def ngram_filter(grams: DataFrame) -> DataFrame:
+    """:func:`id_grams` where the vocabulary travels with the tasks: the n-grams are formed
+    from each piece's word array where it lies, so the pieces are not shuffled again, and
+    those of a task are counted together before they leave it. An n-gram with a word
+    without id is dropped, as that word leaves a gap in the other way.
+    """
+    table = vocab.select("word", "id").toArrow()  # BROADCAST_WORDS bounds it
+    shared = parts.sparkSession.sparkContext.broadcast(
+        dict(zip(table.column("word").to_pylist(), table.column("id").to_pylist())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, held, tokens = shared.value.get, {}, 0
+        for batch in batches:
+            lists, mults = batch.column("words"), batch.column("mult").to_numpy()
+            ids = np.array([find(w, 0) for w in lists.flatten().to_pylist()], np.int64)
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            langs = batch.column("lang").dictionary_encode()
+            of_piece = langs.indices.to_numpy()
+            for k, lang in enumerate(langs.dictionary.to_pylist()):
+                mine = of_piece[owner] == k
+                held.setdefault(lang, []).append(_packed(ids[mine], owner[mine], mults))
+            tokens += len(ids)
+            if tokens >= HELD_TOKENS:
+                yield from counted(held)
+                held, tokens = {}, 0
+        yield from counted(held)
+
+    def counted(held: dict) -> Iterator[pa.RecordBatch]:
+        for lang, found in held.items():
+            key, mult = (np.concatenate(x) for x in zip(*found))
+            if not len(key):
+                continue
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            key, mult = key[first], np.add.reduceat(mult[order], first)
+            ids = [key >> 2 * ID_BITS, key >> ID_BITS & _ID, key & _ID]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(key), np.int32))), pa.array(mult),
+                 pa.array((1 + (ids[1] > 0) + (ids[2] > 0)).astype(np.int32)), *map(pa.array, ids)],
+                names=["lang", "mult", "o", "a", "b", "c"])
+
+    return parts.select("lang", "words", "mult").mapInArrow(run, "lang string, mult long, o int, a long, b long, c long")
+
+
+def _packed(ids: np.ndarray, owner: np.ndarray, mults: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 1- to 3-grams of word ids as numbers of three times ``ID_BITS`` bits, and how often
+    their pieces occur. ``owner`` is the piece of a word; id 0 is a gap."""
+    one = ids > 0
+    two = one[:-1] & one[1:] & (owner[:-1] == owner[1:])
+    three = two[:-1] & two[1:]
+    a, b = ids << 2 * ID_BITS, ids << ID_BITS
+    return (np.concatenate([a[one], (a[:-1] | b[1:])[two], (a[:-2] | b[1:-1] | ids[2:])[three]]),
+            np.concatenate([mults[owner[one]], mults[owner[:-1][two]], mults[owner[:-2][three]]]))
+
+
+def ngram_filter(grams: DataFrame, narrow: bool = False) -> DataFrame:
     """(lang, quotient, rem_hi, rem_lo, f): counts of all 1- to 3-grams as merged quotient filters.
 
     Quotient and the high part of the remainder stay side by side in one word until the
-    filters are merged: apart, each would be shuffled as a word of its own.
+    filters are merged: apart, each would be shuffled as a word of its own. ``narrow``
+    says that ids have ``ID_BITS`` bits: then an n-gram is one word in all (its order shows
+    in its zeros), and nothing is left for ``rem_hi``.
     """
+    if narrow:
+        key = F.shiftleft("a", 2 * ID_BITS).bitwiseOR(F.shiftleft("b", ID_BITS)).bitwiseOR(F.col("c"))
+        merged = permute_narrow(grams.select("lang", "mult", key.alias("key"))).groupBy("lang", "key").agg(
+            F.sum("mult").alias("f"))
+        return merged.select("lang", F.shiftrightunsigned("key", 64 - QUOTIENT_BITS).cast("int").alias("quotient"),
+                             F.lit(0).cast("long").alias("rem_hi"), F.col("key").bitwiseAND(F.lit(_REM)).alias("rem_lo"), "f")
     hi, lo = pack(F.col("o"), F.col("a"), F.col("b"), F.col("c"))
     keyed = permute(grams.select("lang", "mult", hi.alias("hi"), lo.alias("lo")))
     merged = keyed.groupBy("lang", "hi", "lo").agg(F.sum("mult").alias("f"))
@@ -147,10 +222,17 @@ def ngram_filter(grams: DataFrame) -> DataFrame:
                          F.col("hi").bitwiseAND(F.lit(_REM)).alias("rem_hi"), F.col("lo").alias("rem_lo"), "f")
 
 
-def decoded(filt: DataFrame) -> DataFrame:
+def decoded(filt: DataFrame, narrow: bool = False) -> DataFrame:
     """(lang, hi, lo, o, a, b, c, f): n-grams back from the filter."""
-    hi = F.shiftleft(F.col("quotient").cast("long"), 64 - QUOTIENT_BITS).bitwiseOR(F.col("rem_hi"))
-    back = unpermute(filt.select("lang", "f", hi.alias("hi"), F.col("rem_lo").alias("lo")))
+    high = F.shiftleft(F.col("quotient").cast("long"), 64 - QUOTIENT_BITS)
+    if narrow:
+        back = unpermute_narrow(filt.select("lang", "f", high.bitwiseOR(F.col("rem_lo")).alias("key")))
+        ids = back.select("lang", "f", F.shiftrightunsigned("key", 2 * ID_BITS).alias("a"), F.shiftrightunsigned(
+            "key", ID_BITS).bitwiseAND(F.lit(_ID)).alias("b"), F.col("key").bitwiseAND(F.lit(_ID)).alias("c"))
+        ids = ids.withColumn("o", (1 + (F.col("b") > 0).cast("long") + (F.col("c") > 0).cast("long")))
+        hi, lo = pack(F.col("o"), F.col("a"), F.col("b"), F.col("c"))
+        return ids.select("lang", hi.alias("hi"), lo.alias("lo"), "f", "o", "a", "b", "c")
+    back = unpermute(filt.select("lang", "f", high.bitwiseOR(F.col("rem_hi")).alias("hi"), F.col("rem_lo").alias("lo")))
     return back.select("lang", "hi", "lo", "f", F.shiftright("hi", 32).alias("o"),
                        F.col("hi").bitwiseAND(F.lit(_LOW32)).alias("a"),
                        F.shiftrightunsigned("lo", 32).alias("b"), F.col("lo").bitwiseAND(F.lit(_LOW32)).alias("c"))
@@ -166,9 +248,10 @@ def collocations(documents: DataFrame, least: int = 10, top: int = 2000, share:
     parts = settle(pieces(documents.select("lang", "text")).withColumn("_piece", F.monotonically_increasing_id()),
                    "phrase-parts")
     vocab = settle(vocabulary(parts, least), "phrase-vocab")
-    seqs = id_grams(parts, vocab, vocab.count())
+    n_words = vocab.count()
+    seqs, narrow = id_grams(parts, vocab, n_words), n_words <= _ID
     # Only n-grams that occur ``least`` times are kept: every part of a candidate occurs as often as it.
-    frequent = settle(decoded(ngram_filter(seqs).filter(F.col("f") >= least)), "phrase-grams")
+    frequent = settle(decoded(ngram_filter(seqs, narrow).filter(F.col("f") >= least), narrow), "phrase-grams")
     n = parts.groupBy("lang").agg(F.sum(F.size("words") * F.col("mult")).cast("long").alias("n"))
     cand = frequent.filter(F.col("o") >= 2).select("lang", "hi", "lo", "o", "a", "b", "c", F.col("f").alias("cnt"))
     one = lambda x: pack(F.lit(1), x, F.lit(0), F.lit(0))

@@ -62,3 +62,26 @@ def test_filter_keys_are_two_words_in_the_shuffle(spark):
     plan = filt._jdf.queryExecution().sparkPlan().toString()
     keys = [line for line in plan.splitlines() if "HashAggregate" in line]
     assert keys and all("hi#" in line and "quotient#" not in line.split("functions=")[0] for line in keys)
+
+
+def test_small_ids_are_one_word_in_the_shuffle(spark):
+    """Ids up to the largest that fit come back whole from one permuted long."""
+    top = (1 << phrases.ID_BITS) - 1
+    grams = [("en", 2, 2, 5, 7, 0), ("en", 3, 2, 5, 7, 0), ("en", 1, 3, 5, 7, 9), ("de", 4, 1, top, 0, 0), ("de", 1, 3, top, top, top),
+             ("de", 6, 3, 1, top, 1)]
+    df = spark.createDataFrame(grams, "lang string, mult long, o int, a long, b long, c long")
+    filt = phrases.ngram_filter(df, narrow=True)
+    assert sorted((r.lang, r.o, r.a, r.b, r.c, r.f) for r in phrases.decoded(filt, narrow=True).collect()) == [
+        ("de", 1, top, 0, 0, 4), ("de", 3, 1, top, 1, 6), ("de", 3, top, top, top, 1), ("en", 2, 5, 7, 0, 5), ("en", 3, 5, 7, 9, 1)]
+    wide = phrases.decoded(phrases.ngram_filter(df)).collect()
+    assert sorted(map(tuple, wide)) == sorted(map(tuple, phrases.decoded(filt, narrow=True).select(wide[0].__fields__).collect()))
+
+
+def test_grams_are_counted_in_the_task(spark, monkeypatch):
+    """What repeats in a task leaves it once; gaps and the ends of pieces break n-grams."""
+    parts = spark.createDataFrame([("en", ["a", "b", "a", "b", "a"], 2), ("en", ["a", "x", "b", "a"], 1), ("de", ["a", "b"], 5), ("de", ["x"], 1)],
+                                  "lang string, words array<string>, mult long").coalesce(1)
+    vocab = spark.createDataFrame([("a", 1), ("b", 2)], "word string, id long")
+    want = [("de", 5, 1, 1, 0, 0), ("de", 5, 1, 2, 0, 0), ("de", 5, 2, 1, 2, 0), ("en", 2, 3, 2, 1, 2), ("en", 4, 2, 1, 2, 0),
+            ("en", 4, 3, 1, 2, 1), ("en", 5, 1, 2, 0, 0), ("en", 5, 2, 2, 1, 0), ("en", 8, 1, 1, 0, 0)]
+    assert sorted(map(tuple, phrases.id_grams(parts, vocab, 2).collect())) == want
