@@ -4,7 +4,9 @@ import hashlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter, functions as F
 
+from saldoflow.catalog import sales_queries as SQ
 from saldoflow.operators import daily_vat as V, distribution as D, ledger as L, sales_detail as P
 from saldoflow.operators.ordering import bracketed_quantiles, exact_quantiles
 from saldoflow.plans import distribution_run as R, sales_posting as SP
@@ -125,6 +127,45 @@ def test_a_batch_leaves_other_buckets_alone(spark, tmp_path):
     assert TB.read_buckets(spark, path, schema).count() == 0
 
 
+def test_partitions_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """A task keeps the files of its buckets open; with fewer open ones the rows are the same."""
+    schema, key, seen = "source_id string, n int", "spark.sql.maxConcurrentOutputFileWriters", []
+    rows = spark.createDataFrame([*[(f"d{i}", i) for i in range(100)], (None, -1), ("d3", 3)], schema)
+    write, given = DataFrameWriter.parquet, spark.conf.get(key)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(int(self._spark.conf.get(key))), write(self, *a, **k))[1])
+    for files in (TB.OPEN_FILES, 2):
+        monkeypatch.setattr(TB, "OPEN_FILES", files)
+        path = str(tmp_path / f"t{files}")
+        TB.create_buckets(spark, path, schema)
+        TB.replace_partitions(TB.bucketed(rows, 8), path, [TB.BUCKET])
+        assert seen[-1] == files and spark.conf.get(key) == given
+        assert sorted(map(str, TB.read_buckets(spark, path, schema).collect())) == sorted(map(str, rows.collect()))
+        for bucket in Path(path).glob(f"{TB.BUCKET}=*"):
+            assert {r[0] for r in TB.bucketed(spark.read.schema(schema).parquet(str(bucket)), 8).select(TB.BUCKET).distinct().collect()} <= {
+                int(bucket.name.split("=")[1])}
+
+
+def test_many_changed_invoices_leave_the_ledger_unsorted(spark, monkeypatch):
+    ledger = enriched(spark, ("I1", "S1", "Testing", "5"), ("I3", "S1", "Testing", "7"), ("I4", "S1", "Testing", "8"))
+    ledger = ledger.unionByName(ledger.limit(1).withColumn("source_id", F.lit(None).cast("string")))
+    changed = spark.createDataFrame([("I1",), ("I1",), ("I3",), (None,)], "ref_no string")
+    now = lines(spark, ("I1", "S1", "Testing", "100"))
+    few = P.sales_detail_autopost(ledger, now, changed, coa(spark))
+    monkeypatch.setattr(P, "MANY_REFS", 2)
+    many = P.sales_detail_autopost(ledger, now, changed, coa(spark))
+    assert "ShuffledHashJoin" in many._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect())) and many.count() == 5
+
+
+def test_the_drifted_ledger_is_made_from_one_journal(spark):
+    journal = spark.createDataFrame([(f"INV{k}", f"INV{k}", f"INV{k}", f"INV{k}{e}", 5) for k in range(1, 5) for e in ("#AR", "#S1")] + [(None,) * 5],
+                                    "ref_no string, source_id string, ref_key string, source_line_id string, debit int")
+    drifted = SQ._posted(journal)
+    assert "Union" not in drifted._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.ref_no, r.source_id, r.ref_key, r.source_line_id, int(r.debit)) for r in drifted.collect()) == sorted(
+        (n, n, n, n + e, 6 if (n, e) == ("INV1", "#AR") else 5) for n in ("INV1", "INV3", "INV4", "XINV3") for e in ("#AR", "#S1"))
+
+
 def month(spark, *rows):
     return spark.createDataFrame([(a, b, "D1", "Old", "5111-11-000", "Travel", "Profit & Loss", "approved", 5, 0) for a, b in rows],
                                  "ref_no string, date string, dept_code string, department string, coa_code string, coa_name string, "
