@@ -21,23 +21,25 @@ text are joined with the table, which also holds their units.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from saldoflow.llm.common import word_bytes, worker_cache
 from saldoflow.session import settle
 
 WORDS, GROUPS, CLASSES, SWEEPS = 768, 127, 32, 12
 LEXICON = 200_000
 #: Distinct words a task holds before it passes their counts on, and tokens between two sums of bigrams.
 HELD_WORDS, HELD_TOKENS = 1_000_000, 2_000_000
-_CACHE_WORDS = 500_000
+#: Bytes of texts that are split into words at once; a longer text is split alone.
+PORTION = 4 << 20
+#: Keys up to this number are counted in an array with a place for each.
+DENSE = 1 << 24
 #: Added to every count, as in the unigram model that scores are compared with.
 ADDED = 0.1
 
@@ -46,21 +48,54 @@ def group_of(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % GROUPS
 
 
+def portions(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Texts some at a time: their different words (as ``common.word_bytes`` splits them, in order
+    of first use), the place of each word among these, and the number of words of each text."""
+    if pa.types.is_binary(texts.type):
+        texts = texts.view(pa.string())
+    texts = texts.fill_null("")
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(sizes, PORTION + (sizes[start - 1] if start else 0), "right")))
+        lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts.slice(start, stop - start))))
+        lengths, flat = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten()
+        some = pc.binary_length(flat).to_numpy() > 0
+        if not some.all():  # a blank text has one empty word
+            lengths = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[some], minlength=len(lengths))
+            flat = flat.filter(pa.array(some))
+        coded = flat.dictionary_encode()
+        yield coded.dictionary.cast(pa.binary()), coded.indices.to_numpy(), lengths
+        start = stop
+
+
+def _path(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The words of texts one after another, with the end's 0 before the first text and after each."""
+    path = np.zeros(1 + len(ids) + len(lengths), np.int64)
+    path[1 + np.arange(len(ids)) + np.repeat(np.arange(len(lengths)), lengths)] = ids
+    return path
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word binary, n): counts over all texts; the ends of texts are not among them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counter()
+        held, rows = [], 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                counts.update(word_bytes(text))
-                if len(counts) >= HELD_WORDS:
-                    yield out(counts)
-                    counts = Counter()
-        yield out(counts)
+            for words, at, _ in portions(batch.column("text")):
+                held.append(pa.table({"word": words, "n": np.bincount(at, minlength=len(words))}))
+                rows += len(words)
+                if rows >= HELD_WORDS:
+                    held = [summed(held)]
+                    rows = len(held[0])
+                    if rows >= HELD_WORDS // 2:
+                        yield from held[0].to_batches()
+                        held, rows = [], 0
+        if held:
+            yield from summed(held).to_batches()
 
-    def out(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()),
-                                           pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+    def summed(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(
+            ["word", "n_sum"]).rename_columns(["word", "n"])
 
     return texts.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -82,42 +117,20 @@ def lexicon(counts: DataFrame, limit: int) -> dict[bytes, int]:
     return dict(zip(head.column("word").to_pylist(), head.column("n").to_pylist()))
 
 
-def unit_ids(words: list[bytes], unit: dict[bytes, int], known: dict[bytes, int]) -> np.ndarray:
-    """Units of the words of a text; ``known`` remembers the words without a unit of their own."""
-    ids = list(map(known.get, words))
-    if None in ids:
-        for i, u in enumerate(ids):
-            if u is None:
-                word = words[i]
-                u = unit.get(word)
-                if u is None:
-                    u = len(unit) + 1 + group_of(word)
-                if len(known) >= _CACHE_WORDS:
-                    known.clear()
-                known[word] = ids[i] = u
-    return np.array(ids, np.int64)
-
-
 def unit_bigrams(texts: DataFrame, unit: dict[bytes, int]) -> np.ndarray:
     """Matrix of how often a unit follows another, over all texts; unit 0 is the end, which
     also stands before a text's first word."""
     n = len(unit) + 1 + GROUPS
     shared = texts.sparkSession.sparkContext.broadcast(unit)
-    key = f"units {zlib.crc32(repr(list(unit)).encode())}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, known = shared.value, worker_cache(key)
-        total, held, tokens = np.zeros(n * n, np.int64), [], 0
+        unit, total = shared.value, np.zeros(n * n, np.int64)
+        first = len(unit) + 1
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                path = np.concatenate([[0], unit_ids(word_bytes(text), unit, known), [0]]).astype(np.int64)
-                held.append(path[:-1] * n + path[1:])
-                tokens += len(path)
-                if tokens >= HELD_TOKENS:
-                    total += np.bincount(np.concatenate(held), minlength=n * n)
-                    held, tokens = [], 0
-        if held:
-            total += np.bincount(np.concatenate(held), minlength=n * n)
+            for words, at, lengths in portions(batch.column("text")):
+                ids = np.array([unit.get(w) or first + group_of(w) for w in words.to_pylist()], np.int64)
+                path = _path(ids[at], lengths)
+                total += np.bincount(path[:-1] * n + path[1:], minlength=n * n)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["pair", "n"])
 
@@ -234,8 +247,9 @@ def _paths(batches: Iterator[pa.RecordBatch], place: dict[bytes, int]) -> Iterat
     ids, path = _Ids(place), [np.zeros(1, np.int64)]
     tokens = 0
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            path.append(np.array([*map(ids.__getitem__, word_bytes(text)), 0], np.int64))
+        for words, at, lengths in portions(batch.column("text")):
+            of_word = np.array([*map(ids.__getitem__, words.to_pylist())], np.int64)
+            path.append(_path(of_word[at], lengths)[1:])
             tokens += len(path[-1])
             if tokens >= HELD_TOKENS or len(ids) - len(place) >= HELD_WORDS:
                 yield np.concatenate(path), list(ids)[len(place):]
@@ -244,8 +258,14 @@ def _paths(batches: Iterator[pa.RecordBatch], place: dict[bytes, int]) -> Iterat
         yield np.concatenate(path), list(ids)[len(place):]
 
 
-def _summed(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate(keys), return_counts=True)
+def _summed(keys: list[np.ndarray], size: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order and how often each occurs; a small ``size`` that all keys are
+    below saves sorting them."""
+    if size is None or size > DENSE:
+        return np.unique(np.concatenate(keys), return_counts=True)
+    total = np.bincount(np.concatenate(keys), minlength=size)
+    some = np.flatnonzero(total)
+    return some, total[some]
 
 
 def lexicon_contexts(texts: DataFrame, place: dict[bytes, int], classes: np.ndarray, first: np.ndarray,
@@ -264,7 +284,7 @@ def lexicon_contexts(texts: DataFrame, place: dict[bytes, int], classes: np.ndar
             same = a == b
             right, left = moves[a] & ~same, moves[b] & ~same
             key, n = _summed([a[right] * codes + cls[b[right]], b[left] * codes + width + cls[a[left]],
-                              a[same & moves[a]] * codes + 2 * width])
+                              a[same & moves[a]] * codes + 2 * width], len(classes) * codes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array((key // codes).astype(np.int32)), pa.array((key % codes).astype(np.int32)), pa.array(n)],
                 names=["id", "code", "n"])
@@ -313,7 +333,7 @@ def other_words(texts: DataFrame, place: dict[bytes, int], classes: np.ndarray,
             a, b = path[:-1], path[1:]
             new_a, new_b, same = a >= known, b >= known, a == b
             both = cls[a] * width + cls[b]
-            key, n = _summed([both, square + both[~new_a & ~new_b]])
+            key, n = _summed([both, square + both[~new_a & ~new_b]], 2 * square)
             yield out(words, np.zeros(len(key), int), None, key, n)
             right, left = new_a & ~same, new_b & ~same
             key, n = _summed([(a[right] - known) * codes + cls[b[right]] + 2 * width * new_b[right],
@@ -441,6 +461,21 @@ class Model:
         self.base = self.tokens + ADDED * (self.types + 1)
 
 
+def _found(texts: pa.Array, place: dict[bytes, int]) -> Iterator[tuple[list[np.ndarray], pa.Array, np.ndarray]]:
+    """Texts some at a time as places of their words, -1, -2, ... for a text's words without a
+    place in order of first use; then these words of all texts, and how many each text has."""
+    for words, at, lengths in portions(texts):
+        known = np.array([place.get(w, -1) for w in words.to_pylist()], np.int64)[at]
+        lost = np.flatnonzero(known < 0)
+        text = np.repeat(np.arange(len(lengths)), lengths)[lost]
+        key, first, which = np.unique(text * len(words) + at[lost], return_index=True, return_inverse=True)
+        order, n = np.argsort(first), np.bincount(text[first], minlength=len(lengths))
+        rank = np.empty(len(key), np.int64)
+        rank[order] = np.arange(len(key))
+        known[lost] = (np.cumsum(n) - n)[text] - rank[which] - 1
+        yield np.split(known, np.cumsum(lengths)[:-1]), words.take(pa.array(at[lost[first[order]]])), n
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of every row of ``docs``.
 
@@ -467,39 +502,39 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         place, units, in_unit, by_word = shared.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            out = [[] for _ in range(7)]
-            for text in batch.column("text").to_pylist():
-                words = word_bytes(text)
-                found = list(map(place.get, words))
-                rest = dict.fromkeys(w for w, k in zip(words, found) if k is None) if None in found else {}
-                number = {w: k for k, w in enumerate(rest)}
-                known = np.array([-1 - number[w] if k is None else k for w, k in zip(words, found)] if rest else found, np.int64)
+            out, texts = [[] for _ in range(6)], []
+            rests, n_rests = [pa.array([], pa.binary())], [np.zeros(1, np.int64)]
+            for known, rest, n_rest in _found(batch.column("text"), place):
+                rests.append(rest)
+                n_rests.append(n_rest)
+                texts.extend(known)
+            for known in texts:
                 inside = known >= 0
                 here = known[inside]
                 # Classes, and below zero the places of the words to be joined.
-                path = np.zeros(len(words) + 2, np.int64)
+                path = np.zeros(len(known) + 2, np.int64)
                 path[1:-1] = known
                 path[1:-1][inside] = classes[units[here]] if len(here) else 0
                 sure = path >= 0
                 both = sure[:-1] & sure[1:]
                 out[0].append(row)
-                out[1].append(len(words) + 1)
+                out[1].append(len(known) + 1)
                 out[2].append(len(here) + (ends > 0))
                 out[3].append(float(by_word[here].sum()) + end)
                 total = follow[path[:-1][both], path[1:][both]].sum() + in_class[0] + in_unit[here].sum()
                 out[4].append(float(total + (in_class[units[here]].sum() if len(here) else 0)))
-                out[5].append(list(rest))
                 near = ~sure
                 near[:-1] |= ~sure[1:]
                 near[1:] |= ~sure[:-1]
-                out[6].append(path[near])
+                out[5].append(path[near])
                 row += 1
-            lengths = np.cumsum([0, *map(len, out[6])])
+            lengths = np.cumsum([0, *map(len, out[5])])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.float64()),
-                 pa.array(out[4], pa.float64()), pa.array(out[5], pa.list_(pa.binary())),
+                 pa.array(out[4], pa.float64()), pa.ListArray.from_arrays(
+                     pa.array(np.cumsum(np.concatenate(n_rests)), pa.int32()), pa.concat_arrays(rests)),
                  pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(
-                     [np.zeros(0, np.int64), *out[6]]).astype(np.int32)))], names=names)
+                     [np.zeros(0, np.int64), *out[5]]).astype(np.int32)))], names=names)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

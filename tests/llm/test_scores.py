@@ -8,10 +8,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from saldoflow.llm import language, preference, queries, rules, toxicity
-from saldoflow.llm.common import crc_mod
+from saldoflow.llm.common import crc_mod, word_bytes
 
 FOLDER = "/root/testdata/sf0.01"
 given = pytest.mark.skipif(not Path(FOLDER).exists(), reason="given tables are not here")
@@ -210,6 +211,33 @@ def test_language_of_odd_texts(spark):
     assert language.score(docs.limit(0), language.Model(docs)).collect() == []
 
 
+@pytest.mark.parametrize("portion", [1, 60, 4 << 20])
+def test_words_are_split_and_found_many_texts_at_a_time(monkeypatch, portion):
+    """As text by text: the same words, and the words without a place numbered in each text."""
+    monkeypatch.setattr(language, "PORTION", portion)
+    draw = random.Random(1)
+    signs = [*" \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u2003\x00", "A", "b", "É", "İ", "x", "Z"]
+    texts = [None, "", " ", *("".join(draw.choice(signs) for _ in range(draw.randrange(30))) for _ in range(500))]
+    place, got, found = {b"a": 0, b"b": 1, b"x": 2}, [], []
+    for words, at, lengths in language.portions(pa.array(texts)):
+        assert len(set(words.to_pylist())) == len(words)
+        got += np.split(np.array(words.to_pylist(), object)[at], np.cumsum(lengths)[:-1])
+    for known, rest, n in language._found(pa.array(texts), place):
+        found += zip(known, np.split(np.array(rest.to_pylist(), object), np.cumsum(n)[:-1]))
+    assert [list(x) for x in got] == [word_bytes(t) for t in texts]
+    for text, (known, rest) in zip(texts, found, strict=True):
+        words = word_bytes(text)
+        assert list(rest) == list(dict.fromkeys(w for w in words if w not in place))
+        assert known.tolist() == [place[w] if w in place else -1 - list(rest).index(w) for w in words]
+
+
+def test_keys_are_counted_alike_with_and_without_sorting():
+    keys = [np.array([5, 1, 5]), np.zeros(0, np.int64), np.array([7, 1, 1])]
+    for size in (None, 8, 20, language.DENSE + 1):
+        key, n = language._summed(keys, size)
+        assert key.tolist() == [1, 5, 7] and n.tolist() == [3, 2, 1]
+
+
 @given
 def test_classes_beat_single_words(spark):
     rows = [r for r in queries.QUERIES["op5_brown"](spark, FOLDER).collect() if r.held_out]
