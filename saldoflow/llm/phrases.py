@@ -97,11 +97,15 @@ def unpermute_narrow(df: DataFrame, key: str = "key") -> DataFrame:
     return done.withColumn(key, F.shiftleft("_lo", 32).bitwiseOR(F.col("_hi"))).select(*df.columns)
 
 
+def lowered(piece: Column) -> Column:
+    """A-Z lowered. ``translate`` looks up sign after sign, which only texts beyond ASCII need."""
+    return F.when(F.octet_length(piece) == F.length(piece), F.lower(piece)).otherwise(F.translate(piece, UPPER, LOWER))
+
+
 def pieces(documents: DataFrame) -> DataFrame:
     """(lang, words, mult): each distinct word sequence of a piece per language, with its count."""
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
-    cut = documents.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"),
-                           F.explode(F.split(text, PIECE_BREAK)).alias("piece"))
+    cut = documents.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.explode(
+        F.split(F.coalesce(F.col("text"), F.lit("")), PIECE_BREAK)).alias("piece")).withColumn("piece", lowered(F.col("piece")))
     counted = cut.groupBy("lang", "piece").agg(F.count("*").alias("mult"))
     words = F.filter(F.split("piece", WORD_BREAK), lambda w: w != "")
     return counted.select("lang", words.alias("words"), "mult").filter(F.size("words") > 0)
@@ -159,7 +163,8 @@ def _grams_in_place(parts: DataFrame, vocab: DataFrame) -> DataFrame:
         find, held, tokens = shared.value.get, {}, 0
         for batch in batches:
             lists, mults = batch.column("words"), batch.column("mult").to_numpy()
-            ids = np.array([find(w, 0) for w in lists.flatten().to_pylist()], np.int64)
+            coded = lists.flatten().dictionary_encode()
+            ids = np.array([find(w, 0) for w in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
             langs = batch.column("lang").dictionary_encode()
             of_piece = langs.indices.to_numpy()

@@ -85,3 +85,10 @@ def test_grams_are_counted_in_the_task(spark, monkeypatch):
     want = [("de", 5, 1, 1, 0, 0), ("de", 5, 1, 2, 0, 0), ("de", 5, 2, 1, 2, 0), ("en", 2, 3, 2, 1, 2), ("en", 4, 2, 1, 2, 0),
             ("en", 4, 3, 1, 2, 1), ("en", 5, 1, 2, 0, 0), ("en", 5, 2, 2, 1, 0), ("en", 8, 1, 1, 0, 0)]
     assert sorted(map(tuple, phrases.id_grams(parts, vocab, 2).collect())) == want
+
+
+def test_only_pieces_beyond_ascii_are_translated(spark):
+    texts = ["Hot DOG", "ÄBC Hot", "\u212aK İI", "", " ", "AZaz[\\]^_`@", "\x00A\x7f"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", phrases.lowered(F.col("t")).alias("low"))
+    assert "lower(" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.t, r.low) for r in df.collect()] == [(t, t.translate(str.maketrans(phrases.UPPER, phrases.LOWER))) for t in texts]
