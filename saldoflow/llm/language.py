@@ -39,7 +39,7 @@ HELD_WORDS, HELD_TOKENS = 1_000_000, 2_000_000
 #: Bytes of texts that are split into words at once; a longer text is split alone.
 PORTION = 4 << 20
 #: Keys up to this number are counted in an array with a place for each.
-DENSE = 1 << 24
+DENSE = 1 << 16
 #: Added to every count, as in the unigram model that scores are compared with.
 ADDED = 0.1
 
