@@ -2,8 +2,10 @@
 
 import pytest
 
-from saldoflow.catalog import feed_queries, inputs, table_queries
+from saldoflow.catalog import feed_queries, inputs, ledger_queries, table_queries
 from saldoflow.operators import backfill as B, ledger as L
+from saldoflow.plans import callback_run as R
+from saldoflow.sources import callbacks as C
 
 DOCUMENT = ("callback_id long, document struct<id: string, department: struct<id: string, code: string, name: string>, "
             "line_items: array<struct<id: string, department: struct<id: string, code: string, name: string>>>>")
@@ -75,3 +77,13 @@ def test_backfill_lookups_are_read_not_parsed_again(spark, capsys):
 def test_sheets_written_in_several_files_can_be_read(spark, folder):
     got = {r.sheet: r.n for r in table_queries.sheet_tables_read(spark, folder).collect()}
     assert got["FTE"] == 30 and got["REV"] == 6
+
+
+def test_a_run_decides_once_which_versions_load(spark, folder, capsys):
+    """The subledger of a module reads what was decided, and only its own documents."""
+    feed = ledger_queries.nine_kinds(spark, folder).filter("callback_id < 16 * 20")
+    load = R.module_process(C.route(feed))
+    text = plan(load.lines.filter("module = 'cash_in'"), capsys)
+    found = [line for line in text.splitlines() if "PartitionFilters: [" in line]
+    assert "Aggregate" not in text and len(found) == 2 and all(" = cash_in)" in line for line in found), text
+    assert {r.module for r in load.lines.select("module").distinct().collect()} >= {"cash_in", "cash_out", "manual_journal"}
