@@ -2,8 +2,8 @@
 
 import pytest
 
-from saldoflow.catalog import feed_queries, inputs, ledger_queries, table_queries
-from saldoflow.operators import backfill as B, ledger as L
+from saldoflow.catalog import feed_queries, inputs, ledger_queries, scalar_queries, table_queries
+from saldoflow.operators import backfill as B, documents as D, ledger as L
 from saldoflow.plans import callback_run as R
 from saldoflow.sources import callbacks as C
 
@@ -87,3 +87,11 @@ def test_a_run_decides_once_which_versions_load(spark, folder, capsys):
     found = [line for line in text.splitlines() if "PartitionFilters: [" in line]
     assert "Aggregate" not in text and len(found) == 2 and all(" = cash_in)" in line for line in found), text
     assert {r.module for r in load.lines.select("module").distinct().collect()} >= {"cash_in", "cash_out", "manual_journal"}
+
+
+def test_columns_of_a_document_that_nobody_reads_are_not_worked_out(spark, folder, capsys):
+    text = plan(scalar_queries.purchase_reference_pick(spark, folder), capsys)
+    assert "AS claims" in text and "draft_rows" not in text and "AS error" not in text, text
+    base = spark.sql("SELECT 2 AS a")
+    both = D.once(D.once(base, b="a + 1", c="a + 2"), d="b + b")
+    assert "c#" not in plan(both.select("d"), capsys) and both.head().asDict() == {"a": 2, "b": 3, "c": 4, "d": 6}
