@@ -114,6 +114,20 @@ def test_withholding_and_discount(spark):
     assert rows["l1"].credit == 100000 and rows["l1_wht"].debit == 2000 and rows["l1_discount"].debit == 1500
 
 
+def test_rows_without_a_value_are_not_made(spark):
+    """A claim without discount and withheld tax has one row, a line without discount no row for it."""
+    row = transformed(spark, receipt()).selectExpr("size(rows) AS n", "error").head()
+    assert (row.n, row.error) == (2, None)
+    line = invoice()["data"]["line_items"][0] | {"subtotal_after_discount": 100000}
+    row = transformed(spark, invoice(line_items=[line], payments=[{"id": "p", "amount": 109900, "account": AR}])).selectExpr(
+        "size(rows) AS n", "error").head()
+    assert (row.n, row.error) == (3, None)
+    assert error_of(spark, receipt(0, line_items=[])) == "no rows generated for receivable_payment source_id=RP-1"
+    # Values that cancel out are rows all the same.
+    both = [{"id": i, "debit": d, "credit": 0, "account": {"code": "1", "name": "n"}} for i, d in (("a", 5), ("b", -5))]
+    assert transformed(spark, manual() | {"data": manual()["data"] | {"line_items": both}}).selectExpr("error").head().error is None
+
+
 def test_rejected_documents(spark):
     assert error_of(spark, invoice(customer=None, number="")) == \
         "missing required fields: data.number, data.customer.name"
