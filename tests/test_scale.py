@@ -2,7 +2,7 @@
 
 import pytest
 
-from saldoflow.catalog import feed_queries, inputs, ledger_queries, scalar_queries, table_queries
+from saldoflow.catalog import feed_queries, inputs, ledger_queries, sales_queries, scalar_queries, table_queries
 from saldoflow.operators import backfill as B, documents as D, ledger as L
 from saldoflow.plans import callback_run as R
 from saldoflow.sources import callbacks as C
@@ -95,3 +95,15 @@ def test_columns_of_a_document_that_nobody_reads_are_not_worked_out(spark, folde
     base = spark.sql("SELECT 2 AS a")
     both = D.once(D.once(base, b="a + 1", c="a + 2"), d="b + b")
     assert "c#" not in plan(both.select("d"), capsys) and both.head().asDict() == {"a": 2, "b": 3, "c": 4, "d": 6}
+
+
+@pytest.mark.parametrize("name", ["sales_detail_repost", "sales_detail_autopost"])
+def test_stored_lines_are_read_not_joined_again(spark, folder, capsys, monkeypatch, name):
+    monkeypatch.setattr(sales_queries.P, "MANY_REFS", 1)
+    df = getattr(sales_queries, name)(spark, folder)
+    text = plan(df, capsys)
+    assert "/lineitem.parquet" not in text, text
+    assert "ShuffledHashJoin [source_id#" in text, text
+    # 200 invoices: a receivable, two lines and a tax row, if any; a fifth have none.
+    if name == "sales_detail_repost":
+        assert df.count() == 200 * 3 + 160
