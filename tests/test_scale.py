@@ -1,11 +1,14 @@
 """Plans that must not depend on how small Spark takes a table to be, on tables made here."""
 
+from pathlib import Path
+
 import pytest
 
 from saldoflow.catalog import feed_queries, inputs, ledger_queries, sales_queries, scalar_queries, table_queries
 from saldoflow.operators import backfill as B, documents as D, ledger as L
 from saldoflow.plans import callback_run as R
-from saldoflow.sources import callbacks as C
+from saldoflow.session import shared_folder
+from saldoflow.sources import callbacks as C, tables as TB
 
 DOCUMENT = ("callback_id long, document struct<id: string, department: struct<id: string, code: string, name: string>, "
             "line_items: array<struct<id: string, department: struct<id: string, code: string, name: string>>>>")
@@ -107,3 +110,13 @@ def test_stored_lines_are_read_not_joined_again(spark, folder, capsys, monkeypat
     # 200 invoices: a receivable, two lines and a tax row, if any; a fifth have none.
     if name == "sales_detail_repost":
         assert df.count() == 200 * 3 + 160
+
+
+def test_merged_buckets_leave_nothing_behind(spark, tmp_path):
+    rows = lambda text: spark.createDataFrame(text, "source_id string, v int")
+    path, before = str(tmp_path / "t"), set(Path(shared_folder(spark).removeprefix("file:")).glob("buckets-*"))
+    TB.create_buckets(spark, path, rows([]).schema)
+    for new in ([("a", 1), ("b", 1), ("c", 1)], [("b", 2)]):
+        TB.upsert_buckets(spark, path, rows(new), ["source_id"], 4)
+    assert sorted(tuple(r) for r in TB.read_buckets(spark, path, rows([]).schema).collect()) == [("a", 1), ("b", 2), ("c", 1)]
+    assert set(Path(shared_folder(spark).removeprefix("file:")).glob("buckets-*")) == before
